@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from feedworks.functions import row_json
 from feedworks.operators.nested import flatten_structs
 
-#: Spark's default pattern stops at milliseconds.
-TEXT_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+# Spark's default pattern stops at milliseconds, and its CSV writer trims blanks.
+JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+CSV_OPTIONS = {**JSON_OPTIONS, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+_DEFAULTS = {"json": JSON_OPTIONS, "csv": CSV_OPTIONS}
 
 
 def write_files(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
@@ -22,8 +24,7 @@ def write_files(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "app
     """
     if fmt == "csv":
         df = flatten_structs(df)
-    if fmt in ("csv", "json"):
-        options = {**TEXT_OPTIONS, **options}
+    options = {**_DEFAULTS.get(fmt, {}), **options}
     if n_files is not None:
         df = df.repartition(n_files)
     df.write.format(fmt).mode(mode).options(**options).save(path)
@@ -39,8 +40,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", *
 
     A batch that is written again replaces itself and no other.
     """
-    if fmt in ("csv", "json"):
-        options = {**TEXT_OPTIONS, **options}
+    options = {**_DEFAULTS.get(fmt, {}), **options}
     (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
      .write.format(fmt).partitionBy("batch_id").mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").options(**options).save(path))

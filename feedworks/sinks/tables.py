@@ -29,27 +29,30 @@ def create_or_append(df: DataFrame, table: str, view: str | None = None,
     return spark.table(table)
 
 
-def aligned(df: DataFrame, table: str) -> DataFrame:
-    """``df`` with its columns in the order of ``table``."""
-    target = df.sparkSession.table(table).schema
+def aligned(df: DataFrame, table: str, but: str | None = None) -> DataFrame:
+    """``df`` with its columns in the order of ``table``, column ``but`` aside."""
+    target = [f for f in df.sparkSession.table(table).schema if f.name != but]
     found = {f.name: f.dataType.simpleString() for f in df.schema}
     wanted = {f.name: f.dataType.simpleString() for f in target}
     if found != wanted:
         differing = sorted(n for n in found.keys() | wanted.keys() if found.get(n) != wanted.get(n))
         raise ValueError(f"columns do not fit table {table}: {', '.join(differing)}")
-    return df.select(*[F.col(f"`{n}`") for n in target.names])
+    return df.select(*[F.col(f"`{n}`") for n in wanted])
 
 
 def replace_batch(df: DataFrame, table: str, batch_id: int, path: str | None = None) -> None:
     """Write a micro-batch into the partition ``batch_id`` of ``table``, creating
     the table with the first one. A repeated batch replaces itself."""
     spark = df.sparkSession
-    batch = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
     if not spark.catalog.tableExists(table):
-        writer = batch.write.format("parquet").partitionBy("batch_id")
+        writer = (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+                  .write.format("parquet").partitionBy("batch_id"))
         if path:
             writer = writer.option("path", path)
         writer.saveAsTable(table)
         return
-    (aligned(batch, table).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").insertInto(table))
+    batch = aligned(df, table, but="batch_id")
+    # The partition is named in the statement: a writer's own overwrite mode
+    # does not reach insertInto, which would empty the whole table.
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) "
+              "SELECT * FROM {batch}", batch=batch)

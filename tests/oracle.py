@@ -1,0 +1,35 @@
+"""Comparison of a query's rows with those of its SQL."""
+
+import math
+from datetime import datetime
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+def sql_rows(sql, sf_dir):
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    result = connection.execute(sql)
+    return sorted_rows([d[0] for d in result.description], result.fetchall())
+
+
+def spark_rows(df):
+    return sorted_rows(df.columns, [tuple(r) for r in df.collect()])
+
+
+def sorted_rows(columns, rows):
+    places = sorted(range(len(columns)), key=lambda i: columns[i])
+    rows = [tuple(plain(row[i]) for i in places) for row in rows]
+    return [columns[i] for i in places], sorted(rows, key=repr)
+
+
+def plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else value
+    if isinstance(value, datetime):
+        return value.isoformat()
+    return value
