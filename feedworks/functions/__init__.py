@@ -43,9 +43,13 @@ def start_tag(fragment: Column, tag: str) -> Column:
 def tag_pieces(text: Column, *tags: str) -> Column:
     """``text`` cut before every start tag of ``tags``; what precedes the first
     one is dropped. Array of strings in text order."""
-    names = "|".join(tags)
-    pieces = F.split(text, rf"(?=<(?:{names})[\s/>])", -1)
-    return F.filter(pieces, lambda p: p.rlike(rf"^<(?:{names})[\s/>]"))
+    if len(tags) == 1:
+        # The pattern starts with a fixed text, which Java looks for in leaps.
+        opening = f"<{tags[0]}"
+        rest = F.filter(F.split(text, rf"{opening}(?=[\s/>])", -1), lambda _, i: i > 0)
+        return F.transform(rest, lambda r: F.concat(F.lit(opening), r))
+    pieces = F.split(text, rf"(?=<(?:{'|'.join(tags)})[\s/>])", -1)
+    return F.filter(pieces, lambda p, i: (i > 0) | p.rlike(rf"^<(?:{'|'.join(tags)})[\s/>]"))
 
 
 def element_text(piece: Column, tag: str) -> Column:
@@ -54,7 +58,11 @@ def element_text(piece: Column, tag: str) -> Column:
     A piece without an end tag was cut off; it is returned whole, so that
     parsing reports it as corrupt.
     """
-    return F.regexp_extract(piece, rf"(?s)^.*?(?:</{tag}\s*>|\z)", 0)
+    ending = f"</{tag}>"
+    spaced = rf"</{tag}\s+>"
+    return (F.when(piece.contains(ending), F.concat(F.substring_index(piece, ending, 1), F.lit(ending)))
+            .when(piece.rlike(spaced), F.concat(F.get(F.split(piece, spaced, 2), F.lit(0)), F.lit(ending)))
+            .otherwise(piece))
 
 
 def xml_fragments(text: Column, tag: str) -> Column:

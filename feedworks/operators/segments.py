@@ -54,21 +54,29 @@ def fold(df: DataFrame, *, order: list[str], is_end: Column, keep: Column,
             lambda r: r["_value"]).alias("_values"),
         F.max("_end").alias("_end"),
         F.max(F.when(F.col("_end"), F.col("_key"))).alias("_key"))
-    parts = workspace.materialise(parts, "segments")
+    parts = workspace.materialise(
+        parts.withColumn("_part", F.monotonically_increasing_id()), "segments")
 
     # 2. Closed by a row of its own block and begun after another: final.
     final = F.col("_end") & (F.col("_segment") > 0)
     done = parts.where(final).select(*partition_by, "_key", "_values")
 
-    # 3. The first and the last piece of each block may go on in a neighbour.
-    loose = (parts.where(~final)
-             .withColumn("_whole", _ends_before(partition_by, [*block, "_segment"])))
-    stitched = (loose.groupBy(*partition_by, "_whole").agg(
+    # 3. The first and the last piece of a block may go on in a neighbour. Which
+    # ones belong together is found without their texts, at most two short rows
+    # per block; only texts of segments that do get closed are moved.
+    loose = parts.where(~final)
+    closing = F.sum(F.col("_end").cast("long")).over(Window.partitionBy(*partition_by))
+    chains = (loose.select("_part", *partition_by, *block, "_segment", "_end")
+              .withColumn("_whole", _ends_before(partition_by, [*block, "_segment"]))
+              .withColumn("_closing", closing)
+              .where(F.col("_whole") < F.col("_closing"))
+              .select("_part", "_whole"))
+    stitched = (loose.join(chains, "_part").groupBy(*partition_by, "_whole").agg(
         F.flatten(F.transform(
             F.array_sort(F.collect_list(F.struct(*block, "_segment", "_values"))),
             lambda r: r["_values"])).alias("_values"),
-        F.max("_end").alias("_end"), F.max("_key").alias("_key"))
-        .where("_end").select(*partition_by, "_key", "_values"))
+        F.max("_key").alias("_key"))
+        .select(*partition_by, "_key", "_values"))
 
     return done.unionByName(stitched).select(
         *partition_by, F.col("_key").alias(names[0]),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedworks.functions import row_json
 from feedworks.operators.nested import flatten_structs
+from feedworks.workspace import partition_values
 
 # Spark's default pattern stops at milliseconds, and its CSV writer trims blanks.
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
@@ -38,9 +39,17 @@ def to_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", **options) -> None:
     """Write a batch as the partition ``batch_id=…`` below ``path``.
 
-    A batch that is written again replaces itself and no other.
+    Batches come in rising order; the last one may be written again and then
+    replaces itself. A lower number means that the checkpoint belongs to another
+    output, and is refused before it overwrites an earlier batch.
     """
+    check_batch(batch_id, partition_values(df.sparkSession, path, "batch_id"), path)
     options = {**_DEFAULTS.get(fmt, {}), **options}
     (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
      .write.format(fmt).partitionBy("batch_id").mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").options(**options).save(path))
+
+
+def check_batch(batch_id: int, written: list[int], target: str) -> None:
+    if written and batch_id < max(written):
+        raise ValueError(f"batch {batch_id} of {target} comes after batch {max(written)}")

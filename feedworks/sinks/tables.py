@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedworks.sinks.files import check_batch
+
 
 def create_or_append(df: DataFrame, table: str, view: str | None = None,
                      mode: str = "append", fmt: str = "parquet",
@@ -42,7 +44,7 @@ def aligned(df: DataFrame, table: str, but: str | None = None) -> DataFrame:
 
 def replace_batch(df: DataFrame, table: str, batch_id: int, path: str | None = None) -> None:
     """Write a micro-batch into the partition ``batch_id`` of ``table``, creating
-    the table with the first one. A repeated batch replaces itself."""
+    the table with the first one. The last batch, repeated, replaces itself."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         writer = (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -51,6 +53,9 @@ def replace_batch(df: DataFrame, table: str, batch_id: int, path: str | None = N
             writer = writer.option("path", path)
         writer.saveAsTable(table)
         return
+    newest = (spark.sql(f"SHOW PARTITIONS {table}")
+              .agg(F.max(F.regexp_extract("partition", r"batch_id=(\d+)", 1).cast("long"))).first()[0])
+    check_batch(batch_id, [newest] if newest is not None else [], table)
     batch = aligned(df, table, but="batch_id")
     # The partition is named in the statement: a writer's own overwrite mode
     # does not reach insertInto, which would empty the whole table.

@@ -10,12 +10,12 @@ One writer per table: feeds that share a table are united before the upsert.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedworks.operators.nested import flatten_structs
-from feedworks.sinks.files import write_batch
+from feedworks.sinks.files import check_batch, write_batch
+from feedworks.workspace import delete, partition_values
 
 _ORDER = "_order"
 
@@ -28,15 +28,18 @@ def keyed_upsert(df: DataFrame, path: str, key: str | list[str],
     what is still equal is decided by the row's content, so that every reader
     sees the same state. Structs are flattened, so that they merge field by
     field. A row without a key cannot be addressed and fails the batch; filter
-    such rows before. Writing the same ``batch_id`` again replaces that batch.
+    such rows before. Writing the last ``batch_id`` again replaces that batch.
     """
     flat = flatten_structs(df)
     for name in [key] if isinstance(key, str) else key:
         missing = F.raise_error(F.lit(f"upsert of a row without {name}"))
         flat = flat.withColumn(name, F.when(F.col(name).isNull(), missing).otherwise(F.col(name)))
+    spark = df.sparkSession
+    written = [n for n in (_newest(spark, f"{path}/log", "batch_id"),
+                           _newest(spark, f"{path}/snapshot", "upto")) if n is not None]
     if batch_id is None:
-        newest = _newest(df.sparkSession, f"{path}/log", "batch_id")
-        batch_id = 0 if newest is None else newest + 1
+        batch_id = max(written, default=-1) + 1
+    check_batch(batch_id, written, path)
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in flat.columns]).alias("tie")
     log = flat.withColumn(_ORDER, F.struct(*order_by, tie))
     write_batch(log, f"{path}/log", batch_id)
@@ -55,19 +58,20 @@ def current_state(spark: SparkSession, path: str, key: str | list[str],
     if mode not in ("merge", "replace"):
         raise ValueError(f"unknown mode {mode}")
     upto = _newest(spark, f"{path}/snapshot", "upto")
-    changes = spark.read.option("mergeSchema", merge_schema).parquet(f"{path}/log")
-    order = F.struct("batch_id", _ORDER)
+    changes = None
+    if upto is None or (_newest(spark, f"{path}/log", "batch_id") or 0) > upto:
+        log = spark.read.option("mergeSchema", merge_schema).parquet(f"{path}/log")
+        if upto is not None:
+            log = log.where(F.col("batch_id") > upto)
+        changes = log.withColumn("_rank", F.struct(F.col("batch_id").cast("long"), _ORDER)).drop("batch_id", _ORDER)
     if upto is not None:
-        changes = changes.where(F.col("batch_id") > upto)
-    changes = changes.withColumn("_rank", order).drop("batch_id", _ORDER)
-    if upto is not None:
-        # Everything in the log is newer than the snapshot.
-        snapshot = (spark.read.parquet(f"{path}/snapshot").where(F.col("upto") == upto)
-                    .withColumn("batch_id", F.col("upto")).drop("upto"))
-        rank = F.struct(
-            "batch_id", F.lit(None).cast(changes.schema["_rank"].dataType[_ORDER].dataType).alias(_ORDER))
-        snapshot = snapshot.withColumn("_rank", rank).drop("batch_id")
-        changes = changes.unionByName(snapshot, allowMissingColumns=True)
+        snapshot = spark.read.parquet(f"{path}/snapshot").where(F.col("upto") == upto).drop("upto")
+        if changes is None:
+            return snapshot
+        # Every batch in the log is newer than the snapshot.
+        oldest = F.struct(F.lit(upto).cast("long").alias("batch_id"),
+                          F.lit(None).cast(changes.schema["_rank"].dataType[_ORDER].dataType).alias(_ORDER))
+        changes = changes.unionByName(snapshot.withColumn("_rank", oldest), allowMissingColumns=True)
 
     values = [c for c in changes.columns if c not in keys and c != "_rank"]
     if not values:
@@ -87,8 +91,9 @@ def compact(spark: SparkSession, path: str, key: str | list[str],
     longer read. Nothing is deleted, so readers at work are not disturbed.
     """
     newest = _newest(spark, f"{path}/log", "batch_id")
-    if newest is None or newest == _newest(spark, f"{path}/snapshot", "upto"):
-        return newest
+    done = _newest(spark, f"{path}/snapshot", "upto")
+    if newest is None or (done is not None and newest <= done):
+        return done
     state = current_state(spark, path, key, mode, merge_schema)
     (state.withColumn("upto", F.lit(newest).cast("long"))
      .write.partitionBy("upto").mode("overwrite")
@@ -96,11 +101,17 @@ def compact(spark: SparkSession, path: str, key: str | list[str],
     return newest
 
 
+def expire(spark: SparkSession, path: str) -> None:
+    """Delete the batches and snapshots that the newest snapshot has replaced.
+    Readers that began before that snapshot must have ended."""
+    upto = _newest(spark, f"{path}/snapshot", "upto")
+    if upto is None:
+        return
+    for folder, column, kept in [("log", "batch_id", upto + 1), ("snapshot", "upto", upto)]:
+        for number in partition_values(spark, f"{path}/{folder}", column):
+            if number < kept:
+                delete(spark, f"{path}/{folder}/{column}={number}")
+
+
 def _newest(spark: SparkSession, path: str, column: str) -> int | None:
-    """Highest value of a partition column; null where nothing is written."""
-    try:
-        return spark.read.parquet(path).agg(F.max(column)).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    return max(partition_values(spark, path, column), default=None)

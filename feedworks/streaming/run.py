@@ -22,12 +22,13 @@ Sink = Callable[[DataFrame, int], None]
 def run(source: DataFrame, sink: Sink, *, checkpoint: str,
         transform: Callable[[DataFrame], DataFrame] | None = None,
         interval: str | None = "30 seconds", name: str | None = None,
-        skip_empty: bool = True) -> StreamingQuery:
+        skip_empty: bool = False) -> StreamingQuery:
     """Start the job and return the running query.
 
     ``interval=None`` works off what is there, in batches bounded by the
-    source's options, and ends. ``skip_empty`` keeps batches without a row after
-    the transformation from the sink.
+    source's options, and ends. Sources fire no batch without
+    new input; ``skip_empty`` also keeps a batch from the sink whose input gives
+    no row, at the price of a job that looks for the first one.
     """
     stream = transform(source) if transform else source
 

@@ -42,8 +42,25 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
+    """Values of the partition folders ``<column>=<number>`` in ``path``."""
+    fs, folder = _folder(spark, path)
+    if not fs.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{column}="))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, folder = _folder(spark, path)
+    fs.delete(folder, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this application has written below the shared folder."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root(spark))
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(folder, True)
+    delete(spark, root(spark))

@@ -176,7 +176,7 @@ def event_rows(df):
 
 
 def test_events_of_one_large_document(spark, tmp_path, small_splits):
-    small_splits(400)
+    small_splits(1500)
     text, expected = big_document()
     df = xml_event_rows(spark, write(tmp_path / "x", text))
     assert event_rows(df) == sorted(expected)
@@ -192,7 +192,7 @@ def test_event_rows_across_files(spark, tmp_path, small_splits):
     cut = text.index('<event id="50"')
     write(tmp_path / "x", text[:cut], "part-0")
     path = write(tmp_path / "x", text[cut:], "part-1")
-    small_splits(300)
+    small_splits(1500)
     assert event_rows(xml_event_rows(spark, path, across_files=True)) == sorted(expected)
     alone = xml_event_rows(spark, path)
     assert alone.count() == len(expected)
@@ -209,3 +209,15 @@ def test_broken_event_rows(spark, tmp_path):
     bad = [r[0] for r in quarantined(df).collect()]
     assert len(bad) == 3 and any('id="2"><severity>' in b for b in bad)
     assert any('id="4"' in b for b in bad) and any("<net" in b for b in bad)
+
+
+def test_end_tags_with_blanks(spark, tmp_path):
+    """Such a file is not split, but read."""
+    text = f"<feed>{record(event(1))}\n{record(event(2))}</feed>".replace("</eventData>", "</eventData\n>")
+    df = xml_records(spark, write(tmp_path / "x", text + "<!-- end -->"))
+    assert ids(df) == ["1", "2"] and quarantined(df).count() == 0
+
+
+def test_longer_tag_names_are_other_elements(spark, tmp_path):
+    text = record(event(1)).replace("<net", "<eventDataInfo>x</eventDataInfo><net")
+    assert ids(xml_records(spark, write(tmp_path / "x", text + "<eventDatabase/>"))) == ["1"]
