@@ -1,0 +1,178 @@
+import json
+import random
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedworks import workspace
+from feedworks.operators import nested
+from feedworks.sinks import (
+    compact, create_or_append, current_state, expire, keyed_upsert, to_json_lines, write_batch,
+    write_files,
+)
+from feedworks.sinks.tables import replace_batch
+from feedworks.sources import delimited
+
+NESTED = "id string, at timestamp_ntz, loc struct<lat: double, p: struct<q: string>>, tags array<string>"
+
+
+@pytest.fixture
+def nested_df(spark):
+    at = datetime(2024, 1, 2, 3, 4, 5, 123456)
+    return spark.createDataFrame(
+        [("1", at, (1.5, ("a",)), ["x"]), ("2", None, (None, None), None), (" 3 ", at, None, [])], NESTED)
+
+
+def test_parquet_append_and_overwrite(spark, tmp_path, nested_df):
+    path = str(tmp_path / "p")
+    write_files(nested_df, path)
+    write_files(nested_df, path)
+    assert spark.read.parquet(path).count() == 6
+    write_files(nested_df, path, mode="overwrite")
+    assert sorted(spark.read.parquet(path).collect(), key=str) == sorted(nested_df.collect(), key=str)
+
+
+def test_json_keeps_microseconds(spark, tmp_path, nested_df):
+    path = str(tmp_path / "j")
+    write_files(nested_df, path, "json", mode="overwrite", n_files=1)
+    assert len(list(Path(path).glob("*.json"))) == 1
+    lines = [json.loads(x) for f in Path(path).glob("*.json") for x in f.read_text().splitlines()]
+    assert {"2024-01-02T03:04:05.123456"} == {x["at"] for x in lines if "at" in x}
+
+
+def test_csv_flattens_structs_and_keeps_blanks(spark, tmp_path, nested_df):
+    path = str(tmp_path / "c")
+    write_files(nested_df.drop("tags"), path, "csv", header=True)
+    rows = delimited(spark, path, nullValue="\\N").orderBy("id").collect()
+    assert rows[0].asDict() == {"id": " 3 ", "at": "2024-01-02T03:04:05.123456",
+                                "loc_lat": None, "loc_p_q": None}
+    assert rows[1].loc_p_q == "a"
+
+
+def test_json_lines(spark, tmp_path, nested_df):
+    to_json_lines(nested_df, str(tmp_path / "t"))
+    got = {json.loads(r.value)["id"] for r in spark.read.text(str(tmp_path / "t")).collect()}
+    assert got == {"1", "2", " 3 "}
+
+
+def test_flatten_structs(spark, nested_df):
+    assert nested.flatten_structs(nested_df).columns == ["id", "at", "loc_lat", "loc_p_q", "tags"]
+    with pytest.raises(ValueError):
+        nested.flatten_structs(nested_df.withColumn("loc_lat", F.lit(1)))
+
+
+def test_project_and_rename(spark, nested_df):
+    out = nested.project(nested_df, {"k": "id", "n": ("id", "int"), "s": {"q": "loc.p.q"}})
+    assert [(r.k, r.n, r.s.q) for r in out.collect()] == [("1", 1, "a"), ("2", 2, None), (" 3 ", 3, None)]
+    assert nested.rename_positional(out, ["a", "b", "c"]).columns == ["a", "b", "c"]
+
+
+def test_batches_replace_only_themselves(spark, tmp_path):
+    path = str(tmp_path / "b")
+    for batch in (0, 1, 1):
+        write_batch(spark.range(batch * 10, batch * 10 + 3), path, batch)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 10, 11, 12]
+    with pytest.raises(ValueError):
+        write_batch(spark.range(1), path, 0)
+
+
+def test_create_then_append_by_name(spark):
+    df = spark.createDataFrame([("n", "e")], "network_id string, event_id string")
+    create_or_append(df, "by_name", view="events")
+    assert spark.table("events").count() == 1
+    create_or_append(df.select("event_id", "network_id"), "by_name")
+    assert [tuple(r) for r in spark.table("by_name").collect()] == [("n", "e")] * 2
+    for other in (df.select("event_id"), df.toDF("event_id", "other"), df.withColumn("event_id", F.lit(1))):
+        with pytest.raises(ValueError):
+            create_or_append(other, "by_name")
+    create_or_append(df.select("event_id"), "by_name", mode="overwrite")
+    assert spark.table("by_name").columns == ["event_id"]
+
+
+def test_table_batches(spark):
+    for batch, ids in [(0, [1, 2]), (1, [3]), (1, [3])]:
+        replace_batch(spark.createDataFrame([(i,) for i in ids], "id long"), "batched", batch)
+    assert sorted(r.id for r in spark.table("batched").collect()) == [1, 2, 3]
+    with pytest.raises(ValueError):
+        replace_batch(spark.range(1), "batched", 0)
+
+
+def merged(batches, mode):
+    """Newest row per key, in plain Python."""
+    state = {}
+    for batch in batches:
+        for k, t, a, b in sorted(batch, key=lambda r: r[1]):
+            old = state.get(k, (None, None, None))
+            new = (t, a, b)
+            state[k] = new if mode == "replace" else tuple(o if n is None else n for o, n in zip(old, new))
+    return sorted((k, *v) for k, v in state.items())
+
+
+@pytest.mark.parametrize("mode", ["merge", "replace"])
+def test_upsert_against_a_dict(spark, tmp_path, mode):
+    rng = random.Random(mode)
+    times = iter(rng.sample(range(10_000), 400))
+    batches = [[(rng.choice("abc" + "a" * 5), next(times), rng.choice([None, i]), rng.choice([None, "x", "y"]))
+                for i in range(40)] for _ in range(6)]
+    path = str(tmp_path / "u")
+
+    def put(batch, **kw):
+        df = spark.createDataFrame(batch, "k string, t long, a long, b string").repartition(3)
+        return keyed_upsert(df, path, "k", order_by=["t"], **kw)
+
+    def state():
+        return sorted(tuple(r) for r in current_state(spark, path, "k", mode).select("k", "t", "a", "b").collect())
+
+    for n, batch in enumerate(batches[:3]):
+        assert put(batch) == n
+    assert state() == merged(batches[:3], mode)
+    put(batches[2], batch_id=2)
+    assert state() == merged(batches[:3], mode)
+    assert compact(spark, path, "k", mode) == 2
+    assert state() == merged(batches[:3], mode)
+    put(batches[2], batch_id=2)
+    assert state() == merged(batches[:3], mode)
+    for batch in batches[3:5]:
+        put(batch)
+    assert state() == merged(batches[:5], mode)
+    assert compact(spark, path, "k", mode) == compact(spark, path, "k", mode) == 4
+    expire(spark, path)
+    assert workspace.partition_values(spark, f"{path}/snapshot", "upto") == [4]
+    assert workspace.partition_values(spark, f"{path}/log", "batch_id") == []
+    assert state() == merged(batches[:5], mode)
+    assert put(batches[5]) == 5
+    assert state() == merged(batches, mode)
+    with pytest.raises(ValueError):
+        put(batches[0], batch_id=3)
+
+
+def test_upsert_merges_nested_fields(spark, tmp_path):
+    path = str(tmp_path / "u")
+    schema = "event_id string, location struct<lat: double, long: double>"
+    keyed_upsert(spark.createDataFrame([("1", (1.0, 2.0))], schema), path, "event_id")
+    keyed_upsert(spark.createDataFrame([("1", (None, 3.0)), ("2", None)], schema), path, "event_id")
+    assert sorted(tuple(r) for r in current_state(spark, path, "event_id").collect()) == [
+        ("1", 1.0, 3.0), ("2", None, None)]
+
+
+def test_upsert_of_feeds_with_other_columns(spark, tmp_path):
+    path = str(tmp_path / "u")
+    keyed_upsert(spark.createDataFrame([("1", "a")], "event_id string, status string"), path, "event_id")
+    keyed_upsert(spark.createDataFrame([("1", "n")], "event_id string, network_id string"), path, "event_id")
+    state = current_state(spark, path, "event_id", merge_schema=True)
+    assert state.select("event_id", "status", "network_id").first() == ("1", "a", "n")
+
+
+def test_upsert_needs_a_key(spark, tmp_path):
+    df = spark.createDataFrame([(None, 1)], "k string, a int")
+    with pytest.raises(Exception, match="without k"):
+        keyed_upsert(df, str(tmp_path / "u"), "k")
+
+
+def test_hot_key_is_combined_before_the_shuffle(spark, tmp_path):
+    path = str(tmp_path / "u")
+    keyed_upsert(spark.range(1000).select(F.lit(1).alias("k"), "id"), path, "k", order_by=["id"])
+    plan = current_state(spark, path, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan.split("Exchange")[1]
