@@ -47,3 +47,9 @@ def flatten_structs(df: DataFrame, sep: str = "_") -> DataFrame:
 def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Give the columns new names by position."""
     return df.toDF(*names)
+
+
+def first_rows(df: DataFrame, n: int = 20, order_by: Sequence[str | Column] = ()) -> DataFrame:
+    """``n`` rows: any, or the first in an order, which Spark finds with a
+    top-n per partition rather than a sort."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)

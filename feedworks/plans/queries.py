@@ -251,7 +251,7 @@ def messages_decode_plain(spark, sf_dir):
 
 def preview_top_n(spark, sf_dir):
     flat = nested.flatten_structs(event_records(_feed(spark, sf_dir)))
-    return flat.orderBy(F.col("update_timestamp").desc(), "event_id").limit(10)
+    return nested.first_rows(flat, 10, [F.col("update_timestamp").desc(), "event_id"])
 
 
 QUERIES = {f.__name__: f for f in [
