@@ -46,9 +46,13 @@ def parser() -> argparse.ArgumentParser:
         return command
 
     job("xml-to-json", "source", "archive", "output")
-    job("xml-to-csv", "source", "output")
-    job("xml-to-table", "source").add_argument("--table", default="ng_events")
-    commands.choices["xml-to-table"].add_argument("--flat", action="store_true")
+    csv = job("xml-to-csv", "source", "output")
+    table = job("xml-to-table", "source")
+    table.add_argument("--table", default="ng_events")
+    table.add_argument("--flat", action="store_true")
+    for command in (csv, table):
+        command.add_argument("--large-documents", action="store_true",
+                             help="documents that are too large to be one record")
     csv = job("csv-to-upsert", "source", "target")
     csv.add_argument("--key", default="event_id")
     csv.add_argument("--order-by", nargs="*", default=[])
@@ -83,9 +87,9 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "xml-to-json":
         jobs.xml_to_json(spark, args.source, args.archive, args.output)
     elif args.job == "xml-to-csv":
-        jobs.xml_to_csv(spark, args.source, args.output)
+        jobs.xml_to_csv(spark, args.source, args.output, args.large_documents)
     elif args.job == "xml-to-table":
-        jobs.xml_to_table(spark, args.source, args.table, raw=not args.flat)
+        jobs.xml_to_table(spark, args.source, args.table, not args.flat, args.large_documents)
     elif args.job == "csv-to-upsert":
         jobs.csv_to_upsert(spark, args.source, args.target, args.key, args.order_by)
     elif args.job == "csv-to-index":

@@ -19,16 +19,19 @@ def explode_events(records: DataFrame) -> DataFrame:
                     F.explode("net.event").alias("col")))
 
 
-def flatten(events: DataFrame, doc_id: bool = True, fields: dict | None = None) -> DataFrame:
+def flatten(events: DataFrame, doc_id: bool = True, fields: dict | None = None,
+            typed: bool = True) -> DataFrame:
     """The 21-column event record, or without ``doc_id`` the 20-column one.
 
     ``fields`` replaces or adds entries of the field map, e.g. another source
-    for ``code4``.
+    for ``code4``. Times and coordinates are typed, and null where they do not
+    parse; ``typed=False`` passes their text through, for feeds that write times
+    in a form of their own.
     """
     keep = ["network_id", "network_name"]
     if doc_id:
         keep.insert(0, document_id(F.col("col._id")).alias("doc_id"))
-    return nested.project(events, {**EVENT_FIELDS, **(fields or {})}, "col", keep)
+    return nested.project(events, {**EVENT_FIELDS, **(fields or {})}, "col", keep, typed)
 
 
 def event_records(records: DataFrame, doc_id: bool = True) -> DataFrame:

@@ -10,19 +10,20 @@ from pyspark.sql import types as T
 
 
 def project(df: DataFrame, fields: Mapping, root: str | None = None,
-            keep: Sequence[str | Column] = ()) -> DataFrame:
+            keep: Sequence[str | Column] = (), typed: bool = True) -> DataFrame:
     """Select ``keep`` and the fields of a map.
 
     A map value is a path, a ``(path, type)`` pair, or a map of its own, which
-    becomes a struct. Values that do not fit their type become null. A struct
-    is there even when all its fields are null.
+    becomes a struct. Values that do not fit their type become null; without
+    ``typed`` they are left as they come. A struct is there even when all its
+    fields are null.
     """
     def build(spec) -> Column:
         if isinstance(spec, Mapping):
             return F.struct(*[build(s).alias(n) for n, s in spec.items()])
         path, type_ = (spec, None) if isinstance(spec, str) else spec
         value = F.col(f"{root}.{path}" if root else path)
-        return value if type_ in (None, "string") else value.try_cast(type_)
+        return value if not typed or type_ in (None, "string") else value.try_cast(type_)
 
     return df.select(*keep, *[build(s).alias(n) for n, s in fields.items()])
 

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from feedworks.operators import messages
-from feedworks.operators.events import event_records, explode_events
+from feedworks.operators.events import event_records, explode_events, flatten
 from feedworks.operators.segments import catalogue_subjects
 from feedworks.sinks import create_or_append, keyed_upsert, write_files, write_index
-from feedworks.sources import delimited, jdbc_table, kafka_messages, xml_records, xml_stream
+from feedworks.sources import (
+    delimited, jdbc_table, kafka_messages, well_formed, xml_event_rows, xml_records, xml_stream,
+)
 from feedworks.streaming import run
 from feedworks.streaming.run import Sink
 
@@ -29,17 +31,23 @@ def xml_to_json(spark: SparkSession, source: str, archive: str, output: str) ->
     write_files(event_records(loaded), output, "json", mode="overwrite")
 
 
-def xml_to_csv(spark: SparkSession, source: str, output: str) -> None:
+def xml_to_csv(spark: SparkSession, source: str, output: str, large_documents: bool = False) -> None:
     """Append the events of a feed to CSV files, one column per leaf."""
-    write_files(event_records(xml_records(spark, source)), output, "csv")
+    write_files(flatten(_events(spark, source, large_documents)), output, "csv")
 
 
-def xml_to_table(spark: SparkSession, source: str, table: str = "ng_events",
-                 raw: bool = True) -> DataFrame:
+def xml_to_table(spark: SparkSession, source: str, table: str = "ng_events", raw: bool = True,
+                 large_documents: bool = False) -> DataFrame:
     """Create or extend a table with the events of a feed, as they are or flat."""
-    records = xml_records(spark, source)
-    events = explode_events(records) if raw else event_records(records, doc_id=False)
-    return create_or_append(events, table, view="events")
+    events = _events(spark, source, large_documents)
+    return create_or_append(events if raw else flatten(events, doc_id=False), table, view="events")
+
+
+def _events(spark: SparkSession, source: str, large_documents: bool) -> DataFrame:
+    """Events read record by record, or one by one where records are too large."""
+    if large_documents:
+        return well_formed(xml_event_rows(spark, source))
+    return explode_events(xml_records(spark, source))
 
 
 def csv_to_upsert(spark: SparkSession, source: str, target: str, key: str = "event_id",

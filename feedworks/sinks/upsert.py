@@ -63,14 +63,16 @@ def current_state(spark: SparkSession, path: str, key: str | list[str],
         log = spark.read.option("mergeSchema", merge_schema).parquet(f"{path}/log")
         if upto is not None:
             log = log.where(F.col("batch_id") > upto)
-        changes = log.withColumn("_rank", F.struct(F.col("batch_id").cast("long"), _ORDER)).drop("batch_id", _ORDER)
+        rank = F.struct(F.col("batch_id").cast("long"), f"{_ORDER}.*")
+        changes = log.withColumn("_rank", rank).drop("batch_id", _ORDER)
     if upto is not None:
         snapshot = spark.read.parquet(f"{path}/snapshot").where(F.col("upto") == upto).drop("upto")
         if changes is None:
             return snapshot
         # Every batch in the log is newer than the snapshot.
-        oldest = F.struct(F.lit(upto).cast("long").alias("batch_id"),
-                          F.lit(None).cast(changes.schema["_rank"].dataType[_ORDER].dataType).alias(_ORDER))
+        oldest = F.struct(*[
+            F.lit(upto if f.name == "batch_id" else None).cast(f.dataType).alias(f.name)
+            for f in changes.schema["_rank"].dataType.fields])
         changes = changes.unionByName(snapshot.withColumn("_rank", oldest), allowMissingColumns=True)
 
     values = [c for c in changes.columns if c not in keys and c != "_rank"]

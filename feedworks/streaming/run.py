@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from feedworks.sinks import keyed_upsert, write_batch, write_index
+from feedworks.sinks import create_or_append, keyed_upsert, write_batch, write_index
 from feedworks.sinks.tables import replace_batch
 
 Sink = Callable[[DataFrame, int], None]
@@ -54,9 +54,19 @@ def files_sink(path: str, fmt: str = "json", **options) -> Sink:
     return lambda batch, batch_id: write_batch(batch, path, batch_id, fmt, **options)
 
 
-def table_sink(table: str, path: str | None = None) -> Sink:
-    """Catalogue table with a partition per batch, created by the first one."""
-    return lambda batch, batch_id: replace_batch(batch, table, batch_id, path)
+def table_sink(table: str, path: str | None = None, per_batch: bool = True) -> Sink:
+    """Catalogue table, created by the first batch.
+
+    With a partition per batch a repeated batch replaces itself. ``per_batch=False``
+    appends without such a column; a batch repeated after a failure is then there
+    twice.
+    """
+    if per_batch:
+        return lambda batch, batch_id: replace_batch(batch, table, batch_id, path)
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        create_or_append(batch, table, path=path)
+    return append
 
 
 def upsert_sink(path: str, key: str | list[str], order_by: list[str] = ()) -> Sink:

@@ -37,6 +37,9 @@ def test_xml_to_table(spark, feed):
     assert table.columns == ["network_id", "network_name", "col"] and table.count() == 4
     main(["xml-to-table", feed, "--table", "flat_events", "--flat"])
     assert len(spark.table("flat_events").columns) == 20
+    main(["xml-to-table", feed, "--table", "flat_events", "--flat", "--large-documents"])
+    assert spark.table("flat_events").dropDuplicates().count() == 2
+    assert spark.table("flat_events").count() == 4
     with pytest.raises(ValueError):
         jobs.xml_to_table(spark, feed, "flat_events", raw=True)
 

@@ -115,3 +115,11 @@ def test_interval_trigger(spark, tmp_path):
         assert json.loads(query.lastProgress.json)["name"] == "feed"
     finally:
         query.stop()
+
+
+def test_table_without_batches(spark, tmp_path):
+    feed(tmp_path / "in", "0.xml", 0, 2)
+    work_off(spark, tmp_path, table_sink("appended", per_batch=False))
+    feed(tmp_path / "in", "1.xml", 2, 2)
+    work_off(spark, tmp_path, table_sink("appended", per_batch=False))
+    assert spark.table("appended").count() == 4 and len(spark.table("appended").columns) == 21

@@ -221,3 +221,10 @@ def test_end_tags_with_blanks(spark, tmp_path):
 def test_longer_tag_names_are_other_elements(spark, tmp_path):
     text = record(event(1)).replace("<net", "<eventDataInfo>x</eventDataInfo><net")
     assert ids(xml_records(spark, write(tmp_path / "x", text + "<eventDatabase/>"))) == ["1"]
+
+
+def test_times_in_another_form(spark, tmp_path):
+    path = write(tmp_path / "x", record(event(1, "<startTimestamp>01/02/18 3 PM</startTimestamp>")))
+    events = explode_events(xml_records(spark, path))
+    assert flatten(events).first().start_timestamp is None
+    assert flatten(events, typed=False).first().start_timestamp == "01/02/18 3 PM"
