@@ -14,6 +14,7 @@ from feedworks.operators import messages, nested
 from feedworks.operators.events import event_records, explode_events, flatten
 from feedworks.operators.segments import catalogue_subjects, fold
 from feedworks.plans import staging
+from feedworks.plans.jobs import message_ids
 from feedworks.plans.staging import table
 from feedworks.schema import CORRUPT, SUBJECT_COLUMNS
 from feedworks.sinks import (
@@ -21,7 +22,7 @@ from feedworks.sinks import (
 )
 from feedworks.sinks.files import CSV_OPTIONS, JSON_OPTIONS
 from feedworks.sources import (
-    delimited, parse_xml_column, xml_event_rows, xml_records, xml_stream,
+    as_messages, delimited, parse_xml_column, xml_event_rows, xml_records, xml_stream,
 )
 from feedworks.streaming import files_sink, run, table_sink, upsert_sink
 
@@ -236,8 +237,7 @@ def stream_messages_ids(spark, sf_dir):
     path = workspace.new_path(spark, "stream-messages")
     log = staging.message_log(spark, sf_dir)
     stream = spark.readStream.schema(spark.read.parquet(log).schema).parquet(log)
-    _work_off(spark, stream, upsert_sink(path, "event_id"),
-              lambda df: messages.project_ids(messages.decode_csv(df)))
+    _work_off(spark, as_messages(stream), upsert_sink(path, "event_id"), message_ids)
     return current_state(spark, path, "event_id")
 
 

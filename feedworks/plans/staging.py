@@ -164,8 +164,9 @@ def messages_text(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 @_once
 def message_log(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """The messages in the columns of a Kafka source."""
+    """The messages in the columns of a Kafka source, values as bytes."""
     lines = spark.read.text(messages_text(spark, sf_dir))
-    (lines.select(F.lit(None).cast("string").alias("key"), "value", F.lit("events").alias("topic"),
+    (lines.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
+                  F.lit("events").alias("topic"),
                   F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"),
                   F.current_timestamp().alias("timestamp")).write.parquet(path))

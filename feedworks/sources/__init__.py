@@ -1,6 +1,6 @@
 from feedworks.sources.delimited import delimited
 from feedworks.sources.jdbc import jdbc_options, jdbc_table
-from feedworks.sources.kafka import kafka_messages, kafka_options
+from feedworks.sources.kafka import as_messages, kafka_messages, kafka_options
 from feedworks.sources.xml import (
     parse_xml_column,
     quarantined,
@@ -11,7 +11,7 @@ from feedworks.sources.xml import (
 )
 
 __all__ = [
-    "delimited", "jdbc_options", "jdbc_table", "kafka_messages", "kafka_options",
-    "parse_xml_column", "quarantined", "well_formed", "xml_event_rows",
-    "xml_records", "xml_stream",
+    "as_messages", "delimited", "jdbc_options", "jdbc_table", "kafka_messages",
+    "kafka_options", "parse_xml_column", "quarantined", "well_formed",
+    "xml_event_rows", "xml_records", "xml_stream",
 ]

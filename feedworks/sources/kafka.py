@@ -19,11 +19,17 @@ def kafka_options(servers: str, topic: str, *, starting: str = "latest",
     return {k: str(v) for k, v in options.items() if v is not None}
 
 
-def kafka_messages(spark: SparkSession, servers: str, topic: str, **settings) -> DataFrame:
-    """Stream of messages with key and value as strings."""
-    raw = spark.readStream.format("kafka").options(**kafka_options(servers, topic, **settings)).load()
-    return raw.select(
+def kafka_messages(spark: SparkSession, servers: str, topic: str, fmt: str = "kafka",
+                   **settings) -> DataFrame:
+    """Stream of messages with key and value as strings, from the connector
+    registered as ``fmt``."""
+    return as_messages(
+        spark.readStream.format(fmt).options(**kafka_options(servers, topic, **settings)).load())
+
+
+def as_messages(log: DataFrame) -> DataFrame:
+    """Key and value of a message log, which are bytes, as strings."""
+    return log.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
-        "topic", "partition", "offset", "timestamp",
-    )
+        "topic", "partition", "offset", "timestamp")

@@ -1,11 +1,15 @@
 import pytest
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import (
+    DataSource, DataSourceWriter, SimpleDataSourceStreamReader, WriterCommitMessage,
+)
 
 from feedworks import workspace
 from feedworks.operators import messages
+from feedworks.plans import jobs
 from feedworks.schema import MESSAGE_COLUMNS
-from feedworks.sinks import index_options, write_index
+from feedworks.sinks import current_state, index_options, write_index
 from feedworks.sources import delimited, jdbc_options, kafka_options
+from feedworks.streaming import upsert_sink
 
 
 def test_delimited(spark, tmp_path):
@@ -105,3 +109,48 @@ def test_workspace_uses_the_shared_folder(spark):
     df = workspace.materialise(spark.range(5), "numbers")
     assert df.inputFiles()[0].removeprefix("file://").startswith(workspace.root(spark))
     assert df.count() == 5
+
+
+def broker():
+    """Stands in for the Kafka connector: two messages, then nothing."""
+
+    class Reader(SimpleDataSourceStreamReader):
+        def initialOffset(self):
+            return {"n": 0}
+
+        def read(self, start):
+            rows = [("k", b"r1,e1,n1"), (None, b"r2,e2,n2")] if start["n"] == 0 else []
+            return iter([(k, v, "events", 0, i, None) for i, (k, v) in enumerate(rows)]), {"n": 2}
+
+        def readBetweenOffsets(self, start, end):
+            return self.read(start)[0]
+
+        def commit(self, end):
+            pass
+
+    class Broker(DataSource):
+        @classmethod
+        def name(cls):
+            return "broker"
+
+        def schema(self):
+            assert self.options["subscribe"] == "events" and self.options["startingoffsets"] == "latest"
+            return ("key string, value binary, topic string, partition int, offset long, "
+                    "timestamp timestamp")
+
+        def simpleStreamReader(self, schema):
+            return Reader()
+
+    return Broker
+
+
+def test_kafka_to_upsert(spark, tmp_path):
+    spark.dataSource.register(broker())
+    query = jobs.kafka_to(spark, "h:1", "events", upsert_sink(str(tmp_path / "out"), "event_id"),
+                          str(tmp_path / "checkpoint"), interval="1 second", fmt="broker")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    state = current_state(spark, str(tmp_path / "out"), "event_id").select("network_id", "event_id")
+    assert sorted(tuple(r) for r in state.collect()) == [("n1", "e1"), ("n2", "e2")]
