@@ -13,17 +13,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local: dict[str, str] = {}
 
 
 def root(spark: SparkSession) -> str:
     """The folder of this Spark application inside the shared folder."""
+    context = spark.sparkContext
     base = spark.conf.get(_SETTING, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"{_SETTING} must name a folder all executors share")
-        base = tempfile.mkdtemp(prefix="feedworks-")
-        spark.conf.set(_SETTING, base)
-    return f"{base.rstrip('/')}/feedworks/{spark.sparkContext.applicationId}"
+        if context.applicationId not in _local:
+            _local[context.applicationId] = tempfile.mkdtemp(prefix="feedworks-")
+        base = _local[context.applicationId]
+    return f"{base.rstrip('/')}/feedworks/{context.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql.datasource import (
     DataSource, DataSourceWriter, SimpleDataSourceStreamReader, WriterCommitMessage,
@@ -154,3 +156,18 @@ def test_kafka_to_upsert(spark, tmp_path):
         query.stop()
     state = current_state(spark, str(tmp_path / "out"), "event_id").select("network_id", "event_id")
     assert sorted(tuple(r) for r in state.collect()) == [("n1", "e1"), ("n2", "e2")]
+
+
+class Session:
+    """As much of a session as the workspace asks for."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = SimpleNamespace(master=master, applicationId="app-1")
+
+
+def test_workspace_on_a_cluster():
+    assert workspace.root(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared/feedworks/app-1"
+    with pytest.raises(RuntimeError):
+        workspace.root(Session("yarn"))
+    assert workspace.root(Session("local[2]")) == workspace.root(Session("local[2]"))
