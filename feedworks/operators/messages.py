@@ -21,13 +21,15 @@ def decode_csv(df: DataFrame, column: str = "value", schema: T.StructType = MESS
     """
     text = F.col(column).cast("string")
     if quoting:
-        decoded = F.from_csv(text, schema.simpleString().removeprefix("struct<").removesuffix(">")
-                             .replace(":", " "), {"sep": sep})
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        decoded = F.from_csv(text, fields, {"sep": sep})
         return df.select(decoded.alias("_message")).select("_message.*")
-    bare = F.regexp_replace(text, f"[{sep}]+$", "")
-    parts = df.select(F.split(bare, f"[{sep}]", -1).alias("_parts"))
-    return parts.select(*[F.get("_parts", F.lit(i)).alias(name)
-                          for i, name in enumerate(schema.names)])
+    literal = rf"\Q{sep}\E"
+    bare = F.regexp_replace(text, f"(?:{literal})+$", "")
+    parts = (F.when((bare == "") & (text != ""), F.array().cast("array<string>"))
+             .otherwise(F.split(bare, literal, -1)))
+    return df.select(parts.alias("_parts")).select(*[
+        F.get("_parts", F.lit(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(schema)])
 
 
 def project_ids(messages: DataFrame) -> DataFrame:

@@ -28,7 +28,9 @@ def with_file_position(df: DataFrame) -> DataFrame:
 
 def with_range_blocks(df: DataFrame, *columns: str | Column) -> DataFrame:
     """Cut ``df`` into blocks by ranges of ``columns``; a heavy leading value is
-    spread over several blocks. Use the result in one job only."""
+    spread over several blocks. There are ``spark.sql.shuffle.partitions`` blocks
+    at most, and ``df`` is read once more for a sample of its values. Use the
+    result in one job only."""
     return df.repartitionByRange(*columns).withColumn(BLOCK, F.spark_partition_id())
 
 

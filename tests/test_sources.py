@@ -37,8 +37,9 @@ def test_messages(spark):
 
 
 def test_messages_without_quoting(spark):
-    assert decoded(spark, "1,,3,,,", '1,"x,y"', quoting=False) == [
-        row("1", "", "3"), row("1", '"x', 'y"')]
+    assert decoded(spark, "1,,3,,,", '1,"x,y"', ",,", "", quoting=False) == [
+        row("1", "", "3"), row("1", '"x', 'y"'), row(), row("")]
+    assert decoded(spark, "1^2^^", quoting=False, sep="^") == [row("1", "2")]
 
 
 def test_message_ids(spark):
