@@ -167,6 +167,8 @@ ORACLE_SQL = {
     "xml_events_21": _EVENTS_21,
     "xml_events_20": _EVENTS_20,
     "xml_events_raw": _RAW,
+    "xml_wrapped_files": _EVENTS_21,
+    "xml_whole_files": _EVENTS_20,
     "xml_column_parse": _EVENTS_21,
     "xml_corrupt_split": _CORRUPT_SPLIT,
     "xml_large_document": _EVENTS_21,

@@ -48,6 +48,16 @@ def xml_events_raw(spark, sf_dir):
                         for c in raw.columns])
 
 
+def xml_wrapped_files(spark, sf_dir):
+    wrapped = xml_records(spark, staging.wrapped_xml(spark, sf_dir))
+    return nested.flatten_structs(event_records(wrapped))
+
+
+def xml_whole_files(spark, sf_dir):
+    wrapped = xml_records(spark, staging.wrapped_xml(spark, sf_dir), whole_files=True)
+    return nested.flatten_structs(event_records(wrapped, doc_id=False))
+
+
 def xml_column_parse(spark, sf_dir):
     documents = spark.read.parquet(staging.events_xml_column(spark, sf_dir))
     return nested.flatten_structs(event_records(parse_xml_column(documents, "document")))
@@ -255,10 +265,11 @@ def preview_top_n(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in [
-    xml_events_21, xml_events_20, xml_events_raw, xml_column_parse, xml_corrupt_split,
-    xml_large_document, raw_archive_roundtrip, json_roundtrip, csv_flat_roundtrip, csv_strings,
-    json_lines, positional_rename, segments_conversations, segments_order_ranges,
-    segments_file_order, subject_lines, table_create_append, upsert_replace, upsert_merge,
-    upsert_compacted, upsert_from_csv, stream_xml_json, stream_xml_table, stream_xml_upsert,
+    xml_events_21, xml_events_20, xml_events_raw, xml_wrapped_files, xml_whole_files,
+    xml_column_parse, xml_corrupt_split, xml_large_document, raw_archive_roundtrip,
+    json_roundtrip, csv_flat_roundtrip, csv_strings, json_lines, positional_rename,
+    segments_conversations, segments_order_ranges, segments_file_order, subject_lines,
+    table_create_append, upsert_replace, upsert_merge, upsert_compacted, upsert_from_csv,
+    stream_xml_json, stream_xml_table, stream_xml_upsert,
     stream_messages_ids, messages_decode_26, messages_decode_plain, preview_top_n,
 ]}

@@ -77,26 +77,33 @@ def _xml(net: Column) -> Column:
 
 
 def _records(events: DataFrame) -> DataFrame:
-    """XML records of at most EVENTS_PER_RECORD events, ids being unique; within
-    a record the events stand below their networks. One shuffle."""
+    """Records of at most EVENTS_PER_RECORD events, ids being unique; within a
+    record the events stand below their networks. One shuffle."""
     return (feed_events(events)
             .withColumn("record", F.floor(F.col("event_id") / EVENTS_PER_RECORD))
             .repartition(n_files(events), "record")
             .groupBy("record", "_id", "_name").agg(F.collect_list("event").alias("event"))
-            .groupBy("record").agg(F.collect_list(F.struct("_id", "_name", "event")).alias("net"))
-            .select("record", _xml(F.col("net")).alias("value")))
+            .groupBy("record").agg(F.collect_list(F.struct("_id", "_name", "event")).alias("net")))
 
 
 @_once
 def events_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
     """``events`` as files of XML records, written over several lines each."""
-    _records(table(spark, sf_dir, "events")).select("value").write.text(path)
+    records = _records(table(spark, sf_dir, "events"))
+    records.select(_xml(F.col("net")).alias("value")).write.text(path)
+
+
+@_once
+def wrapped_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """``events`` as complete XML files, the records inside a root element."""
+    records = _records(table(spark, sf_dir, "events"))
+    records.select("net").write.format("xml").options(rowTag=ROW_TAG, rootTag="feed").save(path)
 
 
 @_once
 def events_xml_column(spark: SparkSession, sf_dir: str, path: str) -> None:
     """``events`` as a table of XML texts, each inside a wrapper element."""
-    wrapped = F.concat(F.lit("<feed>"), F.col("value"), F.lit("</feed>"))
+    wrapped = F.concat(F.lit("<feed>"), _xml(F.col("net")), F.lit("</feed>"))
     (_records(table(spark, sf_dir, "events")).select("record", wrapped.alias("document"))
      .write.parquet(path))
 
