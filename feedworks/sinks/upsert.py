@@ -40,7 +40,7 @@ def keyed_upsert(df: DataFrame, path: str, key: str | list[str],
     if batch_id is None:
         batch_id = max(written, default=-1) + 1
     check_batch(batch_id, written, path)
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in flat.columns]).alias("tie")
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in flat.columns]).alias("_tie")
     log = flat.withColumn(_ORDER, F.struct(*order_by, tie))
     write_batch(log, f"{path}/log", batch_id)
     return batch_id
