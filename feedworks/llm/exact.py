@@ -48,7 +48,8 @@ def directory(keys: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     levels = levels.withColumn("bucket", F.expr(f"shiftright(prefix, {MOST_BITS} - depth)"))
     held = levels.groupBy("depth", "bucket").agg(F.sum("keys").alias("held"))
     fits = (F.col("held") <= bucket_keys) | (F.col("depth") == MOST_BITS)
-    depths = (levels.join(held, ["depth", "bucket"]).filter(fits)
+    # At most 2 ** (MOST_BITS + 1) nodes, so they can be sent to every task.
+    depths = (levels.join(F.broadcast(held), ["depth", "bucket"]).filter(fits)
               .groupBy("prefix").agg(F.min("depth").alias("depth")))
     start = F.expr(f"shiftleft(shiftright(prefix, {MOST_BITS} - depth), {MOST_BITS} - depth)")
     return depths.select("prefix", "depth", start.alias("bucket"))

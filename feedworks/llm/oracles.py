@@ -1,6 +1,7 @@
 """The queries' results as DuckDB SQL, where SQL can express them."""
 
 from feedworks.llm.rows import LOWER, UPPER
+from feedworks.llm.sharding import SHARDS, TABLE_SIZE, fill_table
 
 _NORMAL = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 _WORDS = r"'[^\x20\x09-\x0D]+'"
@@ -77,4 +78,18 @@ components AS (
 SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM components
 """
 
-ORACLE_SQL = {"op1_source_mixing": OP1, "op3_exact_dedup": OP3, "op5_near_duplicates": OP5}
+_TABLES = [",".join(map(str, fill_table(shards))) for shards in (SHARDS, SHARDS[:-1])]
+
+OP9 = f"""
+WITH keyed AS (
+  SELECT doc_id, CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(coalesce(text, '')))), 1, 15))
+                      AS BIGINT) % {TABLE_SIZE} AS slot FROM documents),
+tables AS (SELECT string_split('{_TABLES[0]}', ',') AS every, string_split('{_TABLES[1]}', ',') AS fewer),
+slots AS (SELECT unnest(range(len(every))) AS slot, unnest(every) AS shard, unnest(fewer) AS shard_without_last FROM tables)
+SELECT doc_id, CAST(slot AS INTEGER) AS slot, CAST(shard AS INTEGER) AS shard,
+       CAST(shard_without_last AS INTEGER) AS shard_without_last
+FROM keyed JOIN slots USING (slot)
+"""
+
+ORACLE_SQL = {"op1_source_mixing": OP1, "op3_exact_dedup": OP3, "op5_near_duplicates": OP5,
+              "op9_sharding": OP9}

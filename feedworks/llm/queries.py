@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedworks import workspace
-from feedworks.llm import exact, fingerprints, mixing, neardup, packing, toxicity
+from feedworks.llm import exact, fingerprints, language, mixing, neardup, packing, pii, secrets, sharding, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,12 +34,34 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def _span_digest(spans, kinds: tuple[str, ...]):
+    """``kind:start:end`` of each span, comma-joined."""
+    names = F.array(*map(F.lit, kinds))
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _of_kind(spans, *kinds: int):
+    return F.filter(spans, lambda s: s["kind"].isin(*kinds))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secrets(_read(spark, sf_dir, "documents"))
+    counts = [F.size(_of_kind("spans", i)).cast("long").alias(f"n_{secrets.KINDS[i]}") for i in range(3)]
+    return found.select("doc_id", *counts, F.sha2(_span_digest(_of_kind("spans", 0, 1, 2), secrets.KINDS), 256).alias("base_sha256"),
+                        _span_digest(F.col("spans"), secrets.KINDS).alias("spans"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id",
                         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op6_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.page_languages(_read(spark, sf_dir, "pages"), _read(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -48,5 +70,19 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(_read(spark, sf_dir, "documents"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place_documents(_read(spark, sf_dir, "documents"))
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(_read(spark, sf_dir, "documents"))
+    kinds = (*pii.KINDS, *(f"near_{kind}" for kind in pii.KINDS))
+    counts = [F.size(_of_kind("spans", i)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(_span_digest(_of_kind("spans", 0, 1, 2, 3), kinds), 256).alias("base_sha256"),
+                        _span_digest(F.col("spans"), kinds).alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_source_mixing, op2_window_packing, op3_exact_dedup, op5_near_duplicates, op7_toxicity, op8_fingerprints)}
+    op1_source_mixing, op2_window_packing, op3_exact_dedup, op4_secret_scan,
+    op5_near_duplicates, op6_page_language, op7_toxicity, op8_fingerprints,
+    op9_sharding, op10_personal_data)}
