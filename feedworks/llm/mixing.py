@@ -164,7 +164,8 @@ def schedule(sizes: DataFrame, sources: DataFrame) -> DataFrame:
               .withColumn("cut", F.greatest(F.col("low"), F.col("block_number") * F.col("block")))
               .withColumn("words", F.least(F.col("high"), (F.col("block_number") + 1) * F.col("block")) - F.col("cut"))
               .select(*ROW, "doc_id", "number", "block_number", (F.col("cut") - F.col("low")).alias("from_word"), "words"))
-    return pieces.join(source_slots(sources), ["number", "block_number"]).drop("block_number")
+    # Few sources make many slots, which Spark's estimate doesn't see: never broadcast them.
+    return pieces.join(source_slots(sources).hint("merge"), ["number", "block_number"]).drop("block_number")
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most_repeats: int = MOST_REPEATS,
