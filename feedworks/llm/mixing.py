@@ -78,16 +78,16 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most_repe
               .withColumn("quota", F.floor(F.col("target") + 0.5).cast("long"))
               .withColumn("all_quotas", F.sum("quota").over(everything))
               .withColumn("through", F.sum("quota").over(by_name.rowsBetween(Window.unboundedPreceding, 0))))
-    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("all_quotas") / block_words))).cast("int")
-    point = lambda upto: F.floor(upto.cast("double") / F.col("all_quotas") * F.col("slots")).cast("long")
+    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest("all_quotas", F.lit(1)) / block_words))).cast("int")
+    point = lambda upto: F.floor(upto.cast("double") / F.greatest("all_quotas", F.lit(1)) * F.col("slots")).cast("long")
     columns = ["number", "source", "source_size", "target", "quota", "bits", "buckets",
                "block", "first_point", "end_point"]
     return workspace.materialise(
-        quotas.withColumn("bits", F.when(F.col("all_quotas") > 0, bits).otherwise(0))
+        quotas.withColumn("bits", bits)
         .withColumn("slots", F.expr("shiftleft(1L, bits)"))
         .withColumn("block", F.ceil(F.col("all_quotas") / F.col("slots")).cast("long") + 1)
-        .withColumn("first_point", F.coalesce(point(F.col("through") - F.col("quota")), F.lit(0)))
-        .withColumn("end_point", F.coalesce(point(F.col("through")), F.lit(0)))
+        .withColumn("first_point", point(F.col("through") - F.col("quota")))
+        .withColumn("end_point", point(F.col("through")))
         .withColumn("buckets", F.least(F.lit(_MOST_BUCKETS), F.ceil(F.col("rows") / _BUCKET_ROWS)).cast("int"))
         .select(*columns), "mix_sources")
 
