@@ -4,10 +4,11 @@ Rules find assignments, access keys and long hex strings. Beside them every long
 run of identifier characters is scored by two first-order Markov models of
 characters, one of random strings and one of ordinary identifiers: the sum over its
 character pairs of log P(pair | random) - log P(pair | ordinary). Runs above
-:data:`LEAST_RATIO` are spans of kind ``markov`` unless a rule's span overlaps them.
+:data:`LEAST_RATIO` are spans of kind ``markov`` unless they have no letter, as card and
+account numbers, or a rule's span overlaps them.
 
 The models are trained on labelled samples from a bounded number of documents: strings that the
-rules find are labelled random, all other runs ordinary. The random model is mixed half
+rules find are labelled random, other runs that occur in several texts ordinary. The random model is mixed half
 and half with uniform characters; the ordinary model falls back on single characters.
 
 All steps are DataFrame functions. Places are counted in code points: a text is cut at
@@ -85,15 +86,17 @@ def log_ratios(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> list[floa
     for kind in ("assign", "access", "hex"):
         rest = F.regexp_replace(rest, PATTERNS[kind], " ")
     ordinary = F.regexp_extract_all(rest, F.lit("[A-Za-z0-9+/_=-]{%d,}" % _SHORTEST_SAMPLE), F.lit(0))
-    strings = (sample.select(F.lit(True).alias("random"), F.explode(random).alias("value"))
-               .unionAll(sample.select(F.lit(False).alias("random"), F.explode(ordinary).alias("value")))
-               .filter(F.char_length("value") >= _SHORTEST_SAMPLE))
+    text_key = F.xxhash64("text").alias("in_text")
+    strings = (sample.select(F.lit(True).alias("random"), text_key, F.explode(random).alias("value"))
+               .unionAll(sample.select(F.lit(False).alias("random"), text_key, F.explode(ordinary).alias("value")))
+               .filter(F.char_length("value") >= _SHORTEST_SAMPLE).distinct()
+               .groupBy("random", "value").agg(F.count("*").alias("texts")).filter("random or texts > 1"))
     codes = _codes(F.col("value"))
     pairs = F.zip_with(F.slice(codes, F.lit(1), F.size(codes) - 1), F.slice(codes, F.lit(2), F.size(codes) - 1),
                        lambda one, other: F.struct(one.alias("one"), other.alias("other")))
-    counts = (strings.select("random", F.explode(pairs).alias("pair")).select("random", "pair.*")
-              .filter("one > 0 and other > 0").groupBy("random", "one", "other").count().collect())
-    return _ratios({(r["random"], r["one"] - 1, r["other"] - 1): r["count"] for r in counts})
+    counts = (strings.select("random", "texts", F.explode(pairs).alias("pair")).select("random", "texts", "pair.*")
+              .filter("one > 0 and other > 0").groupBy("random", "one", "other").agg(F.sum("texts").alias("times")).collect())
+    return _ratios({(r["random"], r["one"] - 1, r["other"] - 1): r["times"] for r in counts})
 
 
 def _ratios(counts: dict[tuple[bool, int, int], int]) -> list[float]:
@@ -133,7 +136,7 @@ def secrets(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> DataFrame:
     ratios = log_ratios(docs, training_rows)
     markov = KINDS.index("markov")
     rows = numbered(docs, text_of(docs))
-    random = ((F.size(F.array_distinct(F.split("value", ""))) >= LEAST_DISTINCT)
+    random = (F.col("value").rlike("[A-Za-z]") & (F.size(F.array_distinct(F.split("value", ""))) >= LEAST_DISTINCT)
               & (ratio(F.col("value"), ratios) >= LEAST_RATIO))
     found = passing(matches(rows)).filter((F.col("kind") != markov) | random)
     spans = found.groupBy(*ROW).agg(F.collect_list(F.struct("start", "kind", "end")).alias("spans"))
