@@ -13,9 +13,9 @@ Pairs within a bucket are never all formed:
 
 1. Every member is paired with the smallest one, and links make components.
 2. Where a bucket still holds several components, the members outside its largest
-   one are paired with all members of other components. If these are many, the bucket
-   is first split by a second band of each member, which linked documents share as
-   surely as they share the first.
+   one meet all members of other components, and pairs are formed of those whose
+   estimate comes near the limit. If the members outside are many, the bucket is first split
+   by a second band of each member, which linked documents share as surely as the first.
 
 Defined results: null text has no words; a document without words has no shingles
 and is alone; with fewer words than a shingle has, the whole text is one; copies are
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedworks import workspace
@@ -44,7 +44,7 @@ BANDS, BAND_ROWS = 64, 4
 #: standard deviations of an estimate from 256 minima.
 SLACK = 0.21
 #: Members outside the largest component from which a bucket is split by a second band.
-CROWDED = 64
+CROWDED = 1024
 
 _HASHES = BANDS * BAND_ROWS
 _A = (mix(np.arange(1, _HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -166,14 +166,28 @@ def _with_both(pairs: DataFrame, side: DataFrame, columns: list[str]) -> DataFra
     return pairs
 
 
+_LONGS = _HASHES // 32
+
+
+def _signature(name: str, column: str = "signature") -> list[Column]:
+    """The numbers of a signature as columns ``<name>0``, ``<name>1``, ..."""
+    return [F.get(column, F.lit(i)).alias(f"{name}{i}") for i in range(_LONGS)]
+
+
+def _comes_near(one: str, other: str) -> Column:
+    """Whether the similarity estimated from two signatures comes near the limit."""
+    differ = F.expr(" + ".join(
+        f"bit_count((({one}{i} ^ {other}{i}) | shiftrightunsigned({one}{i} ^ {other}{i}, 1)) & {0x5555555555555555}L)"
+        for i in range(_LONGS)))
+    estimate = (1 - differ / F.lit(float(_HASHES)) - 0.25) / 0.75
+    return estimate >= LIMIT / 100 - SLACK
+
+
 def promising(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose estimated similarity comes near the limit."""
-    odd = "0x5555555555555555"
-    differ = F.expr("aggregate(zip_with(signature_a, signature_b, (x, y) -> bit_count("
-                    f"((x ^ y) | shiftrightunsigned(x ^ y, 1)) & {int(odd, 16)}L)), 0, (t, n) -> t + n)")
-    agree = 1 - differ / F.lit(float(_HASHES))
-    estimate = (agree - 0.25) / 0.75
-    return (_with_both(pairs, sets, ["signature"]).filter(estimate >= LIMIT / 100 - SLACK).select("a", "b"))
+    signed = _with_both(pairs, sets, ["signature"]).select(
+        "a", "b", *_signature("one", "signature_a"), *_signature("other", "signature_b"))
+    return signed.filter(_comes_near("one", "other")).select("a", "b")
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -216,25 +230,27 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _left_over(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of the buckets that hold several components: all members, and those outside
-    the largest component with ``outside``, how many these are; both written."""
+def _left_over(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with ``largest``, the
+    largest of these, ``outside``, how many members aren't in it, and signatures; written."""
     labelled = (members.join(labels, "id", "left")
                 .select("bucket", "id", "n_shingles", F.coalesce("component", "id").alias("component")))
     parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("size"))
     mixed = (parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("size").alias("members"),
                                          F.max("size").alias("most"), F.max_by("component", "size").alias("largest"))
              .filter("parts > 1").select("bucket", "largest", (F.col("members") - F.col("most")).alias("outside")))
-    left = workspace.materialise(labelled.join(mixed, "bucket"), "near_left")
-    return left, left.filter("component != largest")
+    return workspace.materialise(
+        labelled.join(mixed, "bucket").join(sets.select("id", *_signature("one")), "id"), "near_left")
 
 
-def _across(left: DataFrame, outside: DataFrame) -> DataFrame:
-    """Pairs of each member outside with all members of other components."""
+def _across(left: DataFrame) -> DataFrame:
+    """Pairs of a member outside and a member of another component that come near the limit."""
     other = left.select("bucket", F.col("id").alias("with"), F.col("component").alias("its"),
-                        F.col("n_shingles").alias("size"))
-    return (outside.join(other, "bucket")
-            .filter((F.col("component") != F.col("its")) & _sizes_fit("n_shingles", "size"))
+                        F.col("n_shingles").alias("size"), *[F.col(f"one{i}").alias(f"other{i}") for i in range(_LONGS)])
+    fits = (F.col("component") != F.col("its")) & _sizes_fit("n_shingles", "size") & _comes_near("one", "other")
+    # The condition belongs to the join, so that only pairs which meet it are made.
+    outside = left.filter("component != largest").alias("o")
+    return (outside.join(other.alias("w"), (F.col("o.bucket") == F.col("w.bucket")) & fits)
             .select(*_pair("id", "with")))
 
 
@@ -257,13 +273,13 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     first = confirmed(docs, tried, sets)
     labels = components(first)
 
-    left, outside = _left_over(members, labels)
-    pairs = _across(left.filter(F.col("outside") <= CROWDED), outside.filter(F.col("outside") <= CROWDED))
+    left = _left_over(members, labels, sets)
+    pairs = _across(left.filter(F.col("outside") <= CROWDED))
     crowded = left.filter(F.col("outside") > CROWDED)
     if not crowded.isEmpty():
-        pairs = pairs.union(_across(*_left_over(_split(crowded, sets), labels)))
+        pairs = pairs.union(_across(_left_over(_split(crowded, sets), labels, sets)))
     fresh = pairs.distinct().join(tried, ["a", "b"], "left_anti")
-    second = confirmed(docs, workspace.materialise(promising(fresh, sets), "near_pairs"), sets)
+    second = confirmed(docs, workspace.materialise(fresh, "near_pairs"), sets)
     return first.union(second)
 
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a longer text is handled alone.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
