@@ -12,10 +12,12 @@ falls short by more than :data:`SLACK` less often than that.
 Pairs within a bucket are never all formed:
 
 1. Every member is paired with the smallest one, and links make components.
-2. Where a bucket still holds several components, the members outside its largest
-   one meet all members of other components, and pairs are formed of those whose
-   estimate comes near the limit. If the members outside are many, the bucket is first split
-   by a second band of each member, which linked documents share as surely as the first.
+2. Where a bucket still holds several components, the members outside its largest one
+   meet the members of other components in blocks. A task looks at the estimates of two
+   blocks and names just enough pairs to connect all members that come near another.
+   So connected, they make clusters.
+3. Within a cluster, full sets meet in blocks in the same way, and a task names the
+   links that join components.
 
 Defined results: null text has no words; a document without words has no shingles
 and is alone; with fewer words than a shingle has, the whole text is one; copies are
@@ -43,8 +45,8 @@ BANDS, BAND_ROWS = 64, 4
 #: How far an estimate may lie below the limit before a pair is given up: six
 #: standard deviations of an estimate from 256 minima.
 SLACK = 0.21
-#: Members outside the largest component from which a bucket is split by a second band.
-CROWDED = 1024
+#: Rows of a group that meet those of another block in one task.
+BLOCK = 512
 
 _HASHES = BANDS * BAND_ROWS
 _A = (mix(np.arange(1, _HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -166,40 +168,33 @@ def _with_both(pairs: DataFrame, side: DataFrame, columns: list[str]) -> DataFra
     return pairs
 
 
-_LONGS = _HASHES // 32
-
-
-def _signature(name: str, column: str = "signature") -> list[Column]:
-    """The numbers of a signature as columns ``<name>0``, ``<name>1``, ..."""
-    return [F.get(column, F.lit(i)).alias(f"{name}{i}") for i in range(_LONGS)]
-
-
-def _comes_near(one: str, other: str) -> Column:
-    """Whether the similarity estimated from two signatures comes near the limit."""
-    differ = F.expr(" + ".join(
-        f"bit_count((({one}{i} ^ {other}{i}) | shiftrightunsigned({one}{i} ^ {other}{i}, 1)) & {0x5555555555555555}L)"
-        for i in range(_LONGS)))
-    estimate = (1 - differ / F.lit(float(_HASHES)) - 0.25) / 0.75
-    return estimate >= LIMIT / 100 - SLACK
+_ODD = 0x5555555555555555
 
 
 def promising(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose estimated similarity comes near the limit."""
-    signed = _with_both(pairs, sets, ["signature"]).select(
-        "a", "b", *_signature("one", "signature_a"), *_signature("other", "signature_b"))
-    return signed.filter(_comes_near("one", "other")).select("a", "b")
+    differ = F.aggregate(
+        F.zip_with("signature_a", "signature_b", lambda x, y: F.bit_count(
+            x.bitwiseXOR(y).bitwiseOR(F.shiftrightunsigned(x.bitwiseXOR(y), 1)).bitwiseAND(F.lit(_ODD)))),
+        F.lit(0), lambda total, n: total + n)
+    estimate = (1 - differ / F.lit(float(_HASHES)) - 0.25) / 0.75
+    return _with_both(pairs, sets, ["signature"]).filter(estimate >= LIMIT / 100 - SLACK).select("a", "b")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that are linked, by their full sets; written. ``pairs`` is a written table."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+def full_sets(docs: DataFrame, sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """The shingles of the classes in ``ids``: id, shingles; written. Only their texts are read again."""
     wanted = workspace.materialise(sets.join(ids, "id").select("id", "text_key"), "near_wanted")
     keys = wanted.select("text_key").distinct()
     text = text_of(docs)
     texts = (docs.select(F.xxhash64(text).alias("text_key"), text)
              .join(broadcast_if_small(keys), "text_key", "left_semi"))
     found = texts.mapInArrow(_sets, "text_key long, shingles array<long>").dropDuplicates(["text_key"])
-    full = workspace.materialise(wanted.join(found, "text_key").select("id", "shingles"), "near_sets")
+    return workspace.materialise(wanted.join(found, "text_key").select("id", "shingles"), "near_sets")
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that are linked, by their full sets; written. ``pairs`` is a written table."""
+    full = full_sets(docs, sets, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
     union = F.size("shingles_a") + F.size("shingles_b") - shared
     return workspace.materialise(
@@ -230,37 +225,125 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _left_over(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, with ``largest``, the
-    largest of these, ``outside``, how many members aren't in it, and signatures; written."""
-    labelled = (members.join(labels, "id", "left")
-                .select("bucket", "id", "n_shingles", F.coalesce("component", "id").alias("component")))
-    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-    mixed = (parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("size").alias("members"),
-                                         F.max("size").alias("most"), F.max_by("component", "size").alias("largest"))
-             .filter("parts > 1").select("bucket", "largest", (F.col("members") - F.col("most")).alias("outside")))
-    return workspace.materialise(
-        labelled.join(mixed, "bucket").join(sets.select("id", *_signature("one")), "id"), "near_left")
-
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
-def _across(left: DataFrame) -> DataFrame:
-    """Pairs of a member outside and a member of another component that come near the limit."""
-    other = left.select("bucket", F.col("id").alias("with"), F.col("component").alias("its"),
-                        F.col("n_shingles").alias("size"), *[F.col(f"one{i}").alias(f"other{i}") for i in range(_LONGS)])
-    fits = (F.col("component") != F.col("its")) & _sizes_fit("n_shingles", "size") & _comes_near("one", "other")
-    # The condition belongs to the join, so that only pairs which meet it are made.
-    outside = left.filter("component != largest").alias("o")
-    return (outside.join(other.alias("w"), (F.col("o.bucket") == F.col("w.bucket")) & fits)
-            .select(*_pair("id", "with")))
 
+def _dealt(rows: DataFrame, key: str, more: DataFrame) -> DataFrame:
+    """Deals the rows of every group of ``key`` that holds several components to tasks in
+    which all pairs of different components meet, outside the largest one at least on one side.
 
-def _split(crowded: DataFrame, sets: DataFrame) -> DataFrame:
-    """Members of crowded buckets under their bucket combined with each other band."""
-    second = (crowded.select("bucket", "id", "n_shingles").join(sets.select("id", "bands"), "id")
-              .withColumn("band", F.explode("bands")).filter("band != bucket"))
-    return workspace.materialise(
-        second.select(F.xxhash64(F.least("bucket", "band"), F.greatest("bucket", "band")).alias("bucket"),
-                      "id", "n_shingles").distinct(), "near_split")
+    Rows outside and rows of the largest component are cut into blocks of about :data:`BLOCK`
+    rows by hash. A task holds a block outside and any other block, or the same. Adds ``one``
+    and ``two``, the task's blocks, ``first``, whether the row is of the former, and the
+    columns that ``more`` has for the row's id.
+    """
+    parts = rows.groupBy(key, "component").agg(F.count("*").alias("size"))
+    mixed = (parts.groupBy(key).agg(F.count("*").alias("parts"), F.sum("size").alias("members"),
+                                    F.max("size").alias("most"), F.max_by("component", "size").alias("largest"))
+             .filter("parts > 1")
+             .select(key, "largest", F.ceil((F.col("members") - F.col("most")) / BLOCK).cast("int").alias("outer"),
+                     F.ceil(F.col("most") / BLOCK).cast("int").alias("inner")))
+    every = rows.join(mixed, key).join(more, "id").withColumn("outside", F.col("component") != F.col("largest"))
+    every = every.withColumn("block", F.pmod(F.xxhash64("id"), F.when(F.col("outside"), F.col("outer")).otherwise(F.col("inner"))).cast("int"))
+    outer = F.sequence(F.lit(0), F.col("outer") - 1)
+    task = lambda one, two: F.struct(one.alias("one"), two.alias("two"))
+    tasks = F.when(F.col("outside"), F.concat(
+        F.transform(outer, lambda other: task(F.least("block", other), F.greatest("block", other))),
+        F.transform(F.sequence(F.lit(0), F.col("inner") - 1), lambda other: task(F.col("block"), F.col("outer") + other))),
+    ).otherwise(F.transform(outer, lambda other: task(other, F.col("outer") + F.col("block"))))
+    dealt = every.withColumn("task", F.explode(tasks)).select(
+        *rows.columns, *[c for c in more.columns if c != "id"], "outside", "block", "task.*")
+    return (dealt.withColumn("first", F.col("outside") & (F.col("block") == F.col("one"))).drop("outside", "block")
+            .repartition(key, "one", "two").sortWithinPartitions(key, "one", "two"))
+
+
+def _tasks(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """The rows of one task after another, from sorted batches."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        whole = pa.Table.from_batches([*kept, batch]).combine_chunks()
+        names = np.stack([whole[c].to_numpy() for c in (key, "one", "two")])
+        borders = np.r_[0, np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1, len(whole)]
+        rows = whole.to_batches()[0] if len(whole) else batch
+        for low, high in zip(borders[:-2], borders[1:-1], strict=True):
+            yield rows.slice(low, high - low)
+        kept = [rows.slice(borders[-2], borders[-1] - borders[-2])] if len(whole) else []
+    yield from kept
+
+
+def _joining(ids: np.ndarray, labels: np.ndarray, one: np.ndarray, two: np.ndarray, near) -> list[tuple[int, int]]:
+    """Pairs that join rows of different labels, no more than needed. ``near(row)`` tells
+    which of the rows ``two`` go with a row of ``one``."""
+    labels = np.unique(labels, return_inverse=True)[1]
+    found = []
+    for row in one:
+        hits = two[near(row)]
+        hits = hits[labels[hits] != labels[row]]
+        if len(hits):
+            roots, first = np.unique(labels[hits], return_index=True)
+            found += [(int(ids[row]), int(ids[hits[i]])) for i in first]
+            labels[np.isin(labels, roots)] = labels[row]
+    return found
+
+
+def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())],
+                                      names=["a", "b"])
+
+
+def _sides(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    first = np.asarray(rows["first"].to_numpy(zero_copy_only=False), bool)
+    inside = rows["one"][0].as_py() == rows["two"][0].as_py()
+    return np.flatnonzero(first), np.arange(len(first)) if inside else np.flatnonzero(~first)
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task, pairs that connect all members which come near one of another component."""
+    least = (LIMIT / 100 - SLACK) * 0.75 + 0.25
+    for rows in _tasks(batches, "bucket"):
+        one, two = _sides(rows)
+        if not len(one) or not len(two):
+            continue
+        ids, component, size = (rows[c].to_numpy() for c in ("id", "component", "n_shingles"))
+        signature = np.asarray(rows["signature"].flatten()).view(np.uint64).reshape(len(ids), -1)
+
+        def near(row: int) -> np.ndarray:
+            differ = signature[two] ^ signature[row]
+            differ = np.bitwise_count((differ | (differ >> np.uint64(1))) & np.uint64(_ODD)).sum(axis=1, dtype=np.int64)
+            fits = 100 * np.minimum(size[two], size[row]) >= LIMIT * np.maximum(size[two], size[row])
+            return fits & (component[two] != component[row]) & (1 - differ / _HASHES >= least)
+
+        if found := _joining(ids, ids, one, two, near):
+            yield _edges(found)
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task, links that join different components, by full sets."""
+    for rows in _tasks(batches, "cluster"):
+        one, two = _sides(rows)
+        if not len(one) or not len(two):
+            continue
+        ids, component = rows["id"].to_numpy(), rows["component"].to_numpy()
+        sizes = np.asarray(rows["shingles"].value_lengths()).astype(np.int64)
+        values = np.asarray(rows["shingles"].flatten())
+        starts = np.r_[0, np.cumsum(sizes)]
+        place = np.full(len(ids), -1)
+        place[two] = np.arange(len(two))
+        owner = np.repeat(place, sizes)
+        order = np.argsort(values[owner >= 0], kind="stable")
+        listed, owner = values[owner >= 0][order], owner[owner >= 0][order]
+
+        def near(row: int) -> np.ndarray:
+            own = values[starts[row]:starts[row + 1]]
+            low, high = np.searchsorted(listed, own, "left"), np.searchsorted(listed, own, "right")
+            times = high - low
+            hits = np.repeat(low - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())
+            shared = np.bincount(owner[hits], minlength=len(two))
+            return 100 * shared >= LIMIT * (sizes[two] + sizes[row] - shared)
+
+        if found := _joining(ids, component, one, two, near):
+            yield _edges(found)
 
 
 def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -273,13 +356,17 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     first = confirmed(docs, tried, sets)
     labels = components(first)
 
-    left = _left_over(members, labels, sets)
-    pairs = _across(left.filter(F.col("outside") <= CROWDED))
-    crowded = left.filter(F.col("outside") > CROWDED)
-    if not crowded.isEmpty():
-        pairs = pairs.union(_across(_left_over(_split(crowded, sets), labels, sets)))
-    fresh = pairs.distinct().join(tried, ["a", "b"], "left_anti")
-    second = confirmed(docs, workspace.materialise(fresh, "near_pairs"), sets)
+    signed = sets.select("id", "signature")
+    near = _dealt(_labelled(members.select("bucket", "id", "n_shingles"), labels), "bucket", signed)
+    candidates = workspace.materialise(
+        near.select("bucket", "one", "two", "first", "id", "component", "n_shingles", "signature")
+        .mapInArrow(_candidates, "a long, b long").distinct(), "near_candidates")
+    clusters = components(candidates).withColumnRenamed("component", "cluster")
+    full = full_sets(docs, sets, clusters.select("id"))
+    dealt = _dealt(_labelled(clusters, labels), "cluster", full)
+    second = workspace.materialise(
+        dealt.select("cluster", "one", "two", "first", "id", "component", "shingles")
+        .mapInArrow(_linked, "a long, b long"), "near_links")
     return first.union(second)
 
 

@@ -127,8 +127,8 @@ def test_near_duplicates(spark, tmp_path, seed):
     assert found.filter("stays").count() == components
 
 
-def test_near_duplicates_of_crowded_buckets(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(neardup, "CROWDED", 1)
+def test_near_duplicates_in_many_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 3)
     rows = near_rows(3)
     assert plain(neardup.near_duplicates(documents(spark, rows, tmp_path / "docs")), *NEAR) == near_by_hand(rows)[0]
 
