@@ -41,15 +41,28 @@ def start_tag(fragment: Column, tag: str) -> Column:
 
 
 def tag_pieces(text: Column, *tags: str) -> Column:
-    """``text`` cut before every start tag of ``tags``; what precedes the first
-    one is dropped. Array of strings in text order."""
+    """``text`` cut before every start tag of ``tags``. Array of strings in text
+    order; the first is what precedes the first start tag."""
     if len(tags) == 1:
         # The pattern starts with a fixed text, which Java looks for in leaps.
         opening = f"<{tags[0]}"
-        rest = F.filter(F.split(text, rf"{opening}(?=[\s/>])", -1), lambda _, i: i > 0)
-        return F.transform(rest, lambda r: F.concat(F.lit(opening), r))
+        pieces = F.split(text, rf"{opening}(?=[\s/>])", -1)
+        return F.transform(pieces, lambda p, i: F.when(i > 0, F.concat(F.lit(opening), p)).otherwise(p))
+    # A cut at the very start gives no empty piece.
     pieces = F.split(text, rf"(?=<(?:{'|'.join(tags)})[\s/>])", -1)
-    return F.filter(pieces, lambda p, i: (i > 0) | p.rlike(rf"^<(?:{'|'.join(tags)})[\s/>]"))
+    at_once = F.get(pieces, F.lit(0)).rlike(rf"^<(?:{'|'.join(tags)})[\s/>]")
+    return F.when(at_once, F.concat(F.array(F.lit("")), pieces)).otherwise(pieces)
+
+
+def _cut(piece: Column, tag: str) -> Column:
+    """``piece`` before and after its first end tag."""
+    return F.split(piece, rf"</{tag}\s*>", 2)
+
+
+def stray(text: Column, tag: str) -> Column:
+    """``text`` in an array if it holds an end tag, which no start tag claims;
+    else an empty array. Text between elements holds none."""
+    return F.when(F.size(_cut(text, tag)) > 1, F.array(text)).otherwise(F.array().cast("array<string>"))
 
 
 def element_text(piece: Column, tag: str) -> Column:
@@ -58,11 +71,20 @@ def element_text(piece: Column, tag: str) -> Column:
     A piece without an end tag was cut off; it is returned whole, so that
     parsing reports it as corrupt.
     """
-    ending = f"</{tag}>"
-    spaced = rf"</{tag}\s+>"
-    return (F.when(piece.contains(ending), F.concat(F.substring_index(piece, ending, 1), F.lit(ending)))
-            .when(piece.rlike(spaced), F.concat(F.get(F.split(piece, spaced, 2), F.lit(0)), F.lit(ending)))
-            .otherwise(piece))
+    parts = _cut(piece, tag)
+    return F.when(F.size(parts) > 1, F.concat(F.get(parts, F.lit(0)), F.lit(f"</{tag}>"))).otherwise(piece)
+
+
+def fragments_of(piece: Column, tag: str) -> Column:
+    """The element that ``piece`` begins with, and what is stray behind it.
+
+    A self-closing element holds no data and is left out.
+    """
+    opening = start_tag(piece, tag)
+    behind = F.substring(piece, F.char_length(opening) + 1, F.char_length(piece))
+    rest = F.coalesce(F.get(_cut(piece, tag), F.lit(1)), F.lit(""))
+    return (F.when(opening.endswith("/>"), stray(behind, tag))
+            .otherwise(F.concat(F.array(element_text(piece, tag)), stray(rest, tag))))
 
 
 def xml_fragments(text: Column, tag: str) -> Column:
@@ -70,7 +92,8 @@ def xml_fragments(text: Column, tag: str) -> Column:
 
     Self-closing elements hold no data and are left out. An element cut off by
     the next start tag is returned as its own, unparsable fragment, and does not
-    take its neighbour with it.
+    take its neighbour with it. Text with an end tag that no start tag claims is
+    returned as a fragment that does not begin with ``<tag``.
     """
-    pieces = F.filter(tag_pieces(text, tag), lambda p: ~start_tag(p, tag).endswith("/>"))
-    return F.transform(pieces, lambda p: element_text(p, tag))
+    return F.flatten(F.transform(tag_pieces(text, tag), lambda p, i: F.when(
+        i > 0, fragments_of(p, tag)).otherwise(stray(p, tag))))

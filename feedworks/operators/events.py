@@ -13,10 +13,10 @@ from feedworks.schema import EVENT_FIELDS
 def explode_events(records: DataFrame) -> DataFrame:
     """One row per event: ``network_id``, ``network_name`` and the event as
     ``col``. Networks without events give no row, nor do corrupt records."""
-    return (records.select(F.explode("net").alias("net"))
-            .select(F.col("net._id").alias("network_id"),
-                    F.col("net._name").alias("network_name"),
-                    F.explode("net.event").alias("col")))
+    networks = records.select(F.explode("net").alias("net")).select(
+        F.col("net._id").alias("network_id"), F.col("net._name").alias("network_name"),
+        F.col("net.event").alias("event"))
+    return networks.select("network_id", "network_name", F.explode("event").alias("col"))
 
 
 def flatten(events: DataFrame, doc_id: bool = True, fields: dict | None = None,

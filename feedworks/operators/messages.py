@@ -7,29 +7,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedworks.operators import nested
-from feedworks.schema import MESSAGE
+from feedworks.schema import CORRUPT, MESSAGE
+
+_QUOTED = r'''"(?:[^"\\]|\\.|"")*"'''
 
 
 def decode_csv(df: DataFrame, column: str = "value", schema: T.StructType = MESSAGE,
                sep: str = ",", quoting: bool = True) -> DataFrame:
     """The fields of the message in ``column``, in the order of ``schema``.
 
-    Missing fields at the end are null. With ``quoting`` a quoted field may hold
+    Missing fields at the end are null. A message that does not fit, having
+    more fields than ``schema`` or a quote that is not closed, is kept as a whole in
+    ``_corrupt_record`` beside the fields it gives. With ``quoting`` a quoted field may hold
     the separator, and an empty field is null. Without it the text is cut at
     every separator, an empty field stays an empty string, and those at the end
     count as missing.
     """
     text = F.col(column).cast("string")
-    if quoting:
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        decoded = F.from_csv(text, fields, {"sep": sep})
-        return df.select(decoded.alias("_message")).select("_message.*")
     literal = rf"\Q{sep}\E"
     bare = F.regexp_replace(text, f"(?:{literal})+$", "")
+    # Quoted fields weigh nothing here; a quote left over was never closed.
+    outside = F.regexp_replace(bare, _QUOTED, "") if quoting else bare
+    unfit = F.size(F.split(outside, literal, -1)) > len(schema)
+    if quoting:
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        unfit = unfit | outside.rlike(rf'(?:^|{literal})\s*"')
+        return df.select(F.from_csv(text, fields, {"sep": sep}).alias("_message"),
+                         F.when(unfit, text).alias(CORRUPT)).select("_message.*", CORRUPT)
     parts = (F.when((bare == "") & (text != ""), F.array().cast("array<string>"))
              .otherwise(F.split(bare, literal, -1)))
-    return df.select(parts.alias("_parts")).select(*[
-        F.get("_parts", F.lit(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(schema)])
+    return df.select(parts.alias("_parts"), F.when(unfit, text).alias(CORRUPT)).select(*[
+        F.get("_parts", F.lit(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(schema)], CORRUPT)
 
 
 def project_ids(messages: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 FILE, BLOCK, POSITION = "_file", "_block", "_position"
 
 
-def with_file_position(df: DataFrame) -> DataFrame:
+def with_file_position(df: DataFrame, *more: Column) -> DataFrame:
     """Add file, split offset and row position to a frame straight from a file
     reader. Positions rise within a split; read them in one job only
     (see :func:`feedworks.workspace.materialise`)."""
@@ -23,15 +23,18 @@ def with_file_position(df: DataFrame) -> DataFrame:
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias(BLOCK),
         F.monotonically_increasing_id().alias(POSITION),
+        *more,
     )
 
 
-def with_range_blocks(df: DataFrame, *columns: str | Column) -> DataFrame:
+def with_range_blocks(df: DataFrame, *columns: str | Column, n_blocks: int | None = None) -> DataFrame:
     """Cut ``df`` into blocks by ranges of ``columns``; a heavy leading value is
-    spread over several blocks. There are ``spark.sql.shuffle.partitions`` blocks
-    at most, and ``df`` is read once more for a sample of its values. Use the
+    spread over several blocks. There are ``n_blocks`` at most, by default
+    ``spark.sql.shuffle.partitions``; a block is sorted in one task, so large inputs
+    need more. ``df`` is read once more for a sample of its values. Use the
     result in one job only."""
-    return df.repartitionByRange(*columns).withColumn(BLOCK, F.spark_partition_id())
+    by = (n_blocks, *columns) if n_blocks else columns
+    return df.repartitionByRange(*by).withColumn(BLOCK, F.spark_partition_id())
 
 
 def carry_forward(df: DataFrame, value: str, order: list[str], block: list[str],
@@ -49,10 +52,25 @@ def carry_forward(df: DataFrame, value: str, order: list[str], block: list[str],
     position = F.struct(*order)
     last = df.groupBy(*place).agg(
         F.max_by(value, F.when(F.col(value).isNotNull(), position)).alias("_last"))
-    before = (Window.partitionBy(*partition_by).orderBy(*block)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    incoming = last.select(
-        *place, F.last("_last", ignorenulls=True).over(before).alias("_incoming"))
+    incoming = _before(last, partition_by, block)
     return (rows.join(incoming, place, "left")
             .withColumn(value, F.coalesce("_seen", "_incoming"))
             .drop("_seen", "_incoming"))
+
+
+def _before(last: DataFrame, partition_by: list[str], block: list[str]) -> DataFrame:
+    """The last value of the blocks before each, as ``_incoming``.
+
+    Blocks of several columns, like file and split, are gone through level by level: one
+    row per block within each outer block, then one row per outer block.
+    """
+    *outer, inner = block
+    level = [*partition_by, *outer]
+    before = Window.partitionBy(*level).orderBy(inner).rowsBetween(Window.unboundedPreceding, -1)
+    within = last.select(*level, inner, F.last("_last", ignorenulls=True).over(before).alias("_incoming"))
+    if not outer:
+        return within
+    ends = last.groupBy(*level).agg(F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col(inner))).alias("_last"))
+    earlier = _before(ends, partition_by, outer).withColumnRenamed("_incoming", "_earlier")
+    return within.join(earlier, level).select(
+        *level, inner, F.coalesce("_incoming", "_earlier").alias("_incoming"))

@@ -61,11 +61,28 @@ _RAW = _select({
 }, "events")
 
 _CORRUPT_SPLIT = """
-    SELECT CASE WHEN event_type IN ('error', 'purchase') THEN 'quarantined' ELSE 'good' END AS outcome,
+    SELECT CASE WHEN event_type <> 'view' THEN 'quarantined' ELSE 'good' END AS outcome,
            CAST(event_id AS VARCHAR) AS event_id,
-           CASE WHEN event_type NOT IN ('error', 'purchase') THEN event_type END AS update_type
+           CASE WHEN event_type = 'view' THEN event_type END AS update_type
     FROM events"""
 
+# Damaged record tags, and an end after the network, leave the events whole.
+_CORRUPT_EVENTS = """
+    SELECT CASE WHEN event_type IN ('error', 'purchase') OR event_type = 'click' AND event_id % 2 = 0
+                THEN 'quarantined' ELSE 'good' END AS outcome,
+           CAST(event_id AS VARCHAR) AS event_id
+    FROM events"""
+
+_EVENT_IDS = "SELECT CAST(event_id AS VARCHAR) AS event_id FROM events"
+
+_REPLACE_COMPACTED = """
+    WITH arrived AS (
+        SELECT * REPLACE (CASE WHEN event_type <> 'error' THEN value END AS value),
+               CAST(event_type = 'error' AS INTEGER) AS batch FROM events),
+    newest AS (SELECT *, row_number() OVER (PARTITION BY user_id
+               ORDER BY batch DESC, ts DESC, event_id DESC) AS n FROM arrived)
+    SELECT user_id, event_id, ts, event_type, value, props FROM newest WHERE n = 1"""
+
 _SUPPLIER_STRINGS = _select(
     {c: f"CAST({c} AS VARCHAR)" for c in ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]}, "supplier")
 
@@ -157,11 +174,20 @@ _MESSAGE_FIELDS = {
 }
 
 
-def _messages(second_location: str, **changed: str) -> str:
+def _messages(second_location: str, corrupt: str = "CAST(NULL AS VARCHAR)", **changed: str) -> str:
     fields = {**_MESSAGE_FIELDS, **changed}
-    return _select({c: fields.get(c, "'p'" if c.startswith("PRI") else second_location)
-                    for c in MESSAGE_COLUMNS}, "orders")
+    columns = {c: fields.get(c, "'p'" if c.startswith("PRI") else second_location) for c in MESSAGE_COLUMNS}
+    return _select({**columns, "_corrupt_record": corrupt}, "orders")
+
+
+# The message as it is written: empty fields for missing ones, the description quoted.
+_MESSAGE_TEXT = " || ',' || ".join(
+    f"'\"' || {_MESSAGE_FIELDS[c]} || '\"'" if c == "EVENT_DESC"
+    else _MESSAGE_FIELDS.get(c, "'p'" if c.startswith("PRI") else "''") for c in MESSAGE_COLUMNS)
 
+_OVERFLOW = """
+    SELECT 'E' || o_orderkey AS event_id, CASE WHEN o_orderkey % 3 = 0 THEN 'set aside' ELSE 'good' END AS outcome,
+           CASE WHEN o_orderkey % 3 = 0 THEN 'one,two' END AS beyond FROM orders"""
 
 ORACLE_SQL = {
     "xml_events_21": _EVENTS_21,
@@ -171,6 +197,7 @@ ORACLE_SQL = {
     "xml_whole_files": _EVENTS_20,
     "xml_column_parse": _EVENTS_21,
     "xml_corrupt_split": _CORRUPT_SPLIT,
+    "xml_corrupt_events": _CORRUPT_EVENTS,
     "xml_large_document": _EVENTS_21,
     "raw_archive_roundtrip": _EVENTS_21,
     "json_roundtrip": _EVENTS_21,
@@ -183,17 +210,26 @@ ORACLE_SQL = {
     "segments_file_order": _FILE_ORDER,
     "subject_lines": _SUBJECT_LINES,
     "table_create_append": _EVENTS_20,
+    "files_by_number": "SELECT 3 AS n_files, count(*) AS n_rows FROM part",
     "upsert_replace": _REPLACE,
+    "upsert_replace_compacted": _REPLACE_COMPACTED,
+    "upsert_new_column": "SELECT event_id, event_type, CASE WHEN event_type = 'click' THEN value END AS value FROM events",
     "upsert_merge": _MERGE,
     "upsert_compacted": _MERGE,
     "upsert_from_csv": _PARTS,
     "stream_xml_json": _EVENTS_21,
+    "stream_xml_quarantine": f"SELECT outcome, event_id FROM ({_CORRUPT_SPLIT})",
+    "stream_row_counts": "SELECT count(*) AS n_rows FROM events",
+    "stream_skip_empty": _EVENT_IDS,
+    "stream_interval": _EVENT_IDS,
     "stream_xml_table": _EVENTS_20,
     "stream_xml_upsert": _EVENTS_20,
     "stream_messages_ids": _select(
         {"network_id": _MESSAGE_FIELDS["NETWORK_ID"], "event_id": _MESSAGE_FIELDS["EVENT_ID"]}, "orders"),
     "messages_decode_26": _messages("CAST(NULL AS VARCHAR)"),
-    # Without quoting the description ends at its comma.
-    "messages_decode_plain": _messages("''", EVENT_DESC="'\"priority ' || o_orderpriority"),
+    # Without quoting the description is cut at its comma, and the message, having a
+    # field too many, is kept as a whole.
+    "messages_decode_plain": _messages("''", _MESSAGE_TEXT, EVENT_DESC="'\"priority ' || o_orderpriority"),
+    "messages_overflow": _OVERFLOW,
     "preview_top_n": _EVENTS_21 + " ORDER BY ts DESC, CAST(event_id AS VARCHAR) LIMIT 10",
 }

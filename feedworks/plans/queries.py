@@ -13,7 +13,7 @@ from feedworks.functions import is_subject_line
 from feedworks.operators import messages, nested
 from feedworks.operators.events import event_records, explode_events, flatten
 from feedworks.operators.segments import catalogue_subjects, fold
-from feedworks.plans import staging
+from feedworks.plans import jobs, staging
 from feedworks.plans.jobs import message_ids
 from feedworks.plans.staging import table
 from feedworks.schema import CORRUPT, SUBJECT_COLUMNS
@@ -24,7 +24,7 @@ from feedworks.sinks.files import CSV_OPTIONS, JSON_OPTIONS
 from feedworks.sources import (
     as_messages, delimited, parse_xml_column, xml_event_rows, xml_records, xml_stream,
 )
-from feedworks.streaming import files_sink, run, table_sink, upsert_sink
+from feedworks.streaming import files_sink, input_rows, run, table_sink, upsert_sink
 
 
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,16 +63,29 @@ def xml_column_parse(spark, sf_dir):
     return nested.flatten_structs(event_records(parse_xml_column(documents, "document")))
 
 
+def _event_in(text):
+    return F.regexp_extract(text, '<event id="([0-9]+)"', 1)
+
+
 def xml_corrupt_split(spark, sf_dir):
     records = xml_records(spark, staging.broken_xml(spark, sf_dir))
     broken = F.col(CORRUPT).isNotNull()
     return records.select(
         F.when(broken, "quarantined").otherwise("good").alias("outcome"),
-        F.when(broken, F.regexp_extract(CORRUPT, '<event id="([0-9]+)"', 1))
+        F.when(broken, _event_in(F.col(CORRUPT)))
         .otherwise(F.col("net")[0]["event"][0]["_id"]).alias("event_id"),
         F.col("net")[0]["event"][0]["updateType"].alias("update_type"))
 
 
+def xml_corrupt_events(spark, sf_dir):
+    """The same files, event by event: an event is whole where only its record is broken."""
+    events = xml_event_rows(spark, staging.broken_xml(spark, sf_dir))
+    broken = F.col(CORRUPT).isNotNull()
+    return events.select(
+        F.when(broken, "quarantined").otherwise("good").alias("outcome"),
+        F.when(broken, _event_in(F.col(CORRUPT))).otherwise(F.col("col._id")).alias("event_id"))
+
+
 def xml_large_document(spark, sf_dir):
     rows = xml_event_rows(spark, staging.large_document(spark, sf_dir), across_files=True)
     return nested.flatten_structs(flatten(rows))
@@ -149,15 +162,29 @@ def subject_lines(spark, sf_dir):
     return table(spark, sf_dir, "documents").where(is_subject_line(F.col("text"))).select("doc_id")
 
 
+def _without_table(spark, name, path):
+    """The rows of an external table, which is dropped; its files stay."""
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(path)
+
+
 def table_create_append(spark, sf_dir):
     name = f"feedworks_events_{uuid.uuid4().hex[:12]}"
     path = workspace.new_path(spark, "table")
-    flat = event_records(_feed(spark, sf_dir), doc_id=False)
-    closed = F.col("status") == "closed"
+    flat = workspace.materialise(event_records(_feed(spark, sf_dir), doc_id=False), "flat")
+    closed = F.coalesce(F.col("status") == "closed", F.lit(False))
     create_or_append(flat.where(closed), name, path=path)
     late = flat.where(~closed)
     create_or_append(late.select(*reversed(late.columns)), name, view="feedworks_late_events")
-    return nested.flatten_structs(spark.table(name))
+    return nested.flatten_structs(_without_table(spark, name, path))
+
+
+def files_by_number(spark, sf_dir):
+    path = workspace.new_path(spark, "three-files")
+    write_files(table(spark, sf_dir, "part"), path, "json", mode="overwrite", n_files=3)
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"))
+    return lines.agg(F.countDistinct("file").alias("n_files"), F.count("*").alias("n_rows"))
 
 
 # Batches of the upsert queries: a kind of event arrives at a time.
@@ -197,6 +224,28 @@ def upsert_compacted(spark, sf_dir):
     return current_state(spark, path, "user_id")
 
 
+def upsert_replace_compacted(spark, sf_dir):
+    """Errors, whose values are missing, come last; a compaction before and after them
+    changes nothing."""
+    path = workspace.new_path(spark, "upsert")
+    events = table(spark, sf_dir, "events")
+    keyed_upsert(events.where("event_type != 'error'"), path, "user_id", order_by=["ts", "event_id"], mode="replace")
+    compact(spark, path)
+    late = events.where("event_type = 'error'").withColumn("value", F.lit(None).cast("double"))
+    keyed_upsert(late, path, "user_id", order_by=["ts", "event_id"])
+    compact(spark, path)
+    return current_state(spark, path)
+
+
+def upsert_new_column(spark, sf_dir):
+    """The second batch brings a column that the first one lacks."""
+    path = workspace.new_path(spark, "upsert")
+    events = table(spark, sf_dir, "events")
+    keyed_upsert(events.select("event_id", "event_type"), path, "event_id")
+    keyed_upsert(events.where("event_type = 'click'").select("event_id", "value"), path, "event_id")
+    return current_state(spark, path, "event_id")
+
+
 def upsert_from_csv(spark, sf_dir):
     """A CSV file with header into a table keyed by a text column."""
     path, target = workspace.new_path(spark, "parts-csv"), workspace.new_path(spark, "parts")
@@ -229,11 +278,64 @@ def stream_xml_json(spark, sf_dir):
     return nested.flatten_structs(events)
 
 
+def stream_xml_quarantine(spark, sf_dir):
+    """The streaming job over broken files: its events, and what it has set aside."""
+    path, aside = workspace.new_path(spark, "stream-good"), workspace.new_path(spark, "stream-aside")
+    jobs.xml_stream_to(spark, staging.broken_xml(spark, sf_dir), files_sink(path), workspace.new_path(spark, "checkpoint"),
+                       interval=None, quarantine=aside).awaitTermination()
+    good = spark.read.schema("event_id string").json(path).select(F.lit("good").alias("outcome"), "event_id")
+    broken = spark.read.schema(f"{CORRUPT} string").option("columnNameOfCorruptRecord", "_unread").json(aside)
+    return good.unionByName(broken.select(F.lit("quarantined").alias("outcome"), _event_in(F.col(CORRUPT)).alias("event_id")))
+
+
+def stream_row_counts(spark, sf_dir):
+    """The source rows of a stream in several batches."""
+    path = staging.event_files(spark, sf_dir)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    query = run(stream, lambda batch, batch_id: batch.write.format("noop").mode("overwrite").save(), interval=None,
+                checkpoint=workspace.new_path(spark, "checkpoint"))
+    query.awaitTermination()
+    return spark.range(1).select(F.lit(input_rows(query)).cast("long").alias("n_rows"))
+
+
+def _streamed_ids(spark, path):
+    return spark.read.schema("event_id string").json(path).select("event_id")
+
+
+def stream_skip_empty(spark, sf_dir):
+    """Half of the batches have networks without events; the sink never sees those."""
+    path = workspace.new_path(spark, "stream-json")
+    stream = xml_stream(spark, staging.half_empty_xml(spark, sf_dir), maxFilesPerTrigger=1)
+
+    def sink(batch, batch_id):
+        if batch.isEmpty():
+            raise ValueError(f"batch {batch_id} is empty")
+        files_sink(path)(batch, batch_id)
+
+    query = run(stream, sink, transform=event_records, interval=None, skip_empty=True,
+                checkpoint=workspace.new_path(spark, "checkpoint"))
+    query.awaitTermination()
+    return _streamed_ids(spark, path)
+
+
+def stream_interval(spark, sf_dir):
+    """A trigger by processing time, stopped when everything has been read."""
+    path = workspace.new_path(spark, "stream-json")
+    query = run(_feed_stream(spark, sf_dir), files_sink(path), transform=event_records, interval="1 second",
+                checkpoint=workspace.new_path(spark, "checkpoint"))
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return _streamed_ids(spark, path)
+
+
 def stream_xml_table(spark, sf_dir):
     name = f"feedworks_stream_{uuid.uuid4().hex[:12]}"
-    sink = table_sink(name, workspace.new_path(spark, "stream-table"))
+    path = workspace.new_path(spark, "stream-table")
+    sink = table_sink(name, path)
     _work_off(spark, _feed_stream(spark, sf_dir), sink, lambda df: event_records(df, doc_id=False))
-    return nested.flatten_structs(spark.table(name).drop("batch_id"))
+    return nested.flatten_structs(_without_table(spark, name, path).drop("batch_id"))
 
 
 def stream_xml_upsert(spark, sf_dir):
@@ -259,6 +361,17 @@ def messages_decode_plain(spark, sf_dir):
     return messages.decode_csv(spark.read.text(staging.messages_text(spark, sf_dir)), quoting=False)
 
 
+def messages_overflow(spark, sf_dir):
+    """Every third message has fields too many; these are told apart, with their whole text."""
+    lines = spark.read.text(staging.messages_text(spark, sf_dir))
+    key = F.substring_index("value", ",", 1).cast("long")
+    longer = lines.select(F.when(key % 3 == 0, F.concat("value", F.lit(",one,two"))).otherwise(F.col("value")).alias("value"))
+    decoded = messages.decode_csv(longer)
+    return decoded.select(F.col("EVENT_ID").alias("event_id"),
+                          F.when(F.col(CORRUPT).isNull(), "good").otherwise("set aside").alias("outcome"),
+                          F.regexp_extract(CORRUPT, ",([^,]*,[^,]*)$", 1).alias("beyond"))
+
+
 def preview_top_n(spark, sf_dir):
     flat = nested.flatten_structs(event_records(_feed(spark, sf_dir)))
     return nested.first_rows(flat, 10, [F.col("update_timestamp").desc(), "event_id"])
@@ -266,10 +379,12 @@ def preview_top_n(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in [
     xml_events_21, xml_events_20, xml_events_raw, xml_wrapped_files, xml_whole_files,
-    xml_column_parse, xml_corrupt_split, xml_large_document, raw_archive_roundtrip,
+    xml_column_parse, xml_corrupt_split, xml_corrupt_events, xml_large_document, raw_archive_roundtrip,
     json_roundtrip, csv_flat_roundtrip, csv_strings, json_lines, positional_rename,
     segments_conversations, segments_order_ranges, segments_file_order, subject_lines,
-    table_create_append, upsert_replace, upsert_merge, upsert_compacted, upsert_from_csv,
-    stream_xml_json, stream_xml_table, stream_xml_upsert,
-    stream_messages_ids, messages_decode_26, messages_decode_plain, preview_top_n,
+    table_create_append, files_by_number, upsert_replace, upsert_merge, upsert_compacted,
+    upsert_replace_compacted, upsert_new_column, upsert_from_csv,
+    stream_xml_json, stream_xml_table, stream_xml_upsert, stream_xml_quarantine,
+    stream_row_counts, stream_skip_empty, stream_interval,
+    stream_messages_ids, messages_decode_26, messages_decode_plain, messages_overflow, preview_top_n,
 ]}

@@ -110,14 +110,41 @@ def events_xml_column(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 @_once
 def broken_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """A record per event; those of errors have an element that is not closed,
-    those of purchases lack the end of the record."""
+    """A record per event, whole for views. Those of errors have an element that is not
+    closed, those of purchases lack the end of the record, those of signups have a
+    damaged start tag, and those of clicks, last in their files, are cut off: within
+    the event, or for odd ids after the network."""
     events = table(spark, sf_dir, "events")
-    xml = _xml(F.array(F.struct("_id", "_name", F.array("event").alias("event"))))
-    broken = (F.when(F.col("event_type") == "error", F.regexp_replace(xml, "</status>", ""))
-              .when(F.col("event_type") == "purchase", F.regexp_replace(xml, r"(?s)</source>.*$", ""))
+    xml = F.trim(_xml(F.array(F.struct("_id", "_name", F.array("event").alias("event")))))
+    kind, cut = F.col("event_type"), F.col("event_type") == "click"
+    after_child = F.concat(F.substring_index(xml, "</severity>", 1), F.lit("</severity>"))
+    after_net = F.concat(F.substring_index(xml, "</net>", 1), F.lit("</net>"))
+    broken = (F.when(kind == "error", F.regexp_replace(xml, "</status>", ""))
+              .when(kind == "purchase", F.regexp_replace(xml, r"(?s)</source>.*$", ""))
+              .when(kind == "signup", F.regexp_replace(xml, "^<eventData>", "<evntData>"))
+              .when(cut, F.when(F.col("event_id") % 2 == 0, after_child).otherwise(after_net))
               .otherwise(xml))
-    feed_events(events).repartition(n_files(events)).select(broken.alias("value")).write.text(path)
+    # A damaged start tag behind a cut-off record would be part of that record.
+    rank = F.when(cut, 2).when(kind == "purchase", 1).otherwise(0)
+    (feed_events(events).withColumn("rank", rank).repartition(n_files(events), "event_id")
+     .sortWithinPartitions("rank", "event_id").select(broken.alias("value")).write.text(path))
+
+
+@_once
+def half_empty_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The feed, and as many files again of networks without events."""
+    feed = spark.read.text(events_xml(spark, sf_dir), wholetext=True).withColumn("file", F.monotonically_increasing_id())
+    networks = F.lit(f'<{ROW_TAG}><net id="1"></net></{ROW_TAG}>')
+    (feed.select("value", "file", F.lit(0).alias("kind"))
+     .unionByName(feed.select(networks.alias("value"), "file", F.lit(1).alias("kind")))
+     .repartition("file", "kind").select("value").write.option("maxRecordsPerFile", 1).text(path))
+
+
+@_once
+def event_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """``events`` as they are, in several files."""
+    events = table(spark, sf_dir, "events")
+    events.repartition(n_files(events)).write.parquet(path)
 
 
 @_once

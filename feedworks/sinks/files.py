@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from feedworks.functions import row_json
 from feedworks.operators.nested import flatten_structs
-from feedworks.workspace import partition_values
+from feedworks.workspace import partition_values, read_note, write_note
 
 # Spark's default pattern stops at milliseconds, and its CSV writer trims blanks.
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
@@ -40,16 +39,24 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", *
     """Write a batch as the partition ``batch_id=…`` below ``path``.
 
     Batches come in rising order; the last one may be written again and then
-    replaces itself. A lower number means that the checkpoint belongs to another
-    output, and is refused before it overwrites an earlier batch.
+    replaces itself, also by nothing. A lower number means that the checkpoint belongs
+    to another output, and is refused before it overwrites an earlier batch. The
+    newest number is noted beside the data, so a batch costs the same however many
+    came before.
     """
-    check_batch(batch_id, partition_values(df.sparkSession, path, "batch_id"), path)
+    spark = df.sparkSession
+    check_batch(batch_id, newest_batch(spark, path), path)
     options = {**_DEFAULTS.get(fmt, {}), **options}
-    (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-     .write.format(fmt).partitionBy("batch_id").mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").options(**options).save(path))
+    df.write.format(fmt).mode("overwrite").options(**options).save(f"{path}/batch_id={int(batch_id)}")
+    write_note(spark, path, "batches", {"newest": int(batch_id)})
 
 
-def check_batch(batch_id: int, written: list[int], target: str) -> None:
-    if written and batch_id < max(written):
-        raise ValueError(f"batch {batch_id} of {target} comes after batch {max(written)}")
+def newest_batch(spark: SparkSession, path: str) -> int | None:
+    """The number of the last batch below ``path``. Outputs without a note are listed once."""
+    noted = read_note(spark, path, "batches").get("newest")
+    return noted if noted is not None else max(partition_values(spark, path, "batch_id"), default=None)
+
+
+def check_batch(batch_id: int, newest: int | None, target: str) -> None:
+    if newest is not None and batch_id < newest:
+        raise ValueError(f"batch {batch_id} of {target} comes after batch {newest}")

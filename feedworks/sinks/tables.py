@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedworks.sinks.files import check_batch
@@ -42,22 +42,34 @@ def aligned(df: DataFrame, table: str, but: str | None = None) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in wanted])
 
 
+#: Table property that holds the number of the newest batch.
+_NEWEST = "feedworks.newest_batch"
+
+
 def replace_batch(df: DataFrame, table: str, batch_id: int, path: str | None = None) -> None:
     """Write a micro-batch into the partition ``batch_id`` of ``table``, creating
-    the table with the first one. The last batch, repeated, replaces itself."""
+    the table before the first one. The last batch, repeated, replaces itself."""
     spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        writer = (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                  .write.format("parquet").partitionBy("batch_id"))
-        if path:
-            writer = writer.option("path", path)
-        writer.saveAsTable(table)
-        return
-    newest = (spark.sql(f"SHOW PARTITIONS {table}")
-              .agg(F.max(F.regexp_extract("partition", r"batch_id=(\d+)", 1).cast("long"))).first()[0])
-    check_batch(batch_id, [newest] if newest is not None else [], table)
+    batch_id = int(batch_id)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    location = f"LOCATION '{path}'" if path else ""
+    # An empty table first: a crash in the first batch then leaves a table that
+    # the repeated batch finds.
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, batch_id BIGINT) USING parquet "
+              f"PARTITIONED BY (batch_id) {location}")
+    check_batch(batch_id, _newest(spark, table), table)
     batch = aligned(df, table, but="batch_id")
     # The partition is named in the statement: a writer's own overwrite mode
     # does not reach insertInto, which would empty the whole table.
-    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) "
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {batch_id}) "
               "SELECT * FROM {batch}", batch=batch)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_NEWEST}' = '{batch_id}')")
+
+
+def _newest(spark: SparkSession, table: str) -> int | None:
+    """The newest batch by the table's property; tables without it are looked through once."""
+    properties = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if _NEWEST in properties:
+        return int(properties[_NEWEST])
+    return (spark.sql(f"SHOW PARTITIONS {table}")
+            .agg(F.max(F.regexp_extract("partition", r"batch_id=(\d+)", 1).cast("long"))).first()[0])

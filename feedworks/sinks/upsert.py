@@ -2,9 +2,14 @@
 
 Batches are appended to a change log below ``<path>/log``, one partition per
 batch, without any shuffle. The current state is an aggregation by key over the
-newest snapshot and the batches after it. Rows are combined before the shuffle,
+snapshot and the batches after it. Rows are combined before the shuffle,
 so a key with very many changes costs no more than any other.
 
+Key, mode and columns belong to the table: a note beside the data holds them, with
+the newest batch and how far the snapshot reaches. The snapshot is cut into
+buckets by a hash of the key, and a compaction writes again those that
+changed.
+
 One writer per table: feeds that share a table are united before the upsert.
 """
 
@@ -12,108 +17,183 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedworks.operators.nested import flatten_structs
 from feedworks.sinks.files import check_batch, write_batch
-from feedworks.workspace import delete, partition_values
+from feedworks.workspace import delete, partition_values, read_note, write_note
 
 _ORDER = "_order"
+MODES = ("merge", "replace")
+BUCKETS = 64
 
 
-def keyed_upsert(df: DataFrame, path: str, key: str | list[str],
-                 order_by: list[str] = (), batch_id: int | None = None) -> int:
+def keyed_upsert(df: DataFrame, path: str, key: str | list[str], order_by: list[str] = (),
+                 batch_id: int | None = None, mode: str | None = None) -> int:
     """Append ``df`` as a batch of inserts and updates; returns the batch id.
 
     Later batches win. Within a batch the row with the highest ``order_by`` wins;
     what is still equal is decided by the row's content, so that every reader
     sees the same state. Structs are flattened, so that they merge field by
-    field. A row without a key cannot be addressed and fails the batch; filter
-    such rows before. Writing the last ``batch_id`` again replaces that batch.
+    field. Columns that are new to the table are added to it. A row without a key
+    cannot be addressed and fails the batch; see :func:`with_key` to part such rows.
+    Writing the last ``batch_id`` again replaces that batch.
+
+    In ``mode`` ``merge`` a null in a newer row keeps the older value; ``replace`` takes
+    the newest row as it is. The first call that names a mode when it writes, a batch or at the latest
+    the first compaction (``merge`` by default), settles it for the table.
     """
+    spark = df.sparkSession
     flat = flatten_structs(df)
-    for name in [key] if isinstance(key, str) else key:
+    keys = [key] if isinstance(key, str) else list(key)
+    table = _table(spark, path, keys, mode) or {"key": keys, "mode": mode, "columns": {}, "upto": None, "parts": {}}
+    table["mode"] = table["mode"] or mode
+    for f in flat.schema:
+        known = table["columns"].setdefault(f.name, f.dataType.simpleString())
+        if known != f.dataType.simpleString():
+            raise ValueError(f"column {f.name} of {path} is {known}, not {f.dataType.simpleString()}")
+    for name in keys:
         missing = F.raise_error(F.lit(f"upsert of a row without {name}"))
         flat = flat.withColumn(name, F.when(F.col(name).isNull(), missing).otherwise(F.col(name)))
-    spark = df.sparkSession
-    written = [n for n in (_newest(spark, f"{path}/log", "batch_id"),
-                           _newest(spark, f"{path}/snapshot", "upto")) if n is not None]
+    newest = table.get("newest")
     if batch_id is None:
-        batch_id = max(written, default=-1) + 1
-    check_batch(batch_id, written, path)
+        batch_id = (-1 if newest is None else newest) + 1
+    check_batch(batch_id, newest, path)
+    if table["upto"] is not None and batch_id <= table["upto"]:
+        # Already in the snapshot, and the same rows: batches repeat as they were.
+        return batch_id
+    order = [(f.name, f.dataType.simpleString()) for f in flat.select(*order_by).schema]
+    table.setdefault("order", order)
+    if [tuple(o) for o in table["order"]] != order:
+        raise ValueError(f"batches of {path} are ordered by {', '.join(n for n, _ in table['order'])}")
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in flat.columns]).alias("_tie")
-    log = flat.withColumn(_ORDER, F.struct(*order_by, tie))
-    write_batch(log, f"{path}/log", batch_id)
+    # The note comes first: columns no batch has yet do no harm.
+    write_note(spark, path, "table", table)
+    write_batch(flat.withColumn(_ORDER, F.struct(*order_by, tie)), f"{path}/log", batch_id)
+    write_note(spark, path, "table", {**table, "newest": batch_id})
     return batch_id
 
 
-def current_state(spark: SparkSession, path: str, key: str | list[str],
-                  mode: str = "merge", merge_schema: bool = False) -> DataFrame:
-    """One row per key.
+def with_key(df: DataFrame, key: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` that have a whole key, and the others."""
+    missing = None
+    for name in [key] if isinstance(key, str) else key:
+        missing = F.col(name).isNull() if missing is None else missing | F.col(name).isNull()
+    return df.where(~missing), df.where(missing)
+
 
-    ``merge``: a null in a newer row keeps the older value. ``replace``: the
-    newest row as it is. ``merge_schema`` reads logs whose batches differ in
-    columns, which costs a look at every file.
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    if mode not in ("merge", "replace"):
+def _table(spark: SparkSession, path: str, keys: list[str] | None = None, mode: str | None = None) -> dict:
+    """The note of the table; refuses another key or mode."""
+    table = read_note(spark, path, "table")
+    if mode is not None and mode not in MODES:
         raise ValueError(f"unknown mode {mode}")
-    upto = _newest(spark, f"{path}/snapshot", "upto")
-    changes = None
-    if upto is None or (_newest(spark, f"{path}/log", "batch_id") or 0) > upto:
-        log = spark.read.option("mergeSchema", merge_schema).parquet(f"{path}/log")
-        if upto is not None:
-            log = log.where(F.col("batch_id") > upto)
-        rank = F.struct(F.col("batch_id").cast("long"), f"{_ORDER}.*")
-        changes = log.withColumn("_rank", rank).drop("batch_id", _ORDER)
-    if upto is not None:
-        snapshot = spark.read.parquet(f"{path}/snapshot").where(F.col("upto") == upto).drop("upto")
-        if changes is None:
-            return snapshot
-        # Every batch in the log is newer than the snapshot.
-        oldest = F.struct(*[
-            F.lit(upto if f.name == "batch_id" else None).cast(f.dataType).alias(f.name)
-            for f in changes.schema["_rank"].dataType.fields])
-        changes = changes.unionByName(snapshot.withColumn("_rank", oldest), allowMissingColumns=True)
+    if table and keys is not None and table["key"] != keys:
+        raise ValueError(f"the key of {path} is {', '.join(table['key'])}")
+    if table and mode is not None and table["mode"] not in (None, mode):
+        raise ValueError(f"the mode of {path} is {table['mode']}")
+    return table
+
+
+def _keys(key: str | list[str] | None) -> list[str] | None:
+    return [key] if isinstance(key, str) else key and list(key)
+
 
-    values = [c for c in changes.columns if c not in keys and c != "_rank"]
+def _schema(columns: dict[str, str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in columns.items()])
+
+
+def current_state(spark: SparkSession, path: str, key: str | list[str] | None = None,
+                  mode: str | None = None, merge_schema: bool = True) -> DataFrame:
+    """One row per key, with all columns that any batch had. ``key`` and ``mode`` are the
+    table's own; others are refused. ``merge_schema`` is there for older callers only."""
+    table = _table(spark, path, _keys(key), mode)
+    if not table:
+        raise ValueError(f"no upsert table at {path}")
+    return _state(spark, path, {**table, "mode": table["mode"] or mode}, None)
+
+
+def _changes(spark: SparkSession, path: str, table: dict) -> DataFrame | None:
+    """Rows of the batches after the snapshot, with their rank."""
+    newest, upto = table.get("newest"), table["upto"]
+    if newest is None or (upto is not None and newest <= upto):
+        return None
+    order = T.StructType([T.StructField(n, T.DataType.fromDDL(k)) for n, k in table["order"]] + [T.StructField("_tie", T.LongType())])
+    schema = T.StructType([*_schema(table["columns"]), T.StructField(_ORDER, order), T.StructField("batch_id", T.LongType())])
+    log = spark.read.schema(schema).parquet(f"{path}/log")
+    log = log.where((F.col("batch_id") > (-1 if upto is None else upto)) & (F.col("batch_id") <= newest))
+    return log.withColumn("_rank", F.struct("batch_id", f"{_ORDER}.*")).drop("batch_id", _ORDER)
+
+
+def _snapshot(spark: SparkSession, path: str, table: dict, buckets: list[int] | None) -> DataFrame | None:
+    parts = {int(b): v for b, v in table["parts"].items() if buckets is None or int(b) in buckets}
+    if not parts:
+        return None
+    folders = [f"{path}/snapshot/upto={v}/bucket={b}" for b, v in sorted(parts.items())]
+    return spark.read.schema(_schema(table["columns"])).parquet(*folders)
+
+
+def _state(spark: SparkSession, path: str, table: dict, buckets: list[int] | None) -> DataFrame:
+    keys = table["key"]
+    changes, snapshot = _changes(spark, path, table), _snapshot(spark, path, table, buckets)
+    if changes is None:
+        return snapshot if snapshot is not None else spark.createDataFrame([], _schema(table["columns"]))
+    if snapshot is not None:
+        # Every batch in the log is newer than the snapshot.
+        oldest = F.struct(*[F.lit(-1 if f.name == "batch_id" else None).cast(f.dataType).alias(f.name)
+                            for f in changes.schema["_rank"].dataType.fields])
+        changes = changes.unionByName(snapshot.withColumn("_rank", oldest))
+    values = [c for c in table["columns"] if c not in keys]
     if not values:
         return changes.select(*keys).distinct()
-    if mode == "replace":
+    if table["mode"] == "replace":
         newest = F.max_by(F.struct(*values), "_rank").alias("_row")
         return changes.groupBy(*keys).agg(newest).select(*keys, "_row.*")
     return changes.groupBy(*keys).agg(*[
         F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(c) for c in values])
 
 
-def compact(spark: SparkSession, path: str, key: str | list[str],
-            mode: str = "merge", merge_schema: bool = False) -> int | None:
-    """Fold all batches so far into a new snapshot; returns the last batch in it.
+def _bucket(keys: list[str]):
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
 
-    The snapshot appears when it is complete, and the batches in it are no
-    longer read. Nothing is deleted, so readers at work are not disturbed.
+def compact(spark: SparkSession, path: str, key: str | list[str] | None = None,
+            mode: str | None = None) -> int | None:
+    """Fold the batches since the last snapshot into it; returns the last batch in it.
+
+    Only the buckets that those batches touch are read and written. They appear when all are
+    complete, by the change of the table's note, and the batches in them are no longer
+    read. Nothing is deleted, so readers at work are not disturbed.
     """
-    newest = _newest(spark, f"{path}/log", "batch_id")
-    done = _newest(spark, f"{path}/snapshot", "upto")
-    if newest is None or (done is not None and newest <= done):
-        return done
-    state = current_state(spark, path, key, mode, merge_schema)
-    (state.withColumn("upto", F.lit(newest).cast("long"))
-     .write.partitionBy("upto").mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").parquet(f"{path}/snapshot"))
+    table = _table(spark, path, _keys(key), mode)
+    changes = _changes(spark, path, table) if table else None
+    if changes is None:
+        return table["upto"] if table else None
+    table["mode"] = table["mode"] or mode or "merge"
+    newest, keys = table["newest"], table["key"]
+    touched = sorted(row[0] for row in changes.select(_bucket(keys)).distinct().collect())
+    if touched:
+        state = _state(spark, path, table, touched).withColumn("bucket", _bucket(keys))
+        (state.repartition("bucket").write.partitionBy("bucket").mode("overwrite").parquet(f"{path}/snapshot/upto={newest}"))
+    write_note(spark, path, "table", {
+        **table, "upto": newest, "parts": {**table["parts"], **{str(b): newest for b in touched}}})
     return newest
 
 
 def expire(spark: SparkSession, path: str) -> None:
     """Delete the batches and snapshots that the newest snapshot has replaced.
     Readers that began before that snapshot must have ended."""
-    upto = _newest(spark, f"{path}/snapshot", "upto")
-    if upto is None:
+    table = _table(spark, path)
+    if not table or table["upto"] is None:
         return
-    for folder, column, kept in [("log", "batch_id", upto + 1), ("snapshot", "upto", upto)]:
-        for number in partition_values(spark, f"{path}/{folder}", column):
-            if number < kept:
-                delete(spark, f"{path}/{folder}/{column}={number}")
-
-
-def _newest(spark: SparkSession, path: str, column: str) -> int | None:
-    return max(partition_values(spark, path, column), default=None)
+    for number in partition_values(spark, f"{path}/log", "batch_id"):
+        if number <= table["upto"]:
+            delete(spark, f"{path}/log/batch_id={number}")
+    in_use = {(int(b), v) for b, v in table["parts"].items()}
+    for version in partition_values(spark, f"{path}/snapshot", "upto"):
+        folder = f"{path}/snapshot/upto={version}"
+        buckets = partition_values(spark, folder, "bucket")
+        for bucket in buckets:
+            if (bucket, version) not in in_use:
+                delete(spark, f"{folder}/bucket={bucket}")
+        if all((bucket, version) not in in_use for bucket in buckets):
+            delete(spark, folder)

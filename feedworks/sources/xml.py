@@ -1,11 +1,14 @@
 """XML event documents, read in splits.
 
 The built-in XML reader takes a file per task and gives up at the first broken
-record. Here the text source ends a row at the record's end tag, so that one
-file is split over many tasks, and every record is parsed on its own.
-
-Limits: the row tag must not nest in itself nor occur in comments or CDATA, and
-files are split only where the end tag is written without blanks.
+record. Here the text source ends a row within the record's end tag, so that one
+file is split over many tasks, and every record is parsed on its own. The row
+keeps the ``<`` of its end tag: a row without one is the cut-off end of a file.
+Text with an end tag that belongs to no start tag becomes a corrupt row.
+
+Limits: the row tag must not nest in itself nor occur in comments or CDATA (such
+records come out corrupt, in parts), and files are split only where the end tag
+is written without blanks.
 """
 
 from __future__ import annotations
@@ -15,12 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedworks import workspace
-from feedworks.functions import element_text, start_tag, tag_pieces, xml_fragments
+from feedworks.functions import element_text, fragments_of, start_tag, stray, tag_pieces, xml_fragments
 from feedworks.operators.ordered import (
     BLOCK, FILE, POSITION, carry_forward, with_file_position,
 )
 from feedworks.schema import CORRUPT, EVENT, EVENT_RECORD, NETWORK, ROW_TAG, with_corrupt
 
+# An age no file has reached; the file source would pass over files of a week.
+_ANY_AGE = "36500d"
+
 # Blanks around text belong to the text, as in the feed's earlier consumers.
 _PARSE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
           "ignoreSurroundingSpaces": "false"}
@@ -31,18 +37,28 @@ def _parse_fragments(df: DataFrame, text, schema: T.StructType, row_tag: str,
     # Parsing inside the generator: a filter on the parsed columns, also one that
     # Catalyst infers for a later explode, would otherwise be pushed below the
     # projection and parse every record once more.
-    records = F.transform(xml_fragments(text, row_tag),
-                          lambda x: F.from_xml(x, with_corrupt(schema), _PARSE))
+    schema = with_corrupt(schema)
+    records = F.transform(xml_fragments(text, row_tag), lambda x: F.when(
+        x.startswith(f"<{row_tag}"), F.from_xml(x, schema, _PARSE)).otherwise(_set_aside(x, schema)))
     return df.select(*keep, F.inline(records))
 
 
+def _set_aside(text, schema: T.StructType):
+    """A record of ``schema`` that holds nothing but corrupt text."""
+    return F.struct(*[(text if f.name == CORRUPT else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
+
+
 def _end_tag(tag: str) -> str:
     return f"</{tag}>"
 
 
+def _line_end(tag: str) -> str:
+    return f"/{tag}>"
+
+
 def _closed(tag: str):
-    """The text source strips the end tag; put it back."""
-    return F.concat("value", F.lit(_end_tag(tag)))
+    """The text source strips the line end; put it back where there was one."""
+    return F.when(F.col("value").endswith("<"), F.concat("value", F.lit(_line_end(tag)))).otherwise(F.col("value"))
 
 
 def xml_records(spark: SparkSession, path: str | list[str],
@@ -50,13 +66,13 @@ def xml_records(spark: SparkSession, path: str | list[str],
                 whole_files: bool = False, **options) -> DataFrame:
     """One row per ``row_tag`` element, with broken ones in ``_corrupt_record``.
 
-    ``whole_files`` uses the built-in reader instead, one task per file: for
-    small well-formed files whose row tag occurs in comments or CDATA.
+    ``whole_files`` reads each file in one piece and leaves out comments: for
+    small files whose row tag occurs in comments.
     """
     if whole_files:
-        return (spark.read.schema(with_corrupt(schema))
-                .options(rowTag=row_tag, **_PARSE, **options).format("xml").load(path))
-    lines = spark.read.options(lineSep=_end_tag(row_tag), **options).text(path)
+        files = spark.read.options(**options).text(path, wholetext=True)
+        return _parse_fragments(files, F.regexp_replace("value", r"(?s)<!--.*?-->", ""), schema, row_tag)
+    lines = spark.read.options(lineSep=_line_end(row_tag), **options).text(path)
     return _parse_fragments(lines, _closed(row_tag), schema, row_tag)
 
 
@@ -65,9 +81,12 @@ def xml_stream(spark: SparkSession, path: str, schema: T.StructType = EVENT_RECO
     """Stream of the records of files arriving in ``path``.
 
     Takes the file source's options, e.g. ``maxFilesPerTrigger`` or
-    ``maxBytesPerTrigger`` to bound a batch after a long pause.
+    ``maxBytesPerTrigger`` to bound a batch after a long pause. Files count as
+    new whatever their time; set ``maxFileAge`` for folders in which the driver
+    can't remember all files it has seen.
     """
-    lines = spark.readStream.options(lineSep=_end_tag(row_tag), **options).text(path)
+    options = {"maxFileAge": _ANY_AGE, **options}
+    lines = spark.readStream.options(lineSep=_line_end(row_tag), **options).text(path)
     return _parse_fragments(lines, _closed(row_tag), schema, row_tag)
 
 
@@ -89,6 +108,19 @@ def quarantined(records: DataFrame) -> DataFrame:
     return records.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
+def _event_tokens(piece, place):
+    """Networks, events, and text with the end of an event that never began."""
+    opening = start_tag(piece, "net")
+    behind = F.substring(piece, F.char_length(opening) + 1, F.char_length(piece))
+    net = F.concat(F.array(F.when(opening != "", opening).otherwise(piece)),
+                   F.when(opening != "", stray(behind, "event")).otherwise(F.array().cast("array<string>")))
+    empty = start_tag(piece, "event")
+    event = F.when(empty.endswith("/>"), F.concat(F.array(empty), fragments_of(piece, "event"))).otherwise(
+        fragments_of(piece, "event"))
+    return (F.when(place == 0, stray(piece, "event"))
+            .when(piece.rlike(r"^<net[\s/>]"), net).otherwise(event))
+
+
 def xml_event_rows(spark: SparkSession, path: str | list[str],
                    event: T.StructType = EVENT, across_files: bool = False,
                    **options) -> DataFrame:
@@ -99,14 +131,19 @@ def xml_event_rows(spark: SparkSession, path: str | list[str],
     the feed, and then hands each event the attributes of the last ``<net>``
     before it. Result: ``network_id``, ``network_name``, ``col`` and
     ``_corrupt_record``, as :func:`feedworks.operators.events.explode_events`
-    has them. ``across_files`` treats the files as one document in the order of
+    has them. An event that the end of its file cuts off is corrupt, given as far
+    as it was read. ``across_files`` treats the files as one document in the order of
     their names.
     """
-    lines = with_file_position(
-        spark.read.options(lineSep=_end_tag("event"), **options).text(path))
+    ending = _end_tag("event")
+    lines = with_file_position(spark.read.options(lineSep=ending, **options).text(path),
+                               F.col("_metadata.file_size").alias("_size"))
+    pieces = tag_pieces(F.concat("value", F.lit(ending)), "net", "event")
+    found = F.flatten(F.transform(pieces, _event_tokens))
+    # The first token of a row is empty and counts the row's bytes.
     tokens = lines.select(
-        FILE, BLOCK, POSITION,
-        F.posexplode(tag_pieces(_closed("event"), "net", "event")).alias("_place", "_token"))
+        FILE, BLOCK, POSITION, "_size", F.octet_length("value").alias("_bytes"), F.size(found).alias("_tokens"),
+        F.posexplode(F.concat(F.array(F.lit(None).cast("string")), found)).alias("_place", "_token"))
 
     # As an empty element the start tag of a network parses on its own. A tag cut
     # off half-way is reported, and its events get no network rather than the
@@ -115,22 +152,42 @@ def xml_event_rows(spark: SparkSession, path: str | list[str],
     unknown = F.struct(*[F.lit(None).cast("string").alias(n) for n in NETWORK.names])
     net = F.coalesce(
         F.when(tag != "", F.from_xml(F.regexp_replace(tag, r"\s*/?>$", "/>"), NETWORK)), unknown)
-    is_net = F.col("_token").rlike(r"^<net[\s/>]")
+    is_net = F.coalesce(F.col("_token").rlike(r"^<net[\s/>]"), F.lit(False))
+    is_event = F.coalesce(F.col("_token").rlike(r"^<event[\s/>]"), F.lit(False))
     empty = start_tag(F.col("_token"), "event")
     event_xml = F.when(empty.endswith("/>"), empty).otherwise(element_text(F.col("_token"), "event"))
+    first = F.col("_place") == 0
     parsed = tokens.select(
         FILE, BLOCK, POSITION, "_place",
+        F.when(first, F.col("_bytes") + len(ending)).alias("_bytes"), F.when(first, F.col("_size")).alias("_size"),
+        (~is_net & ~first & (F.col("_place") == F.col("_tokens"))).alias("_closing"),
+        (~is_net & ~is_event & ~first).alias("_stray"),
         F.when(is_net, net).alias("_net"),
-        (is_net & (tag != "")).alias("_header"),
-        F.from_xml(F.when(~is_net, event_xml)
-                   .when(tag == "", F.col("_token")), with_corrupt(event), _PARSE).alias("_event"))
+        (first | (is_net & (tag != ""))).alias("_header"),
+        F.when(is_event, F.from_xml(event_xml, with_corrupt(event), _PARSE))
+        .when(~is_net | (tag == ""), _set_aside(F.col("_token"), with_corrupt(event))).alias("_event"))
     table = workspace.materialise(parsed, "event-rows")
 
+    # The bytes of a file's rows and their ends exceed the file by one end where the last
+    # row had none; a mark of the byte order is in the file only.
+    over = F.sum("_bytes") - F.max("_size")
+    cut_off = (table.where("_bytes IS NOT NULL").groupBy(FILE)
+               .agg(over.alias("_over"), F.max(F.struct(BLOCK, POSITION)).alias("_last")).where("_over > 0")
+               .select(FILE, F.col(f"_last.{BLOCK}").alias(BLOCK), F.col(f"_last.{POSITION}").alias(POSITION),
+                       F.lit(True).alias("_cut_off")))
+
     partition_by, block = ([], [FILE, BLOCK]) if across_files else ([FILE], [BLOCK])
     filled = carry_forward(table, "_net", [POSITION, "_place"], block, partition_by)
-    return filled.where(~F.col("_header")).select(
+    events = filled.where(~F.col("_header")).join(cut_off, [FILE, BLOCK, POSITION], "left")
+    at_end = F.coalesce(F.col("_cut_off") & F.col("_closing"), F.lit(False))
+    # What follows the last end tag of a file is no event; only its end was put there.
+    events = events.where(~(at_end & F.col("_stray")))
+    cut = at_end & F.col(f"_event.{CORRUPT}").isNull()
+    seen = F.struct(*[F.col(f"_event.{name}").alias(name) for name in event.names])
+    as_read = F.regexp_replace(F.to_xml(F.when(cut, seen), {"rowTag": "event"}), r"\s*(</event>|/>)\s*$", "")
+    return events.select(
         F.col("_net._id").alias("network_id"),
         F.col("_net._name").alias("network_name"),
-        F.struct(*[F.col(f"_event.{name}").alias(name) for name in event.names]).alias("col"),
-        F.col(f"_event.{CORRUPT}").alias(CORRUPT),
+        F.struct(*[F.when(~cut, F.col(f"_event.{name}")).alias(name) for name in event.names]).alias("col"),
+        F.when(cut, as_read).otherwise(F.col(f"_event.{CORRUPT}")).alias(CORRUPT),
     )

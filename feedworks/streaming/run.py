@@ -7,14 +7,66 @@ it wrote before.
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from feedworks.sinks import create_or_append, keyed_upsert, write_batch, write_index
+from feedworks.sinks import compact, create_or_append, keyed_upsert, write_batch, write_index
 from feedworks.sinks.tables import replace_batch
+from feedworks.sinks.upsert import with_key
+
+class _InputRows(StreamingQueryListener):
+    """Adds up the source rows of every batch, by run of a query."""
+
+    def __init__(self):
+        self._changed = threading.Condition()
+        self._rows: dict[str, dict[int, int]] = {}
+        self._sums: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        progress, run_id = event.progress, str(event.progress.runId)
+        with self._changed:
+            # A trigger without new rows reports the batch to come again.
+            latest = self._rows.setdefault(run_id, {"batch": -1})
+            if progress.numInputRows or progress.batchId > latest["batch"]:
+                self._sums[run_id] = self._sums.get(run_id, 0) + progress.numInputRows
+            latest["batch"] = max(latest["batch"], progress.batchId)
+            self._changed.notify_all()
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def total(self, run_id: str, upto: int, patience: float = 30.0) -> int:
+        """The sum once batch ``upto`` has been reported."""
+        end = time.monotonic() + patience
+        with self._changed:
+            while self._rows.get(run_id, {"batch": -1})["batch"] < upto:
+                if not self._changed.wait(max(0.0, end - time.monotonic())) and time.monotonic() >= end:
+                    raise TimeoutError(f"no report of batch {upto}")
+            return self._sums.get(run_id, 0)
+
+
+_listeners: dict[int, _InputRows] = {}
+
+
+def _listener(spark) -> _InputRows:
+    key = id(spark._jsparkSession)
+    if key not in _listeners:
+        _listeners[key] = _InputRows()
+        spark.streams.addListener(_listeners[key])
+    return _listeners[key]
+
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -31,6 +83,7 @@ def run(source: DataFrame, sink: Sink, *, checkpoint: str,
     no row, at the price of a job that looks for the first one.
     """
     stream = transform(source) if transform else source
+    _listener(source.sparkSession)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         if not (skip_empty and batch.isEmpty()):
@@ -45,8 +98,13 @@ def run(source: DataFrame, sink: Sink, *, checkpoint: str,
 
 
 def input_rows(query: StreamingQuery) -> int:
-    """Source rows read so far, as far back as Spark keeps the progress."""
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    """Source rows that this run of the query has read, all batches counted: a listener
+    adds them up as they are reported, however many reports Spark keeps."""
+    from pyspark.sql import SparkSession
+
+    last = query.lastProgress
+    spark = SparkSession.getActiveSession()
+    return _listener(spark).total(str(query.runId), last["batchId"]) if last else 0
 
 
 def files_sink(path: str, fmt: str = "json", **options) -> Sink:
@@ -69,10 +127,17 @@ def table_sink(table: str, path: str | None = None, per_batch: bool = True) -> S
     return append
 
 
-def upsert_sink(path: str, key: str | list[str], order_by: list[str] = ()) -> Sink:
-    """Keyed upsert table."""
+def upsert_sink(path: str, key: str | list[str], order_by: list[str] = (), mode: str | None = None,
+                keyless: Sink | None = None, compact_every: int | None = 100) -> Sink:
+    """Keyed upsert table. Rows without a key go to ``keyless``; without such a sink they
+    fail the batch. Every so many batches the table is compacted."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        keyed_upsert(batch, path, key, order_by, batch_id)
+        if keyless:
+            batch, others = with_key(batch, key)
+            keyless(others, batch_id)
+        keyed_upsert(batch, path, key, order_by, batch_id, mode)
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            compact(batch.sparkSession, path)
     return write
 
 
@@ -91,3 +156,16 @@ def sinks_together(*sinks: Sink) -> Sink:
         finally:
             batch.unpersist()
     return write
+
+
+def parted(good: Sink, broken: Sink, transform: Callable[[DataFrame], DataFrame], column: str) -> Sink:
+    """For a stream of parsed records: rows with text in ``column`` go to ``broken``, the
+    others through ``transform`` to ``good``, from one reading and parsing of the batch."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            broken(batch.where(F.col(column).isNotNull()).select(column), batch_id)
+            good(transform(batch.where(F.col(column).isNull()).drop(column)), batch_id)
+        finally:
+            batch.unpersist()
+    return write

@@ -1,37 +1,52 @@
 """Shared folder for staged inputs and intermediate tables.
 
-Everything written between two Spark jobs goes below ``spark.checkpoint.dir``,
-which every executor can reach. Only a local session that lacks the setting
-gets a folder of its own on this machine.
+Everything written between two Spark jobs goes below ``spark.checkpoint.dir`` or
+the context's checkpoint folder, which every executor can reach. A local session
+that has neither uses a folder below its warehouse.
 """
 
 from __future__ import annotations
 
-import tempfile
+import json
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local: dict[str, str] = {}
+_scratches: list[list[str]] = []
 
 
 def root(spark: SparkSession) -> str:
     """The folder of this Spark application inside the shared folder."""
     context = spark.sparkContext
-    base = spark.conf.get(_SETTING, None)
+    base = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise RuntimeError(f"{_SETTING} must name a folder all executors share")
-        if context.applicationId not in _local:
-            _local[context.applicationId] = tempfile.mkdtemp(prefix="feedworks-")
-        base = _local[context.applicationId]
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     return f"{base.rstrip('/')}/feedworks/{context.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below :func:`root` that nothing has been written to."""
-    return f"{root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if _scratches:
+        _scratches[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, what has been written to new paths inside it. Frames
+    that read such a table must have been written out before."""
+    _scratches.append([])
+    try:
+        yield
+    finally:
+        for path in _scratches.pop():
+            delete(spark, path)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -64,6 +79,36 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def read_note(spark: SparkSession, path: str, name: str) -> dict:
+    """The note ``name`` beside the data in ``path``; empty where there is none.
+    File readers pass over it."""
+    fs, note = _folder(spark, f"{path}/_{name}.json")
+    if not fs.exists(note):
+        return {}
+    stream = fs.open(note)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def write_note(spark: SparkSession, path: str, name: str, content: dict) -> None:
+    """Replace a note. It is written beside the old one and takes its place by a rename."""
+    fs, note = _folder(spark, f"{path}/_{name}.json")
+    _, fresh = _folder(spark, f"{path}/_{name}.{uuid.uuid4().hex[:8]}.new")
+    stream = fs.create(fresh, True)
+    try:
+        stream.write(bytearray(json.dumps(content).encode()))
+    finally:
+        stream.close()
+    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    overwrite = spark.sparkContext._gateway.new_array(options, 1)
+    overwrite[0] = options.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.makeQualified(note).toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(fresh), fs.makeQualified(note), overwrite)
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this application has written below the shared folder."""
     delete(spark, root(spark))

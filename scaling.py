@@ -6,6 +6,7 @@ would be with the usual 128 MB.
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -32,6 +33,7 @@ def splits(df) -> int:
 def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("feedworks-scaling")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="feedworks-"))
              .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
              .config("spark.sql.shuffle.partitions", cpus)
              .config("spark.sql.files.maxPartitionBytes", 1 << 20)

@@ -74,3 +74,37 @@ def test_arguments():
         parser().parse_args(["xml-stream", "in", "--checkpoint", "c"])
     args = parser().parse_args(["kafka-stream", "h:1", "events", "--checkpoint", "c", "--index", "spark/events"])
     assert (args.topic, args.starting, args.key) == ("events", "latest", "event_id")
+
+
+def test_broken_records_go_beside_the_output(spark, tmp_path, feed):
+    main(["xml-to-csv", feed, str(tmp_path / "out")])
+    aside = [r.value for r in spark.read.text(str(tmp_path / "out_quarantine")).collect()]
+    assert len(aside) == 1 and "<net id=broken>" in aside[0]
+    main(["xml-to-csv", feed, str(tmp_path / "out2"), "--quarantine", str(tmp_path / "aside")])
+    assert spark.read.text(str(tmp_path / "aside")).count() == 1
+    main(["xml-to-table", feed, "--table", "with_aside"])
+    assert spark.table("with_aside_quarantine").count() == 1
+
+
+def test_json_by_record_and_by_event(spark, tmp_path, feed):
+    for large in ([], ["--large-documents"]):
+        out = str(tmp_path / f"out{len(large)}")
+        main(["xml-to-json", feed, str(tmp_path / f"archive{len(large)}"), out, *large])
+        assert sorted(r.event_id for r in spark.read.json(out).collect()) == ["1", "2"]
+
+
+def test_stream_bounds_and_ids(spark, tmp_path, feed):
+    (tmp_path / "in" / "b.xml").write_text('<eventData><net id="7"><event id="3"/><event id="4"></event></net></eventData>')
+    main(["xml-stream", feed, "--once", "--checkpoint", str(tmp_path / "c"), "--json", str(tmp_path / "json"), "--max-files", "1"])
+    rows = spark.read.json(str(tmp_path / "json"))
+    assert {r.event_id for r in rows.where("doc_id is not null").collect()} >= {"1", "4"}
+    assert {p.name for p in (tmp_path / "json").glob("batch_id=*")} == {"batch_id=0", "batch_id=1"}
+    args = parser().parse_args(["kafka-stream", "h", "t", "--checkpoint", "c", "--table", "x", "--max-offsets", "10"])
+    assert args.max_offsets == "10"
+
+
+def test_rows_without_a_key_are_set_aside(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("event_id,x\n1,a\n,b\n")
+    main(["csv-to-upsert", str(tmp_path / "a.csv"), str(tmp_path / "u")])
+    assert current_state(spark, str(tmp_path / "u")).count() == 1
+    assert [r.x for r in spark.read.json(str(tmp_path / "u_quarantine")).collect()] == ["b"]

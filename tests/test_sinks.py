@@ -176,3 +176,76 @@ def test_hot_key_is_combined_before_the_shuffle(spark, tmp_path):
     keyed_upsert(spark.range(1000).select(F.lit(1).alias("k"), "id"), path, "k", order_by=["id"])
     plan = current_state(spark, path, "k")._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan.split("Exchange")[1]
+
+
+def test_a_repeated_batch_may_become_empty(spark, tmp_path):
+    path = str(tmp_path / "b")
+    write_batch(spark.range(3), path, 0)
+    write_batch(spark.range(0), path, 0)
+    assert spark.read.parquet(path).count() == 0
+
+
+def test_a_batch_lists_no_earlier_ones(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "b")
+    write_batch(spark.range(3), path, 0)
+    from feedworks.sinks import files
+
+    def listing(*_):
+        raise AssertionError("listed")
+
+    monkeypatch.setattr(files, "partition_values", listing)
+    write_batch(spark.range(3), path, 1)
+    with pytest.raises(ValueError):
+        write_batch(spark.range(3), path, 0)
+
+
+KV = "k string, t long, v string"
+
+
+def test_compaction_changes_no_answer(spark, tmp_path):
+    path = str(tmp_path / "u")
+    for row in [("k", 1, "x"), ("k", 2, None)]:
+        keyed_upsert(spark.createDataFrame([row], KV), path, "k", ["t"], mode="replace")
+    before = [tuple(r) for r in current_state(spark, path).select("k", "t", "v").collect()]
+    compact(spark, path)
+    assert [tuple(r) for r in current_state(spark, path).select("k", "t", "v").collect()] == before == [("k", 2, None)]
+    for call in (lambda: current_state(spark, path, "k", "merge"), lambda: compact(spark, path, "k", "merge"),
+                 lambda: current_state(spark, path, "t"), lambda: keyed_upsert(spark.createDataFrame([("k", 3, "y")], KV), path, "t"),
+                 lambda: keyed_upsert(spark.createDataFrame([("k", 3, "y")], KV), path, "k", ["t"], mode="merge"),
+                 lambda: keyed_upsert(spark.createDataFrame([("k", 3, 1)], "k string, t long, v long"), path, "k", ["t"])):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_new_columns_reach_the_state(spark, tmp_path):
+    path = str(tmp_path / "u")
+    keyed_upsert(spark.createDataFrame([("a", 1)], "k string, v long"), path, "k")
+    compact(spark, path)
+    keyed_upsert(spark.createDataFrame([("a", "z"), ("b", "y")], "k string, z string"), path, "k")
+    expected = [("a", 1, "z"), ("b", None, "y")]
+    assert sorted(tuple(r) for r in current_state(spark, path).select("k", "v", "z").collect()) == expected
+    compact(spark, path)
+    assert sorted(tuple(r) for r in current_state(spark, path).select("k", "v", "z").collect()) == expected
+
+
+def test_upsert_table_of_empty_batches(spark, tmp_path):
+    path = str(tmp_path / "u")
+    empty = spark.createDataFrame([], KV)
+    assert [keyed_upsert(empty, path, "k", ["t"]) for _ in range(2)] == [0, 1]
+    assert current_state(spark, path).collect() == []
+    compact(spark, path)
+    assert current_state(spark, path).columns == ["k", "t", "v"] and current_state(spark, path).count() == 0
+
+
+def test_compaction_writes_touched_buckets_only(spark, tmp_path):
+    path = str(tmp_path / "u")
+    keyed_upsert(spark.range(500).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")), path, "k", ["v"])
+    compact(spark, path)
+    keyed_upsert(spark.createDataFrame([("7", 1000)], "k string, v long"), path, "k", ["v"])
+    assert compact(spark, path) == 1
+    assert len(workspace.partition_values(spark, f"{path}/snapshot/upto=0", "bucket")) == 64
+    assert len(workspace.partition_values(spark, f"{path}/snapshot/upto=1", "bucket")) == 1
+    expire(spark, path)
+    assert len(workspace.partition_values(spark, f"{path}/snapshot/upto=0", "bucket")) == 63
+    state = {r.k: r.v for r in current_state(spark, path).collect()}
+    assert len(state) == 500 and state["7"] == 1000 and state["8"] == 8

@@ -7,6 +7,7 @@ from pyspark.sql.datasource import (
 
 from feedworks import workspace
 from feedworks.operators import messages
+from feedworks.schema import CORRUPT
 from feedworks.plans import jobs
 from feedworks.schema import MESSAGE_COLUMNS
 from feedworks.sinks import current_state, index_options, write_index
@@ -23,7 +24,7 @@ def test_delimited(spark, tmp_path):
 
 def decoded(spark, *values, **kw):
     df = spark.createDataFrame([(v,) for v in values], "value string")
-    return [tuple(r) for r in messages.decode_csv(df, **kw).collect()]
+    return [tuple(r) for r in messages.decode_csv(df, **kw).drop(CORRUPT).collect()]
 
 
 def row(*fields):
@@ -42,6 +43,17 @@ def test_messages_without_quoting(spark):
     assert decoded(spark, "1^2^^", quoting=False, sep="^") == [row("1", "2")]
 
 
+def test_messages_that_do_not_fit_keep_their_text(spark):
+    long, open_quote = ",".join(map(str, range(30))), 'a,"b,c'
+    fits = ["1,2", ",".join(["x"] * 26) + ",,,", '1,"a, ""b"", c",2', "a\"b,c", ""]
+    for values, kw, unfit in [
+            ([long, open_quote, *fits], {}, [long, open_quote]),
+            ([long, "1^2"], {"quoting": False}, [long]),
+            (["^".join(map(str, range(27)))], {"sep": "^"}, ["^".join(map(str, range(27)))])]:
+        df = spark.createDataFrame([(v,) for v in values], "value string")
+        assert sorted(r[0] for r in messages.decode_csv(df, **kw).select(CORRUPT).collect() if r[0]) == sorted(unfit)
+
+
 def test_message_ids(spark):
     df = spark.createDataFrame([("r,e1,n1",)], "value string")
     out = messages.project_ids(messages.decode_csv(df))
@@ -162,13 +174,34 @@ def test_kafka_to_upsert(spark, tmp_path):
 class Session:
     """As much of a session as the workspace asks for."""
 
-    def __init__(self, master, folder=None):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
-        self.sparkContext = SimpleNamespace(master=master, applicationId="app-1")
+    def __init__(self, master, folder=None, checkpoint=None):
+        self.conf = {"spark.sql.warehouse.dir": "/warehouse/", **({"spark.checkpoint.dir": folder} if folder else {})}
+        self.sparkContext = SimpleNamespace(master=master, applicationId="app-1", getCheckpointDir=lambda: checkpoint)
 
 
 def test_workspace_on_a_cluster():
     assert workspace.root(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared/feedworks/app-1"
     with pytest.raises(RuntimeError):
         workspace.root(Session("yarn"))
+    assert workspace.root(Session("yarn", checkpoint="hdfs:///points")) == "hdfs:///points/feedworks/app-1"
     assert workspace.root(Session("local[2]")) == workspace.root(Session("local[2]"))
+    assert workspace.root(Session("local[2]")) == "/warehouse/_shared/feedworks/app-1"
+
+
+def test_scratch_is_freed_alone(spark):
+    kept = workspace.new_path(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    with workspace.scratch(spark):
+        table = workspace.materialise(spark.range(5), "inner")
+        assert table.count() == 5
+        gone = table.inputFiles()[0].rsplit("/", 1)[0]
+    fs, folder = workspace._folder(spark, gone)
+    assert not fs.exists(folder) and spark.read.parquet(kept).count() == 3
+
+
+def test_notes_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert workspace.read_note(spark, path, "x") == {}
+    for n in range(3):
+        workspace.write_note(spark, path, "x", {"n": n, "ü": "é"})
+    assert workspace.read_note(spark, path, "x") == {"n": 2, "ü": "é"}

@@ -123,3 +123,63 @@ def test_table_without_batches(spark, tmp_path):
     feed(tmp_path / "in", "1.xml", 2, 2)
     work_off(spark, tmp_path, table_sink("appended", per_batch=False))
     assert spark.table("appended").count() == 4 and len(spark.table("appended").columns) == 21
+
+
+def test_rows_are_counted_past_the_kept_history(spark, tmp_path, settings):
+    settings(sql_streaming_numRecentProgressUpdates=2)
+    for i in range(5):
+        feed(tmp_path / "in", f"{i}.xml", 10 * i, 1)
+    query = work_off(spark, tmp_path, files_sink(str(tmp_path / "out")))
+    assert len(query.recentProgress) <= 2 and input_rows(query) == 5
+
+
+def test_files_with_an_old_time_arrive(spark, tmp_path):
+    import os
+    import time
+
+    feed(tmp_path / "in", "0.xml", 0, 2)
+    work_off(spark, tmp_path, files_sink(str(tmp_path / "out")))
+    feed(tmp_path / "in", "1.xml", 10, 2)
+    old = time.time() - 400 * 86400
+    os.utime(tmp_path / "in" / "1.xml", (old, old))
+    work_off(spark, tmp_path, files_sink(str(tmp_path / "out")))
+    assert json_ids(spark, tmp_path / "out") == [0, 1, 10, 11]
+
+
+def test_crash_in_the_first_batch_of_a_table(spark, tmp_path):
+    feed(tmp_path / "in", "0.xml", 0, 3)
+    inner = table_sink("crashed_first", str(tmp_path / "t"))
+
+    def fails(batch, batch_id):
+        # Files at the place of the table, but no table, as after a crash while it is made.
+        batch.write.partitionBy("event_id").mode("overwrite").parquet(str(tmp_path / "t" / "batch_id=0"))
+        raise RuntimeError("lost before the table")
+
+    with pytest.raises(Exception, match="lost before the table"):
+        work_off(spark, tmp_path, fails)
+    work_off(spark, tmp_path, inner)
+    assert sorted(r.event_id for r in spark.table("crashed_first").collect()) == ["0", "1", "2"]
+
+
+def test_broken_records_and_events_without_id_are_set_aside(spark, tmp_path):
+    from feedworks.plans import jobs
+
+    feed(tmp_path / "in", "0.xml", 0, 2)
+    (tmp_path / "in" / "1.xml").write_text('<eventData><net id="1"><event><severity>5</severity></event>'
+                                           '<event id="7"></event></net></eventData>\n<eventData><net id=></eventData>')
+    sink = upsert_sink(str(tmp_path / "u"), "event_id", keyless=files_sink(str(tmp_path / "keyless")))
+    for _ in range(2):
+        jobs.xml_stream_to(spark, str(tmp_path / "in"), sink, str(tmp_path / "c"), interval=None).awaitTermination()
+    assert sorted(r.event_id for r in current_state(spark, str(tmp_path / "u")).collect()) == ["0", "1", "7"]
+    assert [r.severity for r in spark.read.json(str(tmp_path / "keyless")).collect()] == ["5"]
+    aside = [r.value for r in spark.read.text(str(tmp_path / "c_quarantine")).collect()]
+    assert len(aside) == 1 and "<net id=>" in aside[0]
+
+
+def test_upsert_sink_compacts(spark, tmp_path):
+    for i in range(5):
+        feed(tmp_path / "in", f"{i}.xml", i, 2, severity=str(i))
+    work_off(spark, tmp_path, upsert_sink(str(tmp_path / "u"), "event_id", compact_every=2))
+    state = {r.event_id: r.severity for r in current_state(spark, str(tmp_path / "u")).collect()}
+    assert len(state) == 6 and list((tmp_path / "u" / "snapshot").glob("upto=*"))
+    assert all(state[str(i)] == str(min(i, 4)) for i in range(1, 6)) or state["5"] == "4"

@@ -228,3 +228,62 @@ def test_times_in_another_form(spark, tmp_path):
     events = explode_events(xml_records(spark, path))
     assert flatten(events).first().start_timestamp is None
     assert flatten(events, typed=False).first().start_timestamp == "01/02/18 3 PM"
+
+
+def corrupt_of(df):
+    return [r[0] for r in quarantined(df).collect()]
+
+
+def test_a_cut_off_end_is_no_good_record(spark, tmp_path):
+    inner = '<event id="1"><severity>1</severity></event><event id="2"><severity>2</severity>'
+    path = write(tmp_path / "child", f'<eventData><net id="1">{inner}')
+    assert ids(xml_records(spark, path)) == [] and len(corrupt_of(xml_records(spark, path))) == 1
+    rows = xml_event_rows(spark, path)
+    assert [r.col._id for r in rows.where(F.col(CORRUPT).isNull()).collect()] == ["1"]
+    (text,) = corrupt_of(rows)
+    assert text.startswith('<event id="2">') and "<severity>2</severity>" in text
+    path = write(tmp_path / "net", record(event(1)) + "\n" + record(event(2)).replace("</eventData>", ""))
+    assert ids(xml_records(spark, path)) == ["1"] and len(corrupt_of(xml_records(spark, path))) == 1
+    # Its events are whole.
+    assert event_rows(xml_event_rows(spark, path))[-1][2] == "2" and not corrupt_of(xml_event_rows(spark, path))
+
+
+def test_damaged_start_tags_are_kept(spark, tmp_path):
+    text = (record(event(1)) + record(event(2)).replace("<eventData>", "<evntData>") + record(event(3))
+            + record('<evnt id="4"></event>' + event(5)) + record(event(6)))
+    records = xml_records(spark, write(tmp_path / "x", text))
+    assert ids(records) == ["1", "3", "6"]
+    bad = corrupt_of(records)
+    assert len(bad) == 2 and any("evntData" in b and 'id="2"' in b for b in bad) and any('evnt id="4"' in b for b in bad)
+    rows = xml_event_rows(spark, write(tmp_path / "x", text))
+    assert sorted(r[2] for r in event_rows(rows.where(F.col(CORRUPT).isNull()))) == ["1", "2", "3", "5", "6"]
+    assert corrupt_of(rows) == ['<evnt id="4"></event>']
+
+
+def test_both_halves_of_a_record_with_an_end_tag_in_a_comment(spark, tmp_path):
+    text = record("<!-- </eventData> -->" + event(1)) + record(event(2))
+    path = write(tmp_path / "x", text)
+    assert ids(xml_records(spark, path)) == ["2"]
+    assert any('id="1"' in b for b in corrupt_of(xml_records(spark, path)))
+    assert ids(xml_records(spark, path, whole_files=True)) == ["1", "2"]
+
+
+def test_whole_files_go_on_after_a_broken_record(spark, tmp_path):
+    broken = record(event(2)).replace("</net>", "")
+    path = write(tmp_path / "x", record(event(1)) + broken + record(event(3)) + record(event(4)))
+    records = xml_records(spark, path, whole_files=True)
+    assert ids(records) == ["1", "3", "4"] and corrupt_of(records) == [broken]
+
+
+def test_carry_over_files_has_no_window_over_all_blocks(spark, tmp_path, small_splits):
+    text, expected = big_document()
+    cut = text.index('<event id="50"')
+    write(tmp_path / "x", text[:cut], "part-0")
+    path = write(tmp_path / "x", text[cut:], "part-1")
+    small_splits(1500)
+    df = xml_event_rows(spark, path, across_files=True)
+    assert event_rows(df) == sorted(expected)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.split("\n") if " Window " in line]
+    # Within files by file, and among files over one row each.
+    assert sum("_file" in line.split("windowspecdefinition")[1].split(" ASC")[0] for line in windows) >= 1
