@@ -202,11 +202,31 @@ def confirmed(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """The smallest number that can be reached from each linked one: id, component.
+    """The smallest number that can be reached from each linked one: id, component; written.
 
-    Each round takes the smallest label among neighbours and then that label's own,
-    so a chain shortens to half and the rounds grow as its logarithm.
+    First every number goes to its smallest neighbour, which then is linked to its other
+    smaller ones. Numbers that no other has for a smaller neighbour are then done with. Among
+    the rest, in each round
+    a label becomes the smallest among neighbours and then that one's own, so a chain shortens
+    to half and the rounds grow as its logarithm.
     """
+    edges = workspace.materialise(
+        links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near_edges")
+    least = workspace.materialise(edges.groupBy("a").agg(F.min("b").alias("least")), "near_least")
+    among = edges.join(least, "a").filter("b != least").select("b", F.col("least").alias("a")).distinct()
+    smaller = edges.select(F.col("b").alias("a")).distinct()
+    onward = least.join(smaller, "a", "left_semi").select(F.col("a").alias("b"), F.col("least").alias("a"))
+    labels = _labels(workspace.materialise(among.union(onward), "near_edges"))
+    ids = (least.select(F.col("a").alias("id"), "least")
+           .unionByName(edges.select("b").distinct().join(least, F.col("b") == F.col("a"), "left_anti")
+                        .select(F.col("b").alias("id"), F.col("b").alias("least"))))
+    known = labels.withColumnRenamed("id", "least")
+    return workspace.materialise(
+        ids.join(known, "least", "left").select("id", F.coalesce("component", "least").alias("component")), "near_labels")
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """The smallest number reached from each, by rounds over all links."""
     both = links.select("a", "b").union(links.select("b", "a"))
     edges = workspace.materialise(both.distinct(), "near_edges")
     labels = workspace.materialise(
@@ -299,7 +319,8 @@ def _sides(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task, pairs that connect all members which come near one of another component."""
+    """Per task, the members that come near one of another component, each with the
+    smallest id that it is connected to through such."""
     least = (LIMIT / 100 - SLACK) * 0.75 + 0.25
     for rows in _tasks(batches, "bucket"):
         one, two = _sides(rows)
@@ -314,10 +335,25 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fits = 100 * np.minimum(size[two], size[row]) >= LIMIT * np.maximum(size[two], size[row])
             return fits & (component[two] != component[row]) & (1 - differ / _HASHES >= least)
 
-        if found := _joining(ids, ids, one, two, near):
+        if found := _connected(ids, one, two, near):
             yield _edges(found)
 
 
+def _connected(ids: np.ndarray, one: np.ndarray, two: np.ndarray, near) -> list[tuple[int, int]]:
+    """The rows that are near another, each with the smallest id it is connected to."""
+    labels, touched = np.arange(len(ids)), np.zeros(len(ids), bool)
+    for row in one:
+        hits = two[near(row)]
+        if len(hits):
+            touched[row] = touched[hits] = True
+            if (labels[hits] != labels[row]).any():
+                labels[np.isin(labels, labels[hits])] = labels[row]
+    root = np.full(len(ids), np.iinfo(np.int64).max)
+    np.minimum.at(root, labels, ids)
+    root = root[labels]
+    return [(int(ids[i]), int(root[i])) for i in np.flatnonzero(touched & (root != ids))]
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task, links that join different components, by full sets."""
     for rows in _tasks(batches, "cluster"):
