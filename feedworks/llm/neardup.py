@@ -150,7 +150,9 @@ def _members(sets: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one class; written."""
     every = sets.select("id", "n_shingles", F.explode("bands").alias("bucket"))
     met = every.groupBy("bucket").agg(F.count("*").alias("members"), F.min("id").alias("pivot")).filter("members > 1")
-    return workspace.materialise(every.join(met.select("bucket", "pivot"), "bucket"), "near_members")
+    # A written table: Spark can split a heavy bucket in this join, not in one that reuses the grouping.
+    met = workspace.materialise(met.select("bucket", "pivot"), "near_buckets")
+    return workspace.materialise(every.join(met, "bucket"), "near_members")
 
 
 def _pair(one: str, other: str) -> list:
@@ -206,9 +208,8 @@ def components(links: DataFrame) -> DataFrame:
 
     First every number goes to its smallest neighbour, which then is linked to its other
     smaller ones. Numbers that no other has for a smaller neighbour are then done with. Among
-    the rest, in each round
-    a label becomes the smallest among neighbours and then that one's own, so a chain shortens
-    to half and the rounds grow as its logarithm.
+    the rest, in each round a label becomes the smallest among neighbours and then that
+    one's own, so a chain shortens to half and the rounds grow as its logarithm.
     """
     edges = workspace.materialise(
         links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near_edges")
@@ -216,19 +217,20 @@ def components(links: DataFrame) -> DataFrame:
     among = edges.join(least, "a").filter("b != least").select("b", F.col("least").alias("a")).distinct()
     smaller = edges.select(F.col("b").alias("a")).distinct()
     onward = least.join(smaller, "a", "left_semi").select(F.col("a").alias("b"), F.col("least").alias("a"))
-    labels = _labels(workspace.materialise(among.union(onward), "near_edges"))
-    ids = (least.select(F.col("a").alias("id"), "least")
-           .unionByName(edges.select("b").distinct().join(least, F.col("b") == F.col("a"), "left_anti")
-                        .select(F.col("b").alias("id"), F.col("b").alias("least"))))
-    known = labels.withColumnRenamed("id", "least")
+    among = workspace.materialise(among.union(onward), "near_edges")
+    leaves = least.select(F.col("a").alias("id"), "least")
+    roots = edges.select(F.col("b").alias("a")).distinct().join(least, "a", "left_anti")
+    ids = leaves.unionByName(roots.select(F.col("a").alias("id"), F.col("a").alias("least")))
+    if among.isEmpty():
+        return workspace.materialise(ids.withColumnRenamed("least", "component"), "near_labels")
+    known = _labels(among).withColumnRenamed("id", "least")
     return workspace.materialise(
         ids.join(known, "least", "left").select("id", F.coalesce("component", "least").alias("component")), "near_labels")
 
 
 def _labels(links: DataFrame) -> DataFrame:
-    """The smallest number reached from each, by rounds over all links."""
-    both = links.select("a", "b").union(links.select("b", "a"))
-    edges = workspace.materialise(both.distinct(), "near_edges")
+    """The smallest number reached from each, by rounds over all links, a written table."""
+    edges = links.select("a", "b").union(links.select("b", "a"))
     labels = workspace.materialise(
         edges.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("component")), "near_labels")
     while True:
@@ -264,6 +266,7 @@ def _dealt(rows: DataFrame, key: str, more: DataFrame) -> DataFrame:
              .filter("parts > 1")
              .select(key, "largest", F.ceil((F.col("members") - F.col("most")) / BLOCK).cast("int").alias("outer"),
                      F.ceil(F.col("most") / BLOCK).cast("int").alias("inner")))
+    mixed = workspace.materialise(mixed, "near_mixed")
     every = rows.join(mixed, key).join(more, "id").withColumn("outside", F.col("component") != F.col("largest"))
     every = every.withColumn("block", F.pmod(F.xxhash64("id"), F.when(F.col("outside"), F.col("outer")).otherwise(F.col("inner"))).cast("int"))
     outer = F.sequence(F.lit(0), F.col("outer") - 1)
@@ -418,9 +421,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linked = workspace.materialise(
         rows.select(*known, "set_a", "set_b").join(component, ["set_a", "set_b", "n_shingles"])
         .select(*known, "component"), "near_rows")
-    first = linked.groupBy("component").agg(
+    first = workspace.materialise(linked.groupBy("component").agg(
         F.min("doc_id").alias("component_id"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", *ROW)).alias("first"))
+        F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", *ROW)).alias("first")), "near_first")
     found = linked.join(first, "component").select(
         *known, "component_id", F.struct(*ROW).eqNullSafe(F.struct(*[F.col(f"first.{c}") for c in ROW])).alias("stays"))
     alone = rows.filter("n_shingles = 0").select(*known, F.col("doc_id").alias("component_id"), F.lit(True).alias("stays"))
