@@ -79,7 +79,9 @@ MESSAGE_COLUMNS = [
 ]
 
 # The catalogue export's closing tag, list separator, the pattern
-# of a subject line and the output column names.
+# of a subject line and the output column names. The pattern looks anywhere in a
+# line, so that two-digit numbers but 10 and Roman numerals but I and V need no alternatives of
+# their own (their ends match), and fewer are tried per row.
 ACCESSION_TAG = "Accn Nos"
 SUBJECT_SEPARATOR = "~~"
 SUBJECT_PATTERN = r"[1-9]\.|10\.|[IV]\."

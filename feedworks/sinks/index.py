@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 def index_options(resource: str, nodes: str, key: str | None = "event_id",
                   upsert: bool = True) -> dict[str, str]:
     """Connector options: target, nodes, and for an upsert the document id."""
+    # Setting names of the connector.
     options = {"es.nodes": nodes, "es.resource": resource, "es.index.auto.create": "true"}
     if upsert and key is None:
         raise ValueError("an upsert needs a key")

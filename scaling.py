@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from feedworks import workspace
 from feedworks.operators.events import event_records
 from feedworks.plans import staging
-from feedworks.sinks import current_state, keyed_upsert
+from feedworks.sinks import current_state, keyed_upsert, write_batch
 from feedworks.sources import delimited, xml_records
 
 ROOT = os.environ.get("SCALING_ROOT", "/root/testdata")
@@ -30,6 +30,18 @@ def splits(df) -> int:
     return df.rdd.getNumPartitions()
 
 
+def batch_seconds(spark, earlier: int) -> float:
+    """Time of a batch to an output that has so many batches before it."""
+    path = workspace.new_path(spark, "batches")
+    for number in range(earlier):
+        fs, folder = workspace._folder(spark, f"{path}/batch_id={number}")
+        fs.mkdirs(folder)
+    workspace.write_note(spark, path, "batches", {"newest": earlier - 1})
+    start = time.perf_counter()
+    write_batch(spark.range(1000), path, earlier)
+    return round(time.perf_counter() - start, 2)
+
+
 def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("feedworks-scaling")
@@ -39,7 +51,9 @@ def main() -> None:
              .config("spark.sql.files.maxPartitionBytes", 1 << 20)
              .config("spark.sql.files.openCostInBytes", 1 << 16).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    for sf in sorted(os.listdir(ROOT)):
+    batch_seconds(spark, 1)
+    print(json.dumps({f"batch_sec_after_{n}": batch_seconds(spark, n) for n in (10, 10_000)}), flush=True)
+    for sf in sorted(name for name in os.listdir(ROOT) if name.startswith("sf")):
         sf_dir = f"{ROOT}/{sf}"
         records = xml_records(spark, staging.events_xml(spark, sf_dir))
         flat = event_records(records)
