@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedworks import workspace
-from feedworks.llm.rows import text_of
+from feedworks.llm.rows import in_small_batches, text_of
 from feedworks.llm.wordhash import mix
 
 K, S = 16, 6
@@ -125,6 +125,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     it in its block. One shuffle of the texts. The borders of the blocks come from a
     bounded sample of ids and do not bear on the result.
     """
+    docs = in_small_batches(docs)
     text = text_of(docs)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text,
                        _place(docs["doc_id"]).alias("place"), F.xxhash64(text).alias("tie"))

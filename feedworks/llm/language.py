@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedworks import workspace
-from feedworks.llm.rows import broadcast_if_small, text_of
+from feedworks.llm.rows import broadcast_if_small, in_small_batches, text_of
 
 #: Documents that the text model is trained on, about; all where there are fewer.
 TRAINING_ROWS = 4000
@@ -65,6 +65,7 @@ def trigrams(text: str) -> np.ndarray:
 
 def train(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> tuple[list[str], np.ndarray]:
     """The languages, and the log chance of each trigram bin in each."""
+    docs = in_small_batches(docs)
     known = docs.select(docs["lang"].cast("string").alias("lang"), text_of(docs), docs["doc_id"].alias("id")).filter("lang is not null")
     frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
     languages = sorted(row["lang"] for row in frequent)

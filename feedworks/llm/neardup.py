@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedworks import workspace
-from feedworks.llm.rows import AT, FILE, ROW, broadcast_if_small, numbered, text_of
+from feedworks.llm.rows import AT, FILE, ROW, broadcast_if_small, in_small_batches, numbered, text_of
 from feedworks.llm.wordhash import Words, chunks, mix
 
 SHINGLE_WORDS = 5
@@ -130,6 +130,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def features(docs: DataFrame) -> DataFrame:
     """Row identity, doc_id, size and key of the set, signature and bands; written."""
+    docs = in_small_batches(docs)
     text = text_of(docs)
     rows = numbered(docs, docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text)
     schema = (f"{FILE} long, {AT} long, doc_id long, text_key long, n_shingles long, set_a long, set_b long, "

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedworks.llm.rows import AT, FILE, numbered, text_of
+from feedworks.llm.rows import AT, FILE, in_small_batches, numbered, text_of
 
 CAPACITY = 2048
 #: Written after each document.
@@ -79,6 +79,8 @@ def token_pieces(docs: DataFrame, vocabulary: str | None = None, piece_tokens: i
     installed public one, found where the task runs.
     """
 
+    docs = in_small_batches(docs)
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = vocabulary or vocabulary_path()
         rows, tokens = [], 0

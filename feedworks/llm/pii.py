@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedworks import workspace
-from feedworks.llm.rows import AT, FILE, ROW, numbered, text_of
+from feedworks.llm.rows import AT, FILE, ROW, in_small_batches, numbered, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Rounds over the graph, and what a pattern needs.
@@ -140,6 +140,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def scan(docs: DataFrame) -> DataFrame:
     """Seeds (kind 0 and above) and candidates (-1) with their places and patterns; written."""
     schema = f"{FILE} long, {AT} long, kind int, start long, end long, value string, patterns array<string>"
+    docs = in_small_batches(docs)
     return workspace.materialise(numbered(docs, text_of(docs)).mapInArrow(_scan, schema), "pii_found")
 
 

@@ -52,6 +52,20 @@ def with_documents(docs: DataFrame, rows: DataFrame, how: str = "inner") -> Data
     return joined.select("__document.*", *[c for c in joined.columns if c not in (*ROW, "__document")])
 
 
+#: Rows of whole texts that a Python worker is handed at once, and Spark's own number.
+BATCH_ROWS, _SPARK_BATCH_ROWS = 1000, 10_000
+
+
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, after telling its session to hand rows to Python a thousand at a time,
+    unless the session has a number of its own: ten thousand whole texts, held by Spark and
+    by the worker, can be more than an executor has."""
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(conf.get(name)) == _SPARK_BATCH_ROWS:
+        conf.set(name, BATCH_ROWS)
+    return docs
+
+
 def text_of(docs: DataFrame) -> Column:
     """The text as a string, null counting as empty."""
     return F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")

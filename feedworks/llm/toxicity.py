@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedworks.llm.rows import text_of
+from feedworks.llm.rows import in_small_batches, text_of
 from feedworks.llm.wordhash import PUNCTUATION, Words, chunks
 
 THRESHOLD = 0.7
@@ -91,6 +91,7 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, unlabelled_rows: int = UNLABELLED_ROWS) -> Model:
     """The model, from labels outside the held-out rows and unlabelled documents outside them."""
+    docs = in_small_batches(docs)
     known = (labels.filter(labels["doc_id"].isNotNull() & ~held_out(labels["doc_id"]))
              .groupBy(labels["doc_id"].cast("long").alias("id")).agg(F.max(labels["toxic"].cast("int")).alias("toxic"))
              .filter("toxic is not null"))
