@@ -3,9 +3,9 @@
 A k-mer of characters is an anchor if the smallest of its s-mers, by hash, is its first or
 last. That depends on the k-mer alone, so an anchor survives any change outside it, and text
 that two documents share gives them the same anchors wherever it stands. The fingerprint
-keeps the :data:`ANCHORS` anchors of smallest hash with their positions, in order of
-position. Two fingerprints are compared by position: anchors of the same hash count as far
-as they come in the same order in both texts.
+holds every anchor with its position, in order of position, and so grows with its text by
+about two anchors in ``K - S + 1`` characters. Two fingerprints are compared by position: anchors
+of the same hash count as far as they come in the same order in both texts.
 
 Defined results: null text is empty; an empty text has an empty fingerprint, like that of
 an empty text only; a text without anchors is one anchor as a whole; equal texts have
@@ -15,6 +15,7 @@ equal fingerprints; no rows give no rows.
 from __future__ import annotations
 
 import bisect
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -30,7 +31,6 @@ from feedworks.llm.rows import in_small_batches, text_of
 from feedworks.llm.wordhash import mix
 
 K, S = 16, 6
-ANCHORS = 64
 #: Rows aimed at in a block of neighbours, the most blocks, and sampled rows per block.
 _BLOCK_ROWS, _MOST_BLOCKS, _SAMPLED = 256, 1 << 16, 20
 #: Characters hashed at once.
@@ -38,7 +38,7 @@ _CHARS = 1 << 20
 
 
 def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the distinct anchors of a text, rising, and the first place of each."""
+    """Hashes and places of all anchors of a text, by place."""
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     found = [_anchors_of(codes[low:low + _CHARS + k - 1], k, s, low) for low in range(0, max(1, len(codes) - k + 1), _CHARS)]
     hashes = np.concatenate([f[0] for f in found])
@@ -46,8 +46,7 @@ def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
     if not len(hashes) and len(codes):
         whole = int.from_bytes(hashlib.blake2b(codes.tobytes(), digest_size=4).digest(), "big")
         return np.array([whole], np.uint64), np.zeros(1, np.int64)
-    hashes, first = np.unique(hashes, return_index=True)
-    return hashes, places[first]
+    return hashes, places
 
 
 def _anchors_of(codes: np.ndarray, k: int, s: int, low: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,34 +72,60 @@ def _anchors_of(codes: np.ndarray, k: int, s: int, low: int) -> tuple[np.ndarray
     return value >> np.uint64(32), chosen + low
 
 
-def fingerprint(text: str, most: int = ANCHORS) -> list[tuple[int, int]]:
-    """The anchors kept, as (hash, place), in order of place."""
+def fingerprint(text: str) -> list[tuple[int, int]]:
+    """All anchors of a text, as (hash, place), in order of place."""
     hashes, places = anchors(text)
-    order = np.argsort(places[:most], kind="stable")
-    return list(zip(hashes[:most][order].tolist(), places[:most][order].tolist(), strict=True))
+    return list(zip(hashes.tolist(), places.tolist(), strict=True))
 
 
 def written(kept: list[tuple[int, int]]) -> str:
     return " ".join(f"{value:08x}:{place}" for value, place in kept)
 
 
-def likeness(one: list[tuple[int, int]], other: list[tuple[int, int]], most: int = ANCHORS) -> float:
-    """Share of the two texts' anchors, from 0 to 1, that are common and in the same order.
-
-    Only hashes small enough to be kept in either fingerprint, had they been in the text, are compared.
-    """
+def likeness(one: list[tuple[int, int]], other: list[tuple[int, int]]) -> float:
+    """Share of the two texts' anchors, from 0 to 1, that are common and in the same order."""
     if not one or not other:
         return float(one == other)
-    bound = min(max(v for v, _ in kept) if len(kept) >= most else 1 << 32 for kept in (one, other))
-    mine = [(v, p) for v, p in one if v <= bound]
-    theirs = {v: p for v, p in other if v <= bound}
-    rising: list[int] = []
-    for value, _ in mine:
-        place = theirs.get(value)
-        if place is not None:
-            at = bisect.bisect_left(rising, place)
-            rising[at:at + 1] = [place]
-    return 2 * len(rising) / (len(mine) + len(theirs))
+    return 2 * common_in_order([v for v, _ in one], [v for v, _ in other]) / (len(one) + len(other))
+
+
+def common_in_order(one: list[int], other: list[int]) -> int:
+    """Length of the longest common subsequence.
+
+    Common beginnings and ends belong to it. Between them only values of both lists matter. Where
+    few places pair up, pairs are followed by rising place; where values repeat, all places of a
+    list are followed at once as the bits of a number. Both ways are exact.
+    """
+    shorter = min(len(one), len(other))
+    begun = next((i for i in range(shorter) if one[i] != other[i]), shorter)
+    ended = next((i for i in range(shorter - begun) if one[-1 - i] != other[-1 - i]), shorter - begun)
+    one, other = one[begun:len(one) - ended], other[begun:len(other) - ended]
+    both = set(one).intersection(other)
+    one, other = [v for v in one if v in both], [v for v in other if v in both]
+    places: dict[int, list[int]] = {}
+    for place, value in enumerate(other):
+        places.setdefault(value, []).append(place)
+    if sum(len(places[value]) for value in one) <= len(one) * (4 + len(other) // 4096):
+        rising: list[int] = []
+        for value in one:
+            for place in reversed(places[value]):
+                at = bisect.bisect_left(rising, place)
+                rising[at:at + 1] = [place]
+        return begun + ended + len(rising)
+
+    @functools.lru_cache(64)
+    def standing(value: int) -> int:
+        bits = bytearray(len(other) // 8 + 1)
+        for place in places[value]:
+            bits[place >> 3] |= 1 << (place & 7)
+        return int.from_bytes(bits, "little")
+
+    every = (1 << len(other)) - 1
+    open_places = every
+    for value in one:
+        met = open_places & standing(value)
+        open_places = ((open_places + met) | (open_places - met)) & every
+    return begun + ended + len(other) - open_places.bit_count()
 
 
 def _place(doc_id: Column) -> Column:

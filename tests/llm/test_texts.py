@@ -154,6 +154,34 @@ def test_likeness():
     assert fingerprints.fingerprint("short") != fingerprints.fingerprint("shirt")
 
 
+def test_passages_shared_with_long_texts_are_matched():
+    rng = random.Random(12)
+    words = lambda n: " ".join("".join(rng.choices(string.ascii_lowercase, k=5)) for _ in range(n))
+    passage, long, short = words(50), words(20_000), words(40)
+    of_passage = {v for v, _ in fingerprints.fingerprint(passage)}
+    inside, beside = (fingerprints.fingerprint(f"{text[:len(text) // 2]} {passage} {text[len(text) // 2:]}") for text in (long, short))
+    assert len(of_passage) > 30 and len(inside) > 20_000
+    for found in (inside, beside):
+        assert of_passage <= {v for v, _ in found}
+        assert [p for _, p in found] == sorted(p for _, p in found)
+    assert fingerprints.likeness(inside, beside) >= 2 * len(of_passage) / (len(inside) + len(beside))
+    # What stands after a change leaves the anchors before it.
+    assert set(fingerprints.fingerprint(long)[:-20]) <= set(fingerprints.fingerprint(long + short))
+
+
+def test_order_of_anchors_is_compared_in_full():
+    rng = random.Random(13)
+    for letters, n in [(2, 90), (5, 60), (400, 80), (1, 30)]:
+        for _ in range(20):
+            one, other = ([rng.randrange(letters) for _ in range(rng.randint(0, n))] for _ in range(2))
+            row = [0] * (len(other) + 1)
+            for value in one:
+                row, before = row[:1], row
+                for i, against in enumerate(other):
+                    row.append(before[i] + 1 if value == against else max(row[i], before[i + 1]))
+            assert fingerprints.common_in_order(one, other) == row[-1]
+
+
 def toxic_rows(n, seed, words=("vile", "rotten", "filth")):
     rng = random.Random(seed)
     rows, labels = [], []
