@@ -2,11 +2,12 @@
 
 A schedule of ``2 ** bits`` slots hands one slot after another to a source. Slot
 n lies at the van der Corput point n, its bits reversed; the targets, laid end to
-end, cut the range of points into one interval per source. So every run of slots
-holds each source in proportion to its target, and the number of slots that a
-source gets is right to one. The r-th slot of a source takes the r-th block of
-its stream: its documents in shuffled order, cut into blocks of equal size,
-and repeated from the start when they run out. The last block ends at the target.
+end, cut the range of points into one interval per source. One point of each interval is
+set apart for its source, so that a source has a slot however small its target is. The r-th slot
+of a source takes the r-th block of its stream: its documents in shuffled order, repeated from
+the start when they run out, up to the target, and cut into as many blocks as the source has
+slots, equal to one word. So all of every target is taken, and every run of slots
+holds the words of each source in proportion to its target.
 
 Which slots are a source's, and the rank of each, follow from the slot's number
 alone, so no source passes through one task. Places in a stream are summed in
@@ -33,7 +34,7 @@ from feedworks.llm.rows import ROW, WORD, broadcast_if_small, numbered, text_of
 WEIGHTS = (5, 2, 1)
 #: A source gives at most so many times its own size.
 MOST_REPEATS = 3
-#: Most words of a block. A source's share is right to one block.
+#: Most words of a block.
 BLOCK_WORDS = 128
 #: Rows aimed at in a bucket of the shuffle order, and the most buckets of a source.
 _BUCKET_ROWS, _MOST_BUCKETS = 64, 1 << 16
@@ -77,17 +78,19 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most_repe
     quotas = (levels.withColumn("target", F.least(F.col("cap").cast("double"), level * F.col("weight")))
               .withColumn("quota", F.floor(F.col("target") + 0.5).cast("long"))
               .withColumn("all_quotas", F.sum("quota").over(everything))
-              .withColumn("through", F.sum("quota").over(by_name.rowsBetween(Window.unboundedPreceding, 0))))
-    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest("all_quotas", F.lit(1)) / block_words))).cast("int")
-    point = lambda upto: F.floor(upto.cast("double") / F.greatest("all_quotas", F.lit(1)) * F.col("slots")).cast("long")
-    columns = ["number", "source", "source_size", "target", "quota", "bits", "buckets",
-               "block", "first_point", "end_point"]
+              .withColumn("through", F.sum("quota").over(by_name.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("own", (F.col("quota") > 0).cast("long"))
+              .withColumn("all_own", F.sum("own").over(everything))
+              .withColumn("own_through", F.sum("own").over(by_name.rowsBetween(Window.unboundedPreceding, 0))))
+    # A point for each source with a target, the others shared by target.
+    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest("all_quotas", F.lit(1)) / block_words + F.col("all_own")))).cast("int")
+    shared = lambda upto: F.floor(upto.cast("double") / F.greatest("all_quotas", F.lit(1)) * (F.col("slots") - F.col("all_own"))).cast("long")
+    columns = ["number", "source", "source_size", "target", "quota", "bits", "buckets", "first_point", "end_point"]
     return workspace.materialise(
         quotas.withColumn("bits", bits)
         .withColumn("slots", F.expr("shiftleft(1L, bits)"))
-        .withColumn("block", F.ceil(F.col("all_quotas") / F.col("slots")).cast("long") + 1)
-        .withColumn("first_point", point(F.col("through") - F.col("quota")))
-        .withColumn("end_point", point(F.col("through")))
+        .withColumn("first_point", F.col("own_through") - F.col("own") + shared(F.col("through") - F.col("quota")))
+        .withColumn("end_point", F.when(F.col("own") > 0, F.col("own_through") + shared(F.col("through"))).otherwise(F.col("first_point")))
         .withColumn("buckets", F.least(F.lit(_MOST_BUCKETS), F.ceil(F.col("rows") / _BUCKET_ROWS)).cast("int"))
         .select(*columns), "mix_sources")
 
@@ -159,10 +162,14 @@ def schedule(sizes: DataFrame, sources: DataFrame) -> DataFrame:
               .withColumn("round", F.explode(rounds))
               .withColumn("low", F.col("round") * F.col("source_size") + F.col("start"))
               .withColumn("high", F.least(F.col("low") + F.col("size"), F.col("quota"))))
-    blocks = F.sequence(F.floor(F.col("low") / F.col("block")), F.floor((F.col("high") - 1) / F.col("block")))
-    pieces = (placed.withColumn("block_number", F.explode(blocks))
-              .withColumn("cut", F.greatest(F.col("low"), F.col("block_number") * F.col("block")))
-              .withColumn("words", F.least(F.col("high"), (F.col("block_number") + 1) * F.col("block")) - F.col("cut"))
+    # Block r begins at the word floor(r * quota / slots).
+    starts = lambda block: f"cast({block} as decimal(19)) * cast(quota as decimal(19)) div cast(n_slots as decimal(19))"
+    holds = lambda word: f"(cast({word} + 1 as decimal(19)) * cast(n_slots as decimal(19)) - 1) div cast(quota as decimal(19))"
+    pieces = (placed.withColumn("n_slots", F.col("end_point") - F.col("first_point"))
+              .withColumn("block_number", F.explode(F.sequence(F.expr(holds("low")), F.expr(holds("(high - 1)")))))
+              .withColumn("cut", F.greatest(F.col("low"), F.expr(starts("block_number"))))
+              .withColumn("words", F.least(F.col("high"), F.expr(starts("(block_number + 1)"))) - F.col("cut"))
+              .filter("words > 0")
               .select(*ROW, "doc_id", "number", "block_number", (F.col("cut") - F.col("low")).alias("from_word"), "words"))
     # Few sources make many slots, which Spark's estimate doesn't see: never broadcast them.
     return pieces.join(source_slots(sources).hint("merge"), ["number", "block_number"]).drop("block_number")

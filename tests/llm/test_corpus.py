@@ -58,6 +58,29 @@ def test_mix(spark, tmp_path, block_words):
         ((r["doc_id"], r["source"], r["size"], r["taken"]) for r in found), key=repr)
 
 
+def test_every_target_is_taken_however_small_the_source(spark, tmp_path):
+    rng = random.Random(14)
+    rows = [(i, "word " * 600, "large" if i % 8 < 5 else "much") for i in range(160)]
+    rows += [(1000 + i, "word " * rng.randint(5, 59), f"tiny{i:04d}") for i in range(400)]
+    rows += [(3000 + i, "one", f"one{i}") for i in range(20)]
+    docs = documents(spark, rows, tmp_path / "docs")
+    taken, target, held = defaultdict(int), {}, defaultdict(int)
+    for row in mixing.mix(docs).collect():
+        taken[row["source"]] += row["taken"]
+        target[row["source"]], held[row["source"]] = row["target"], row["source_size"]
+    assert len(target) == 422 and sum(target[s] == 3 * held[s] for s in target) > 300
+    assert dict(taken) == {s: int(words + 0.5) for s, words in target.items()}
+    # No slot is given twice or beyond the schedule, and none takes more than a block.
+    sizes = mixing.document_sizes(docs)
+    sources = mixing.source_targets(sizes)
+    slots = [row["slot"] for row in mixing.source_slots(sources).collect()]
+    assert sorted(slots) == list(range(len(slots)))
+    filled = defaultdict(int)
+    for row in mixing.schedule(sizes, sources).collect():
+        filled[row["slot"]] += row["words"]
+    assert max(filled.values()) <= mixing.BLOCK_WORDS
+
+
 def test_ranks_of_slots_are_those_counted(spark):
     for bits, low, high in [(0, 0, 1), (5, 3, 17), (9, 0, 512), (9, 100, 101), (10, 511, 900)]:
         points = np.arange(low, high)
