@@ -5,7 +5,7 @@ The chance of a language given a page is proportional to
     P(text | language) * P(declared | language) * P(suffix | language) * P(language | host)
 
 * text: byte trigrams of the visible text, by a multinomial model of each language
-  trained on documents of known language. Trigrams overlap and repeat, so a text's
+  trained on documents of every known language. Trigrams overlap and repeat, so a text's
   evidence counts as that of at most :data:`TEXT_EVIDENCE` of them.
 * declared: the ``lang`` attribute of the markup; suffix: the last label of the host.
   How often each goes with a language is counted over all pages.
@@ -33,12 +33,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedworks import workspace
-from feedworks.llm.rows import broadcast_if_small, in_small_batches, text_of
+from feedworks.llm.rows import broadcast_if_small, hash_bound, in_small_batches, sampled, text_of
 
-#: Documents that the text model is trained on, about; all where there are fewer.
+#: Documents of each language that the text model is trained on, about; all where there are fewer.
 TRAINING_ROWS = 4000
-#: Most languages told apart: the most frequent ones of the documents.
-MOST_LANGUAGES = 32
 #: Hashed trigrams, their smoothing, and the weight of a text.
 BINS, SMOOTHING, TEXT_EVIDENCE = 1 << 14, 0.5, 100.0
 #: Weight of the next level in a prior, and of the share of all pages in other evidence.
@@ -67,28 +65,35 @@ def train(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> tuple[list[str
     """The languages, and the log chance of each trigram bin in each."""
     docs = in_small_batches(docs)
     known = docs.select(docs["lang"].cast("string").alias("lang"), text_of(docs), docs["doc_id"].alias("id")).filter("lang is not null")
-    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    languages = sorted(row["lang"] for row in frequent)
-    share = int(1_000_000 * min(1.0, training_rows / max(1, sum(row["count"] for row in frequent))))
-    sample = known.filter(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1_000_000)) < share)
+    held = {row["lang"]: row["count"] for row in known.groupBy("lang").count().collect()}
+    languages = sorted(held)
+    place = {lang: i for i, lang in enumerate(languages)}
+    bounds = docs.sparkSession.createDataFrame(
+        [(lang, place[lang], hash_bound(training_rows, held[lang])) for lang in languages], "lang string, place int, bound long")
+    sample = known.join(F.broadcast(bounds), "lang").filter(sampled(F.xxhash64("id", "text", F.lit(3)), F.col("bound")))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            totals: dict[str, np.ndarray] = {}
-            for lang, text in zip(batch["lang"].to_pylist(), batch["text"], strict=True):
-                totals[lang] = totals.get(lang, 0) + np.bincount(trigrams(text.as_py()), minlength=BINS)
-            for lang, total in totals.items():
+            totals: dict[int, np.ndarray] = {}
+            texts: dict[int, int] = {}
+            for number, text in zip(batch["place"].to_pylist(), batch["text"], strict=True):
+                totals[number] = totals.get(number, 0) + np.bincount(trigrams(text.as_py()), minlength=BINS)
+                texts[number] = texts.get(number, 0) + 1
+            for number, total in totals.items():
+                # After the bins used, one beyond them counts the texts.
                 used = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int32()), pa.array(total[used], pa.int64())],
-                    names=["lang", "bin", "times"])
-
-    counts = np.full((len(languages), BINS), SMOOTHING)
-    place = {lang: i for i, lang in enumerate(languages)}
-    rows = (sample.filter(F.col("lang").isin(languages)).select("lang", "text")
-            .mapInArrow(counted, "lang string, bin int, times long").groupBy("lang", "bin").agg(F.sum("times").alias("times")))
-    for row in rows.collect():
-        counts[place[row["lang"]], row["bin"]] += row["times"]
+                    [pa.array(np.full(len(used) + 1, number), pa.int32()), pa.array(np.append(used, BINS), pa.int32()),
+                     pa.array(np.append(total[used], texts[number]), pa.int64())], names=["place", "bin", "times"])
+
+    counts = np.zeros((len(languages), BINS + 1))
+    rows = (sample.select("place", "text").mapInArrow(counted, "place int, bin int, times long")
+            .groupBy("place", "bin").agg(F.sum("times").alias("times")).toArrow())
+    counts[rows["place"].to_numpy(), rows["bin"].to_numpy()] = rows["times"].to_numpy()
+    missing = [lang for lang in languages if not counts[place[lang], BINS]]
+    if missing and training_rows:
+        raise RuntimeError(f"no documents drawn to train on in {missing}")
+    counts = counts[:, :BINS] + SMOOTHING
     return languages, np.log(counts / counts.sum(axis=1, keepdims=True)) if languages else counts
 
 

@@ -71,6 +71,20 @@ def text_of(docs: DataFrame) -> Column:
     return F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")
 
 
+#: Hashes are compared by their lower 63 bits.
+_MOST_HASH = (1 << 63) - 1
+
+
+def hash_bound(rows: int, count: int) -> int:
+    """The largest hash in a sample of about ``rows`` of ``count`` rows; that of all where there are no more."""
+    return min(_MOST_HASH, (rows << 63) // max(1, count) - 1)
+
+
+def sampled(key: Column, bound: int | Column) -> Column:
+    """Whether a row is in a sample, by its hash and a :func:`hash_bound`."""
+    return key.bitwiseAND(F.lit(_MOST_HASH)) <= bound
+
+
 def lower_ascii(text: Column) -> Column:
     """A to Z in lower case, every other character as it is."""
     ascii_only = F.octet_length(text) == F.char_length(text)

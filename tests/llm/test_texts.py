@@ -290,6 +290,21 @@ def test_page_languages(spark, tmp_path):
     assert {row["lang"] for row in language.page_languages(pages, docs.limit(0)).collect()} == {None}
 
 
+def test_rare_languages_are_told_apart(spark):
+    rng = random.Random(15)
+    words = {f"l{i:02d}": ["".join(rng.choices(string.ascii_lowercase, k=5)) for _ in range(12)] for i in range(40)}
+    text = lambda lang: " ".join(rng.choices(words[lang], k=40))
+    # One language holds nearly everything, the others have four documents each.
+    docs = spark.createDataFrame(
+        [(i, text("l00"), "l00") for i in range(3000)] + [(5000 + i, text(lang), lang) for i, lang in enumerate(list(words)[1:] * 4)],
+        "doc_id long, text string, lang string")
+    languages, log_chance = language.train(docs, 200)
+    assert languages == sorted(words)
+    for lang in words:
+        evidence = log_chance[:, language.trigrams(text(lang))].sum(axis=1)
+        assert languages[int(evidence.argmax())] == lang
+
+
 def test_table_is_shared_evenly_and_changes_little():
     names = [f"s{i}" for i in range(20)]
     full, less = sharding.fill_table(names, 2003), sharding.fill_table(names[:-1], 2003)
