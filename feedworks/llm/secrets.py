@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedworks.llm.rows import ROW, numbered, text_of
+from feedworks.llm.rows import ROW, hash_bound, numbered, sampled, text_of
 
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: Kinds in order of listing. Access keys and hex strings too short to pass are left out
@@ -76,9 +76,9 @@ def passing(found: DataFrame) -> DataFrame:
 
 def log_ratios(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> list[float]:
     """For each pair of characters of :data:`ALPHABET`, log P(random) - log P(ordinary)."""
-    share = int(1_000_000 * min(1.0, training_rows / max(1, docs.count())))
+    bound = hash_bound(training_rows, docs.count())
     text = text_of(docs)
-    chosen = F.pmod(F.xxhash64(docs["doc_id"].cast("string"), F.char_length(text)), F.lit(1_000_000)) < share
+    chosen = sampled(F.xxhash64(docs["doc_id"].cast("string"), F.char_length(text)), bound)
     sample = docs.select(text).filter(chosen)
     random = F.concat(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),
                       *[F.regexp_extract_all("text", F.lit(PATTERNS[k]), F.lit(0)) for k in ("access", "hex")])
@@ -96,6 +96,8 @@ def log_ratios(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> list[floa
                        lambda one, other: F.struct(one.alias("one"), other.alias("other")))
     counts = (strings.select("random", "texts", F.explode(pairs).alias("pair")).select("random", "texts", "pair.*")
               .filter("one > 0 and other > 0").groupBy("random", "one", "other").agg(F.sum("texts").alias("times")).collect())
+    if not counts and training_rows and sample.isEmpty() and not docs.isEmpty():
+        raise RuntimeError("no documents drawn to train on")
     return _ratios({(r["random"], r["one"] - 1, r["other"] - 1): r["times"] for r in counts})
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedworks.llm.rows import in_small_batches, text_of
+from feedworks.llm.rows import hash_bound, in_small_batches, sampled, text_of
 from feedworks.llm.wordhash import PUNCTUATION, Words, chunks
 
 THRESHOLD = 0.7
@@ -101,16 +101,20 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, unla
     ids = docs.select(docs["doc_id"].cast("long").alias("id")).filter(~held_out(F.col("id")))
     n_rows = ids.count()
 
-    def drawn(share: float) -> Column:
-        return F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, share))
+    def drawn(rows: int, count: int) -> Column:
+        return sampled(F.xxhash64("id", F.lit(7)), hash_bound(rows, count))
 
-    toxic = known.filter((F.col("toxic") == 1) & drawn(toxic_rows / n_toxic)).select("id", F.lit(True).alias("toxic"))
+    toxic = known.filter((F.col("toxic") == 1) & drawn(toxic_rows, n_toxic)).select("id", F.lit(True).alias("toxic"))
     sample = (docs.select(docs["doc_id"].cast("long").alias("id"), text_of(docs))
               .filter(F.coalesce(~held_out(F.col("id")), F.lit(True))).join(F.broadcast(toxic), "id", "left")
-              .withColumn("unlabelled", drawn(unlabelled_rows / max(n_rows, 1)))
+              .withColumn("unlabelled", drawn(unlabelled_rows, n_rows))
               .filter("toxic or unlabelled")
               .select(F.coalesce("toxic", F.lit(False)).alias("toxic"), F.coalesce("unlabelled", F.lit(False)).alias("unlabelled"), "text"))
     rows = sample.mapInArrow(_features, "toxic boolean, unlabelled boolean, features array<int>").toArrow()
+    if rows.num_rows and not any(rows["unlabelled"].to_pylist()):
+        raise RuntimeError("no documents drawn to train on beside the toxic ones")
+    if not any(rows["toxic"].to_pylist()) and toxic.isEmpty():
+        raise RuntimeError("no toxic documents drawn to train on")
     return fit(rows["features"].combine_chunks(), rows["toxic"].to_numpy(), rows["unlabelled"].to_numpy(), n_toxic / n_known)
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from frames import awkward, clashing, documents, plain
 
-from feedworks.llm import fingerprints, language, pii, queries, secrets, sharding, toxicity, wordhash
+from feedworks.llm import fingerprints, language, pii, queries, rows, secrets, sharding, toxicity, wordhash
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 
@@ -305,6 +305,26 @@ def test_rare_languages_are_told_apart(spark):
         assert languages[int(evidence.argmax())] == lang
 
 
+def test_samples_hold_rows_at_every_size(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    key = F.xxhash64("id", F.lit(7))
+    many = spark.range(20_000_000)
+    assert 3 <= many.filter(rows.sampled(key, rows.hash_bound(15, 20_000_000))).count() <= 40
+    few = spark.range(1000)
+    assert few.filter(rows.sampled(key, rows.hash_bound(4000, 1000))).count() == 1000
+    assert 350 < few.filter(rows.sampled(key, rows.hash_bound(500, 1000))).count() < 650
+    assert rows.hash_bound(4000, 10 ** 13) > 0
+    # An empty sample of rows that are there is an error.
+    for module in (secrets, toxicity):
+        monkeypatch.setattr(module, "hash_bound", lambda *_: -1)
+    with pytest.raises(RuntimeError):
+        secrets.log_ratios(documents(spark, [(1, "a b")]))
+    with pytest.raises(RuntimeError):
+        toxicity.train(documents(spark, [(i, "a b") for i in range(9)]), spark.createDataFrame(
+            [(i, 1, 1) for i in range(9)], "doc_id long, quality int, toxic int"))
+
+
 def test_table_is_shared_evenly_and_changes_little():
     names = [f"s{i}" for i in range(20)]
     full, less = sharding.fill_table(names, 2003), sharding.fill_table(names[:-1], 2003)
