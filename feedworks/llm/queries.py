@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedworks import workspace
-from feedworks.llm import exact, fingerprints, language, mixing, neardup, packing, pii, secrets, sharding, toxicity
+from feedworks.llm import exact, fingerprints, language, mixing, neardup, packing, pii, secrets, sharding, simhash, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,7 +82,12 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _span_digest(F.col("spans"), kinds).alias("spans"))
 
 
+def op12_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.similar_documents(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("code")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_window_packing, op3_exact_dedup, op4_secret_scan,
     op5_near_duplicates, op6_page_language, op7_toxicity, op8_fingerprints,
-    op9_sharding, op10_personal_data)}
+    op9_sharding, op10_personal_data, op12_simhash_near_duplicates)}

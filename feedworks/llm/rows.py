@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedworks import workspace
@@ -56,6 +59,20 @@ def with_documents(docs: DataFrame, rows: DataFrame, how: str = "inner") -> Data
 BATCH_ROWS, _SPARK_BATCH_ROWS = 1000, 10_000
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Hands whole texts to Python workers a thousand rows at a time in what is written
+    inside it, unless the session has a number of its own. The setting is put back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if int(before) == _SPARK_BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def in_small_batches(docs: DataFrame) -> DataFrame:
     """``docs``, after telling its session to hand rows to Python a thousand at a time,
     unless the session has a number of its own: ten thousand whole texts, held by Spark and

@@ -1,0 +1,132 @@
+"""SimHash components against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from frames import awkward, clashing, documents, plain
+from pyspark.sql import functions as F
+
+from feedworks.llm import simhash
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def code_by_hand(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    shingles = [" ".join(words[i:i + 4]) for i in range(len(words) - 3)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def components_by_hand(codes, ids):
+    label = list(range(len(codes)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    array = np.array(codes, np.uint64)
+    for i in range(len(codes)):
+        for j in np.flatnonzero(np.bitwise_count(array[:i] ^ array[i]) <= 4):
+            label[root(i)] = root(int(j))
+    groups = {}
+    for i, own in enumerate(ids):
+        groups.setdefault(root(i), []).append(own)
+    least = {g: min((x for x in own if x is not None), default=None) for g, own in groups.items()}
+    return [least[root(i)] for i in range(len(codes))]
+
+
+def signed(code):
+    return code - (1 << 64) if code >> 63 else code
+
+
+def near_texts(n, seed):
+    """Texts and copies in which a few words differ."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(n):
+        words = rng.choices(vocabulary, k=rng.randint(1, 300))
+        texts.append(" ".join(words))
+        for _ in range(rng.randint(0, 4)):
+            words = list(words)
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+            texts.append(" ".join(words).upper() if rng.random() < 0.3 else "  ".join(words))
+    return texts
+
+
+def expected(rows):
+    codes = [code_by_hand(row[1]) for row in rows]
+    return sorted(zip([row[0] for row in rows], map(signed, codes), components_by_hand(codes, [row[0] for row in rows])), key=repr)
+
+
+def test_components(spark, tmp_path):
+    rows = awkward(30) + [(1000 + i, text) for i, text in enumerate(near_texts(120, 1))]
+    docs = documents(spark, rows, tmp_path / "docs")
+    assert plain(simhash.similar_documents(clashing(docs)), "doc_id", "code", "component_id") == expected(rows)
+
+
+def test_many_blocks_and_levels(spark, monkeypatch):
+    """Codes in blocks of a few, so that the frontier goes down several levels."""
+    monkeypatch.setattr(simhash, "FAN", 2)
+    rng = random.Random(5)
+    base = [rng.getrandbits(64) for _ in range(150)]
+    codes = {x ^ sum(1 << rng.randrange(64) for _ in range(rng.randint(0, 5))) for x in base for _ in range(4)}
+    codes = sorted({x & ((1 << 64) - 1) for x in codes})
+    array = np.array(codes, np.uint64)
+    place = (simhash.gray_rank(array) ^ np.uint64(1 << 63)).view(np.int64)
+    order = np.argsort(place)
+    nodes = [(i, [int(x) for x in part.view(np.int64)], int(np.bitwise_and.reduce(part).view(np.int64)), int(np.bitwise_or.reduce(part).view(np.int64)))
+             for i, part in enumerate(np.array_split(array[order], 40))]
+    held = spark.createDataFrame(nodes, "node long, codes array<long>, every long, some long")
+    pairs = simhash.block_pairs(held)
+    assert 40 < pairs.count() < 40 * 41 // 2
+    found = simhash.components(simhash.links(held, pairs))
+    labels = dict(plain(found, "id", "component"))
+    want = components_by_hand(codes, codes)
+    groups = {}
+    for code, least in zip(codes, want):
+        groups.setdefault(least, []).append(signed(code))
+    for members in groups.values():
+        assert {labels.get(x, x) for x in members} == {min(members)}
+
+
+def test_blocks_hold_all_codes_in_gray_order(spark, monkeypatch):
+    codes = spark.range(3000).select(F.xxhash64("id").alias("code"))
+    array = np.array([r[0] for r in codes.collect()]).view(np.uint64)
+    place = (simhash.gray_rank(array) ^ np.uint64(1 << 63)).view(np.int64)
+    frame = spark.createDataFrame([(int(c), int(p)) for c, p in zip(array.view(np.int64), place)], "code long, place long")
+    rows = sorted(simhash.blocks(frame).collect(), key=lambda row: row["node"])
+    assert [row["node"] for row in rows] == list(range(len(rows)))
+    listed = [code for row in rows for code in row["codes"]]
+    assert listed == array[np.argsort(place)].view(np.int64).tolist()
+    steps = array[np.argsort(place)]
+    assert (simhash.gray_rank(steps)[1:] > simhash.gray_rank(steps)[:-1]).all()
+
+
+def test_gray_rank_is_the_inverse_of_the_code():
+    ranks = np.arange(5000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    assert (simhash.gray_rank(ranks ^ (ranks >> np.uint64(1))) == ranks).all()
+
+
+@pytest.mark.parametrize("group", [2, 5, 8])
+def test_index_finds_what_brute_force_finds(monkeypatch, group):
+    monkeypatch.setattr(simhash, "GROUP", group)
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    codes = np.unique(base[rng.integers(0, 60, 900)] ^ (np.uint64(1) << rng.integers(0, 64, 900, dtype=np.uint64))
+                      ^ (np.uint64(1) << rng.integers(0, 64, 900, dtype=np.uint64)))
+    codes = codes[np.argsort(simhash.gray_rank(codes))]
+    queries = codes[::3]
+    one, two = simhash.Index(codes).near(queries)
+    found = set(zip(one.tolist(), two.tolist()))
+    apart = np.bitwise_count(queries[:, None] ^ codes[None, :])
+    assert found == set(zip(*(x.tolist() for x in np.nonzero(apart <= 4))))
+
+
+def test_no_documents(spark):
+    assert simhash.similar_documents(documents(spark, [])).collect() == []
