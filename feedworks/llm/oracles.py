@@ -91,5 +91,46 @@ SELECT doc_id, CAST(slot AS INTEGER) AS slot, CAST(shard AS INTEGER) AS shard,
 FROM keyed JOIN slots USING (slot)
 """
 
+# The checksum's table, from its polynomial 0xEDB88320, and a run's UTF-8 bytes: letters are a to z or U+00C0 to U+00FF.
+_CRC_TABLE = """list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+_BYTES = """flatten(list_transform(string_split(key, ''), lambda c:
+  CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [CAST(195 AS BIGINT), CAST(unicode(c) - 64 AS BIGINT)] END))"""
+
+OP13 = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all({_NORMAL}, '[a-zÀ-ÿ]+')) AS run FROM documents),
+kinds AS (SELECT id || ':' || run AS key, run, count(*) AS times FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+crc AS (SELECT {_CRC_TABLE} AS entry),
+checked AS (
+  SELECT run, times, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {_BYTES}),
+    lambda c, b: xor(c >> 8, entry[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM kinds, crc),
+altered AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+              ELSE run END AS word, times FROM checked),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM altered WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+gaps AS (
+  SELECT word, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near FROM gaps a JOIN gaps b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT gaps.word, words.word FROM gaps JOIN words ON gaps.rest = words.word
+  UNION SELECT words.word, gaps.word FROM gaps JOIN words ON gaps.rest = words.word),
+ranked AS (
+  SELECT pairs.word, near, n, count(*) OVER (PARTITION BY pairs.word) AS n_near,
+         row_number() OVER (PARTITION BY pairs.word ORDER BY n DESC, encode(near)) AS rank
+  FROM pairs JOIN words ON words.word = near),
+known AS (
+  SELECT words.word, CASE WHEN ranked.n >= 2 * words.n THEN near END AS form, words.n,
+         coalesce(n_near, 0) AS n_near, CASE WHEN ranked.n >= 2 * words.n THEN ranked.n END AS form_n
+  FROM words LEFT JOIN ranked ON ranked.word = words.word AND rank = 1),
+led AS (
+  SELECT word, word AS at, form AS next FROM known
+  UNION ALL SELECT led.word, known.word, known.form FROM led JOIN known ON known.word = led.next)
+SELECT known.word, known.form, led.at AS root, n, n_near, form_n
+FROM known JOIN led ON led.word = known.word AND led.next IS NULL
+"""
+
 ORACLE_SQL = {"op1_source_mixing": OP1, "op3_exact_dedup": OP3, "op5_near_duplicates": OP5,
-              "op9_sharding": OP9}
+              "op9_sharding": OP9, "op13_spelling_variants": OP13}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedworks import workspace
-from feedworks.llm import exact, fingerprints, language, mixing, neardup, packing, pii, secrets, sharding, simhash, toxicity
+from feedworks.llm import exact, fingerprints, language, mixing, neardup, packing, pii, secrets, sharding, simhash, spelling, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,7 +87,12 @@ def op12_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("code")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_window_packing, op3_exact_dedup, op4_secret_scan,
     op5_near_duplicates, op6_page_language, op7_toxicity, op8_fingerprints,
-    op9_sharding, op10_personal_data, op12_simhash_near_duplicates)}
+    op9_sharding, op10_personal_data, op12_simhash_near_duplicates,
+    op13_spelling_variants)}
