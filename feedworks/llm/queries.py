@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedworks import workspace
-from feedworks.llm import exact, fingerprints, language, mixing, neardup, packing, pii, secrets, sharding, simhash, spelling, toxicity
+from feedworks.llm import exact, fingerprints, language, mixing, neardup, packing, periods, pii, secrets, sharding, simhash, spelling, toxicity
+from feedworks.llm.rows import text_of
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +83,20 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _span_digest(F.col("spans"), kinds).alias("spans"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    found = periods.periodic_runs(docs, periods.with_repeats(text_of(docs), docs["doc_id"]), "doc_id")
+    # Of equal shares the first in order stays, which begins first.
+    most = F.reduce("runs", F.get("runs", F.lit(0)), lambda best, run: F.when(
+        run["length"] * best["period"] > best["length"] * run["period"], run).otherwise(best))
+    lines = F.array_join(F.transform("runs", lambda run: F.concat(F.concat_ws(
+        ",", *[run[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    return found.withColumn("most", most).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[F.col(f"most.{c}") for c in ("start", "length", "period")],
+        F.floor(1000 * F.col("most.length") / F.col("most.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op12_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.similar_documents(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("code")), 16, "0").alias("fingerprint"), "component_id")
@@ -94,5 +109,5 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_window_packing, op3_exact_dedup, op4_secret_scan,
     op5_near_duplicates, op6_page_language, op7_toxicity, op8_fingerprints,
-    op9_sharding, op10_personal_data, op12_simhash_near_duplicates,
-    op13_spelling_variants)}
+    op9_sharding, op10_personal_data, op11_periodic_runs,
+    op12_simhash_near_duplicates, op13_spelling_variants)}

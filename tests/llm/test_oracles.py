@@ -17,6 +17,7 @@ COLUMNS = {
     "op7_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op8_fingerprints": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op10_personal_data": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
+    "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
     "op12_simhash_near_duplicates": ["doc_id", "fingerprint", "component_id"],
 }
 
