@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,12 @@ def row_json(df: DataFrame) -> Column:
     return F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` refers to it: also
+    within lambdas and generators, where Spark shares no parts between expressions."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def start_tag(fragment: Column, tag: str) -> Column:
     """The start tag ``fragment`` begins with, or an empty string."""
     return F.regexp_extract(fragment, rf"^<{tag}(?:{_ATTRIBUTE})*\s*/?>", 0)
@@ -50,11 +58,12 @@ def tag_pieces(text: Column, *tags: str) -> Column:
         return F.transform(pieces, lambda p, i: F.when(i > 0, F.concat(F.lit(opening), p)).otherwise(p))
     # A cut at the very start gives no empty piece.
     pieces = F.split(text, rf"(?=<(?:{'|'.join(tags)})[\s/>])", -1)
-    at_once = F.get(pieces, F.lit(0)).rlike(rf"^<(?:{'|'.join(tags)})[\s/>]")
-    return F.when(at_once, F.concat(F.array(F.lit("")), pieces)).otherwise(pieces)
+    at_once = rf"^<(?:{'|'.join(tags)})[\s/>]"
+    return bound(pieces, lambda p: F.when(
+        F.get(p, F.lit(0)).rlike(at_once), F.concat(F.array(F.lit("")), p)).otherwise(p))
 
 
-def _cut(piece: Column, tag: str) -> Column:
+def cut_at_end(piece: Column, tag: str) -> Column:
     """``piece`` before and after its first end tag."""
     return F.split(piece, rf"</{tag}\s*>", 2)
 
@@ -62,7 +71,7 @@ def _cut(piece: Column, tag: str) -> Column:
 def stray(text: Column, tag: str) -> Column:
     """``text`` in an array if it holds an end tag, which no start tag claims;
     else an empty array. Text between elements holds none."""
-    return F.when(F.size(_cut(text, tag)) > 1, F.array(text)).otherwise(F.array().cast("array<string>"))
+    return F.when(F.size(cut_at_end(text, tag)) > 1, F.array(text)).otherwise(F.array().cast("array<string>"))
 
 
 def element_text(piece: Column, tag: str) -> Column:
@@ -71,7 +80,7 @@ def element_text(piece: Column, tag: str) -> Column:
     A piece without an end tag was cut off; it is returned whole, so that
     parsing reports it as corrupt.
     """
-    parts = _cut(piece, tag)
+    parts = cut_at_end(piece, tag)
     return F.when(F.size(parts) > 1, F.concat(F.get(parts, F.lit(0)), F.lit(f"</{tag}>"))).otherwise(piece)
 
 
@@ -82,7 +91,7 @@ def fragments_of(piece: Column, tag: str) -> Column:
     """
     opening = start_tag(piece, tag)
     behind = F.substring(piece, F.char_length(opening) + 1, F.char_length(piece))
-    rest = F.coalesce(F.get(_cut(piece, tag), F.lit(1)), F.lit(""))
+    rest = F.coalesce(F.get(cut_at_end(piece, tag), F.lit(1)), F.lit(""))
     return (F.when(opening.endswith("/>"), stray(behind, tag))
             .otherwise(F.concat(F.array(element_text(piece, tag)), stray(rest, tag))))
 

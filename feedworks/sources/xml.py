@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedworks import workspace
-from feedworks.functions import element_text, fragments_of, start_tag, stray, tag_pieces, xml_fragments
+from feedworks.functions import bound, cut_at_end, start_tag, stray, tag_pieces, xml_fragments
 from feedworks.operators.ordered import (
     BLOCK, FILE, POSITION, carry_forward, with_file_position,
 )
@@ -108,17 +108,40 @@ def quarantined(records: DataFrame) -> DataFrame:
     return records.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
-def _event_tokens(piece, place):
-    """Networks, events, and text with the end of an event that never began."""
-    opening = start_tag(piece, "net")
-    behind = F.substring(piece, F.char_length(opening) + 1, F.char_length(piece))
-    net = F.concat(F.array(F.when(opening != "", opening).otherwise(piece)),
-                   F.when(opening != "", stray(behind, "event")).otherwise(F.array().cast("array<string>")))
-    empty = start_tag(piece, "event")
-    event = F.when(empty.endswith("/>"), F.concat(F.array(empty), fragments_of(piece, "event"))).otherwise(
-        fragments_of(piece, "event"))
-    return (F.when(place == 0, stray(piece, "event"))
-            .when(piece.rlike(r"^<net[\s/>]"), net).otherwise(event))
+def _event_tokens(text, event: T.StructType):
+    """The tokens of ``text`` in order, parsed: networks, events, and what is stray, text
+    with the end of an event that never began. Array of structs.
+
+    Everything is worked out once per token here, within the generator that makes rows of
+    the tokens. A projection above the generator would work it out again for every row.
+    """
+    no_net, broken = F.lit(None).cast(NETWORK), with_corrupt(event)
+    # A tag cut off half-way is reported, and its events get no network rather than the
+    # one before.
+    unknown = F.struct(*[F.lit(None).cast("string").alias(n) for n in NETWORK.names])
+
+    def token(net=no_net, stray_text=False, parsed=F.lit(None).cast(broken)):
+        return F.struct(net.alias("_net"), F.lit(stray_text).alias("_stray"), parsed.alias("_event"))
+
+    def strays(rest):
+        return F.transform(stray(rest, "event"), lambda x: token(stray_text=True, parsed=_set_aside(x, broken)))
+
+    def network(piece):
+        # As an empty element the start tag of a network parses on its own.
+        return bound(start_tag(piece, "net"), lambda tag: F.when(tag == "", F.array(token(unknown, parsed=_set_aside(piece, broken)))).otherwise(
+            F.concat(F.array(token(F.coalesce(F.from_xml(F.regexp_replace(tag, r"\s*/?>$", "/>"), NETWORK), unknown))),
+                     strays(F.substring(piece, F.char_length(tag) + 1, F.char_length(piece))))))
+
+    def one_event(piece):
+        parse = lambda x: token(parsed=F.from_xml(x, broken, _PARSE))
+        return bound(start_tag(piece, "event"), lambda tag: F.when(
+            tag.endswith("/>"), F.concat(F.array(parse(tag)), strays(F.substring(piece, F.char_length(tag) + 1, F.char_length(piece)))),
+        ).otherwise(bound(cut_at_end(piece, "event"), lambda parts: F.when(
+            F.size(parts) > 1, F.concat(F.array(parse(F.concat(F.get(parts, F.lit(0)), F.lit(_end_tag("event"))))), strays(F.get(parts, F.lit(1)))),
+        ).otherwise(F.array(parse(piece))))))
+
+    return F.flatten(F.transform(tag_pieces(text, "net", "event"), lambda piece, place: F.when(place == 0, strays(piece))
+                                 .when(piece.rlike(r"^<net[\s/>]"), network(piece)).otherwise(one_event(piece))))
 
 
 def xml_event_rows(spark: SparkSession, path: str | list[str],
@@ -138,34 +161,14 @@ def xml_event_rows(spark: SparkSession, path: str | list[str],
     ending = _end_tag("event")
     lines = with_file_position(spark.read.options(lineSep=ending, **options).text(path),
                                F.col("_metadata.file_size").alias("_size"))
-    pieces = tag_pieces(F.concat("value", F.lit(ending)), "net", "event")
-    found = F.flatten(F.transform(pieces, _event_tokens))
     # The first token of a row is empty and counts the row's bytes.
-    tokens = lines.select(
-        FILE, BLOCK, POSITION, "_size", F.octet_length("value").alias("_bytes"), F.size(found).alias("_tokens"),
-        F.posexplode(F.concat(F.array(F.lit(None).cast("string")), found)).alias("_place", "_token"))
-
-    # As an empty element the start tag of a network parses on its own. A tag cut
-    # off half-way is reported, and its events get no network rather than the
-    # one before.
-    tag = start_tag(F.col("_token"), "net")
-    unknown = F.struct(*[F.lit(None).cast("string").alias(n) for n in NETWORK.names])
-    net = F.coalesce(
-        F.when(tag != "", F.from_xml(F.regexp_replace(tag, r"\s*/?>$", "/>"), NETWORK)), unknown)
-    is_net = F.coalesce(F.col("_token").rlike(r"^<net[\s/>]"), F.lit(False))
-    is_event = F.coalesce(F.col("_token").rlike(r"^<event[\s/>]"), F.lit(False))
-    empty = start_tag(F.col("_token"), "event")
-    event_xml = F.when(empty.endswith("/>"), empty).otherwise(element_text(F.col("_token"), "event"))
-    first = F.col("_place") == 0
-    parsed = tokens.select(
-        FILE, BLOCK, POSITION, "_place",
-        F.when(first, F.col("_bytes") + len(ending)).alias("_bytes"), F.when(first, F.col("_size")).alias("_size"),
-        (~is_net & ~first & (F.col("_place") == F.col("_tokens"))).alias("_closing"),
-        (~is_net & ~is_event & ~first).alias("_stray"),
-        F.when(is_net, net).alias("_net"),
-        (first | (is_net & (tag != ""))).alias("_header"),
-        F.when(is_event, F.from_xml(event_xml, with_corrupt(event), _PARSE))
-        .when(~is_net | (tag == ""), _set_aside(F.col("_token"), with_corrupt(event))).alias("_event"))
+    head = F.struct((F.octet_length("value") + len(ending)).alias("_bytes"), "_size", F.lit(False).alias("_closing"),
+                    F.lit(None).cast(_token_type(event)).alias("_token"))
+    tokens = bound(_event_tokens(F.concat("value", F.lit(ending)), event), lambda every: F.transform(every, lambda token, at: F.struct(
+        F.lit(None).cast("int").alias("_bytes"), F.lit(None).cast("long").alias("_size"),
+        ((at == F.size(every) - 1) & token["_net"].isNull()).alias("_closing"), token.alias("_token"))))
+    parsed = lines.select(FILE, BLOCK, POSITION, F.posexplode(F.concat(F.array(head), tokens)).alias("_place", "_row")).select(
+        FILE, BLOCK, POSITION, "_place", "_row._bytes", "_row._size", "_row._closing", "_row._token.*")
     table = workspace.materialise(parsed, "event-rows")
 
     # The bytes of a file's rows and their ends exceed the file by one end where the last
@@ -173,13 +176,13 @@ def xml_event_rows(spark: SparkSession, path: str | list[str],
     over = F.sum("_bytes") - F.max("_size")
     cut_off = (table.where("_bytes IS NOT NULL").groupBy(FILE)
                .agg(over.alias("_over"), F.max(F.struct(BLOCK, POSITION)).alias("_last")).where("_over > 0")
-               .select(FILE, F.col(f"_last.{BLOCK}").alias(BLOCK), F.col(f"_last.{POSITION}").alias(POSITION),
-                       F.lit(True).alias("_cut_off")))
+               .select(FILE, F.col(f"_last.{BLOCK}").alias(BLOCK), F.col(f"_last.{POSITION}").alias("_cut_position")))
 
     partition_by, block = ([], [FILE, BLOCK]) if across_files else ([FILE], [BLOCK])
     filled = carry_forward(table, "_net", [POSITION, "_place"], block, partition_by)
-    events = filled.where(~F.col("_header")).join(cut_off, [FILE, BLOCK, POSITION], "left")
-    at_end = F.coalesce(F.col("_cut_off") & F.col("_closing"), F.lit(False))
+    # Rows are dealt by block already, so this join moves none of them.
+    events = filled.where(F.col("_event").isNotNull()).join(cut_off, [FILE, BLOCK], "left")
+    at_end = F.coalesce((F.col("_cut_position") == F.col(POSITION)) & F.col("_closing"), F.lit(False))
     # What follows the last end tag of a file is no event; only its end was put there.
     events = events.where(~(at_end & F.col("_stray")))
     cut = at_end & F.col(f"_event.{CORRUPT}").isNull()
@@ -191,3 +194,8 @@ def xml_event_rows(spark: SparkSession, path: str | list[str],
         F.struct(*[F.when(~cut, F.col(f"_event.{name}")).alias(name) for name in event.names]).alias("col"),
         F.when(cut, as_read).otherwise(F.col(f"_event.{CORRUPT}")).alias(CORRUPT),
     )
+
+
+def _token_type(event: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField("_net", NETWORK), T.StructField("_stray", T.BooleanType()),
+                         T.StructField("_event", with_corrupt(event))])
