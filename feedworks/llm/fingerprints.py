@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedworks import workspace
-from feedworks.llm.rows import in_small_batches, text_of
+from feedworks.llm.rows import hash_bound, in_small_batches, sampled, text_of
 from feedworks.llm.wordhash import mix
 
 K, S = 16, 6
@@ -159,8 +159,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     blocks = min(_MOST_BLOCKS, -(-count // _BLOCK_ROWS))
     if not blocks:
         return rows.withColumns({"block": F.lit(0), "ghost": F.lit(False)})
-    share = int(1_000_000 * min(1.0, _SAMPLED * blocks / count))
-    sample = ids.filter(F.pmod(F.xxhash64("place", "tie", F.lit(11)), F.lit(1_000_000)) < share).toArrow()
+    sample = ids.filter(sampled(F.xxhash64("place", "tie", F.lit(11)), hash_bound(_SAMPLED * blocks, count))).toArrow()
     ordered = np.sort(_order_keys(sample["place"].to_numpy(), sample["tie"].to_numpy()))
     borders = ordered[(np.arange(1, blocks) * len(ordered)) // blocks] if len(ordered) else ordered
 

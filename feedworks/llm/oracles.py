@@ -25,24 +25,12 @@ levels AS (
                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_over FROM weighed),
 targets AS (SELECT *, least(CAST(cap AS DOUBLE), max(left_over) OVER () * weight) AS target FROM levels),
 quotas AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS quota FROM targets),
-sums AS (
-  SELECT *, sum(quota) OVER () AS quotas,
-         sum(quota) OVER (ORDER BY number ROWS UNBOUNDED PRECEDING) AS through FROM quotas),
-slots AS (
-  SELECT *, CAST(pow(2, CASE WHEN quotas > 0 THEN greatest(0, ceil(log2(quotas / 128))) ELSE 0 END) AS BIGINT) AS slots
-  FROM sums),
-shares AS (
-  SELECT source, source_size, target,
-         least(quota, (CAST(ceil(CAST(quotas AS DOUBLE) / slots) AS BIGINT) + 1)
-                      * CAST(floor(CAST(through AS DOUBLE) / quotas * slots)
-                           - floor(CAST(through - quota AS DOUBLE) / quotas * slots) AS BIGINT)) AS given
-  FROM slots),
 placed AS (
-  SELECT doc_id, size, source_size, target, given,
+  SELECT doc_id, size, source_size, target, quota,
          sum(size) OVER (PARTITION BY docs.source ORDER BY key, size ROWS UNBOUNDED PRECEDING) - size AS start
-  FROM docs JOIN shares ON docs.source IS NOT DISTINCT FROM shares.source)
+  FROM docs JOIN quotas ON docs.source IS NOT DISTINCT FROM quotas.source)
 SELECT doc_id, size, source_size, target,
-       CAST(coalesce((SELECT sum(greatest(0, least(start + size, given - k * source_size) - start))
+       CAST(coalesce((SELECT sum(greatest(0, least(start + size, quota - k * source_size) - start))
                       FROM range(3) AS rounds(k)), 0) AS BIGINT) AS taken
 FROM placed
 """
