@@ -36,7 +36,7 @@ def _add_sinks(command) -> None:
     target = command.add_mutually_exclusive_group(required=True)
     target.add_argument("--json", metavar="FOLDER")
     target.add_argument("--table")
-    target.add_argument("--upsert", metavar="FOLDER")
+    target.add_argument("--upsert", metavar="TABLE")
     target.add_argument("--index", metavar="RESOURCE")
     command.add_argument("--index-nodes", default="localhost:9200")
     command.add_argument("--key", default="event_id")
@@ -66,10 +66,10 @@ def parser() -> argparse.ArgumentParser:
     for command in (archive, csv, table):
         command.add_argument("--large-documents", action="store_true",
                              help="documents that are too large to be one record")
-    csv = job("csv-to-upsert", "source", "target")
+    csv = job("csv-to-upsert", "source", "table")
     csv.add_argument("--key", default="event_id")
     csv.add_argument("--order-by", nargs="*", default=[])
-    csv.add_argument("--quarantine", help="rows without a key; beside the target by default")
+    csv.add_argument("--quarantine", metavar="TABLE", help="rows without a key; named after the table by default")
     index = job("csv-to-index", "source", "resource")
     index.add_argument("--index-nodes", default="localhost:9200")
     index.add_argument("--key")
@@ -109,7 +109,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "xml-to-table":
         jobs.xml_to_table(spark, args.source, args.table, not args.flat, args.large_documents, args.quarantine)
     elif args.job == "csv-to-upsert":
-        jobs.csv_to_upsert(spark, args.source, args.target, args.key, args.order_by, args.quarantine)
+        jobs.csv_to_upsert(spark, args.source, args.table, args.key, args.order_by, args.quarantine)
     elif args.job == "csv-to-index":
         options = index_options(args.resource, args.index_nodes, args.key, upsert=args.key is not None)
         jobs.csv_to_index(spark, args.source, options)

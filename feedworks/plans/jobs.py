@@ -84,13 +84,13 @@ def _part(spark: SparkSession, parse, source: str, large_documents: bool, folder
             parsed.unpersist()
 
 
-def csv_to_upsert(spark: SparkSession, source: str, target: str, key: str = "event_id",
+def csv_to_upsert(spark: SparkSession, source: str, table: str, key: str = "event_id",
                   order_by: list[str] = (), quarantine: str | None = None) -> int:
     """Insert or update the rows of CSV files with a header. Rows without a key go to
-    JSON files in ``quarantine``, by default beside the table."""
+    the table ``quarantine``, by default one named after the table."""
     rows, keyless = with_key(delimited(spark, source), key)
-    write_files(keyless, quarantine or f"{target.rstrip('/')}{_QUARANTINE}", "json")
-    return keyed_upsert(rows, target, key, order_by)
+    create_or_append(keyless, quarantine or f"{table}{_QUARANTINE}", grow=True)
+    return keyed_upsert(rows, table, key, order_by)
 
 
 def csv_to_index(spark: SparkSession, source: str, options: dict[str, str], fmt: str = "es") -> None:

@@ -191,70 +191,83 @@ def files_by_number(spark, sf_dir):
 _ARRIVALS = ["view", "error", "signup", "click", "purchase"]
 
 
-def _arrivals(spark, sf_dir) -> str:
+def _upsert_table(spark) -> dict:
+    """Name and place of a new table."""
+    return {"table": f"feedworks_upsert_{uuid.uuid4().hex[:12]}", "path": workspace.new_path(spark, "upsert")}
+
+
+def _state_of(spark, place, key=None, mode=None) -> DataFrame:
+    """The state of a table, which is dropped."""
+    state = workspace.materialise(current_state(spark, place["table"], key, mode), "state")
+    for name in (place["table"], f"{place['table']}_log"):
+        spark.sql(f"DROP TABLE {name}")
+    return state
+
+
+def _arrivals(spark, sf_dir) -> dict:
     """An upsert table by user; errors come without a value."""
-    path = workspace.new_path(spark, "upsert")
+    place = _upsert_table(spark)
     events = table(spark, sf_dir, "events").withColumn(
         "value", F.when(F.col("event_type") != "error", F.col("value")))
     for number, kind in enumerate(_ARRIVALS):
-        keyed_upsert(events.where(F.col("event_type") == kind), path, "user_id",
-                     order_by=["ts", "event_id"], batch_id=number)
-    return path
+        keyed_upsert(events.where(F.col("event_type") == kind), key="user_id",
+                     order_by=["ts", "event_id"], batch_id=number, **place)
+    return place
 
 
 def upsert_replace(spark, sf_dir):
-    return current_state(spark, _arrivals(spark, sf_dir), "user_id", mode="replace")
+    return _state_of(spark, _arrivals(spark, sf_dir), "user_id", mode="replace")
 
 
-def upsert_merge(spark, sf_dir):
-    # Errors last, so that their missing values meet older ones.
-    path = _arrivals(spark, sf_dir)
+def _late_errors(spark, sf_dir) -> DataFrame:
+    """Errors last, so that their missing values meet older ones."""
     events = table(spark, sf_dir, "events")
-    late = events.where(F.col("event_type") == "error").withColumn("value", F.lit(None).cast("double"))
-    keyed_upsert(late, path, "user_id", order_by=["ts", "event_id"])
-    return current_state(spark, path, "user_id")
+    return events.where(F.col("event_type") == "error").withColumn("value", F.lit(None).cast("double"))
+
+
+def upsert_merge(spark, sf_dir):
+    place = _arrivals(spark, sf_dir)
+    keyed_upsert(_late_errors(spark, sf_dir), key="user_id", order_by=["ts", "event_id"], **place)
+    return _state_of(spark, place, "user_id")
 
 
 def upsert_compacted(spark, sf_dir):
-    path = _arrivals(spark, sf_dir)
-    compact(spark, path, "user_id")
-    events = table(spark, sf_dir, "events")
-    late = events.where(F.col("event_type") == "error").withColumn("value", F.lit(None).cast("double"))
-    keyed_upsert(late, path, "user_id", order_by=["ts", "event_id"])
-    return current_state(spark, path, "user_id")
+    place = _arrivals(spark, sf_dir)
+    compact(spark, place["table"], "user_id")
+    keyed_upsert(_late_errors(spark, sf_dir), key="user_id", order_by=["ts", "event_id"], **place)
+    return _state_of(spark, place, "user_id")
 
 
 def upsert_replace_compacted(spark, sf_dir):
     """Errors, whose values are missing, come last; a compaction before and after them
     changes nothing."""
-    path = workspace.new_path(spark, "upsert")
+    place = _upsert_table(spark)
     events = table(spark, sf_dir, "events")
-    keyed_upsert(events.where("event_type != 'error'"), path, "user_id", order_by=["ts", "event_id"], mode="replace")
-    compact(spark, path)
-    late = events.where("event_type = 'error'").withColumn("value", F.lit(None).cast("double"))
-    keyed_upsert(late, path, "user_id", order_by=["ts", "event_id"])
-    compact(spark, path)
-    return current_state(spark, path)
+    keyed_upsert(events.where("event_type != 'error'"), key="user_id", order_by=["ts", "event_id"], mode="replace", **place)
+    compact(spark, place["table"])
+    keyed_upsert(_late_errors(spark, sf_dir), key="user_id", order_by=["ts", "event_id"], **place)
+    compact(spark, place["table"])
+    return _state_of(spark, place)
 
 
 def upsert_new_column(spark, sf_dir):
     """The second batch brings a column that the first one lacks."""
-    path = workspace.new_path(spark, "upsert")
+    place = _upsert_table(spark)
     events = table(spark, sf_dir, "events")
-    keyed_upsert(events.select("event_id", "event_type"), path, "event_id")
-    keyed_upsert(events.where("event_type = 'click'").select("event_id", "value"), path, "event_id")
-    return current_state(spark, path, "event_id")
+    keyed_upsert(events.select("event_id", "event_type"), key="event_id", **place)
+    keyed_upsert(events.where("event_type = 'click'").select("event_id", "value"), key="event_id", **place)
+    return _state_of(spark, place, "event_id")
 
 
 def upsert_from_csv(spark, sf_dir):
     """A CSV file with header into a table keyed by a text column."""
-    path, target = workspace.new_path(spark, "parts-csv"), workspace.new_path(spark, "parts")
+    path, place = workspace.new_path(spark, "parts-csv"), _upsert_table(spark)
     parts = table(spark, sf_dir, "part")
     write_files(parts.select(F.col("p_name").alias("event_id"), "p_partkey", "p_brand", "p_type"),
                 path, "csv", header=True)
     rows = delimited(spark, path).withColumn("p_partkey", F.col("p_partkey").cast("long"))
-    keyed_upsert(rows, target, "event_id", order_by=["p_partkey"])
-    return current_state(spark, target, "event_id")
+    keyed_upsert(rows, key="event_id", order_by=["p_partkey"], **place)
+    return _state_of(spark, place, "event_id")
 
 
 def _work_off(spark, stream, sink, transform) -> None:
@@ -339,18 +352,18 @@ def stream_xml_table(spark, sf_dir):
 
 
 def stream_xml_upsert(spark, sf_dir):
-    path = workspace.new_path(spark, "stream-upsert")
-    sink = upsert_sink(path, "event_id", order_by=["update_timestamp"])
+    place = _upsert_table(spark)
+    sink = upsert_sink(key="event_id", order_by=["update_timestamp"], **place)
     _work_off(spark, _feed_stream(spark, sf_dir), sink, lambda df: event_records(df, doc_id=False))
-    return current_state(spark, path, "event_id")
+    return _state_of(spark, place, "event_id")
 
 
 def stream_messages_ids(spark, sf_dir):
-    path = workspace.new_path(spark, "stream-messages")
+    place = _upsert_table(spark)
     log = staging.message_log(spark, sf_dir)
     stream = spark.readStream.schema(spark.read.parquet(log).schema).parquet(log)
-    _work_off(spark, as_messages(stream), upsert_sink(path, "event_id"), message_ids)
-    return current_state(spark, path, "event_id")
+    _work_off(spark, as_messages(stream), upsert_sink(key="event_id", **place), message_ids)
+    return _state_of(spark, place, "event_id")
 
 
 def messages_decode_26(spark, sf_dir):

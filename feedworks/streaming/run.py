@@ -112,32 +112,32 @@ def files_sink(path: str, fmt: str = "json", **options) -> Sink:
     return lambda batch, batch_id: write_batch(batch, path, batch_id, fmt, **options)
 
 
-def table_sink(table: str, path: str | None = None, per_batch: bool = True) -> Sink:
-    """Catalogue table, created by the first batch.
+def table_sink(table: str, path: str | None = None, per_batch: bool = True, grow: bool = False) -> Sink:
+    """Catalogue table, created by the first batch; ``grow`` lets it take on columns.
 
     With a partition per batch a repeated batch replaces itself. ``per_batch=False``
     appends without such a column; a batch repeated after a failure is then there
     twice.
     """
     if per_batch:
-        return lambda batch, batch_id: replace_batch(batch, table, batch_id, path)
+        return lambda batch, batch_id: replace_batch(batch, table, batch_id, path, grow)
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        create_or_append(batch, table, path=path)
+        create_or_append(batch, table, path=path, grow=grow)
     return append
 
 
-def upsert_sink(path: str, key: str | list[str], order_by: list[str] = (), mode: str | None = None,
-                keyless: Sink | None = None, compact_every: int | None = 100) -> Sink:
-    """Keyed upsert table. Rows without a key go to ``keyless``; without such a sink they
+def upsert_sink(table: str, key: str | list[str], order_by: list[str] = (), mode: str | None = None,
+                keyless: Sink | None = None, compact_every: int | None = 100, path: str | None = None) -> Sink:
+    """Keyed upsert table of the catalogue. Rows without a key go to ``keyless``; without such a sink they
     fail the batch. Every so many batches the table is compacted."""
     def write(batch: DataFrame, batch_id: int) -> None:
         if keyless:
             batch, others = with_key(batch, key)
             keyless(others, batch_id)
-        keyed_upsert(batch, path, key, order_by, batch_id, mode)
+        keyed_upsert(batch, table, key, order_by, batch_id, mode, path)
         if compact_every and batch_id and batch_id % compact_every == 0:
-            compact(batch.sparkSession, path)
+            compact(batch.sparkSession, table)
     return write
 
 

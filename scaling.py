@@ -8,6 +8,7 @@ import json
 import os
 import tempfile
 import time
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,12 +60,13 @@ def main() -> None:
         flat = event_records(records)
         timed(flat)
         catalogue = delimited(spark, staging.catalogue_tsv(spark, sf_dir), sep="\t")
-        target = workspace.new_path(spark, "upsert")
-        keyed_upsert(staging.table(spark, sf_dir, "lineitem"), target, "l_orderkey", ["l_linenumber"])
+        target = f"lineitems_{uuid.uuid4().hex[:12]}"
+        keyed_upsert(staging.table(spark, sf_dir, "lineitem"), target, "l_orderkey", ["l_linenumber"],
+                     path=workspace.new_path(spark, "upsert"))
         state = current_state(spark, target, "l_orderkey")
         print(json.dumps({
             "sf": sf, "events": flat.count(), "xml_tasks": splits(records), "xml_sec": timed(flat),
-            "fold_tasks": splits(catalogue), "upsert_log_tasks": splits(spark.read.parquet(f"{target}/log")),
+            "fold_tasks": splits(catalogue), "upsert_log_tasks": splits(spark.table(f"{target}_log")),
             "upsert_state_sec": timed(state),
         }), flush=True)
     workspace.release(spark)

@@ -48,8 +48,8 @@ def test_csv_to_upsert(spark, tmp_path):
     (tmp_path / "a.csv").write_text("event_id,x\n1,a\n2,b\n")
     (tmp_path / "b.csv").write_text("event_id,x\n2,c\n")
     for name in "ab":
-        main(["csv-to-upsert", str(tmp_path / f"{name}.csv"), str(tmp_path / "out")])
-    state = current_state(spark, str(tmp_path / "out"), "event_id")
+        main(["csv-to-upsert", str(tmp_path / f"{name}.csv"), "from_csv"])
+    state = current_state(spark, "from_csv", "event_id")
     assert sorted(tuple(r) for r in state.collect()) == [("1", "a"), ("2", "c")]
 
 
@@ -63,10 +63,10 @@ def test_xml_stream(spark, tmp_path, feed):
     common = ["xml-stream", feed, "--once", "--checkpoint"]
     main([*common, str(tmp_path / "c1"), "--json", str(tmp_path / "json"), "--doc-id"])
     main([*common, str(tmp_path / "c2"), "--table", "streamed"])
-    main([*common, str(tmp_path / "c3"), "--upsert", str(tmp_path / "u"), "--order-by", "update_timestamp"])
+    main([*common, str(tmp_path / "c3"), "--upsert", "stream_upsert", "--order-by", "update_timestamp"])
     assert spark.read.json(str(tmp_path / "json")).where("doc_id is not null").count() == 2
     assert spark.table("streamed").count() == 2
-    assert current_state(spark, str(tmp_path / "u"), "event_id").count() == 2
+    assert current_state(spark, "stream_upsert", "event_id").count() == 2
 
 
 def test_arguments():
@@ -105,6 +105,6 @@ def test_stream_bounds_and_ids(spark, tmp_path, feed):
 
 def test_rows_without_a_key_are_set_aside(spark, tmp_path):
     (tmp_path / "a.csv").write_text("event_id,x\n1,a\n,b\n")
-    main(["csv-to-upsert", str(tmp_path / "a.csv"), str(tmp_path / "u")])
-    assert current_state(spark, str(tmp_path / "u")).count() == 1
-    assert [r.x for r in spark.read.json(str(tmp_path / "u_quarantine")).collect()] == ["b"]
+    main(["csv-to-upsert", str(tmp_path / "a.csv"), "some_keyless"])
+    assert current_state(spark, "some_keyless").count() == 1
+    assert [r.x for r in spark.table("some_keyless_quarantine").collect()] == ["b"]

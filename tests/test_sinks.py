@@ -1,12 +1,12 @@
 import json
 import random
+import uuid
 from datetime import datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from feedworks import workspace
 from feedworks.operators import nested
 from feedworks.sinks import (
     compact, create_or_append, current_state, expire, keyed_upsert, to_json_lines, write_batch,
@@ -18,6 +18,15 @@ from feedworks.sources import delimited
 NESTED = "id string, at timestamp_ntz, loc struct<lat: double, p: struct<q: string>>, tags array<string>"
 
 
+@pytest.fixture
+def name(spark):
+    """A new table's."""
+    table = f"t_{uuid.uuid4().hex[:12]}"
+    yield table
+    for each in (table, f"{table}_log"):
+        spark.sql(f"DROP TABLE IF EXISTS {each}")
+
+
 @pytest.fixture
 def nested_df(spark):
     at = datetime(2024, 1, 2, 3, 4, 5, 123456)
@@ -111,36 +120,35 @@ def merged(batches, mode):
 
 
 @pytest.mark.parametrize("mode", ["merge", "replace"])
-def test_upsert_against_a_dict(spark, tmp_path, mode):
+def test_upsert_against_a_dict(spark, name, mode):
     rng = random.Random(mode)
     times = iter(rng.sample(range(10_000), 400))
     batches = [[(rng.choice("abc" + "a" * 5), next(times), rng.choice([None, i]), rng.choice([None, "x", "y"]))
                 for i in range(40)] for _ in range(6)]
-    path = str(tmp_path / "u")
 
     def put(batch, **kw):
         df = spark.createDataFrame(batch, "k string, t long, a long, b string").repartition(3)
-        return keyed_upsert(df, path, "k", order_by=["t"], **kw)
+        return keyed_upsert(df, name, "k", order_by=["t"], **kw)
 
     def state():
-        return sorted(tuple(r) for r in current_state(spark, path, "k", mode).select("k", "t", "a", "b").collect())
+        return sorted(tuple(r) for r in current_state(spark, name, "k", mode).select("k", "t", "a", "b").collect())
 
     for n, batch in enumerate(batches[:3]):
         assert put(batch) == n
     assert state() == merged(batches[:3], mode)
     put(batches[2], batch_id=2)
     assert state() == merged(batches[:3], mode)
-    assert compact(spark, path, "k", mode) == 2
+    assert compact(spark, name, "k", mode) == 2
     assert state() == merged(batches[:3], mode)
     put(batches[2], batch_id=2)
     assert state() == merged(batches[:3], mode)
     for batch in batches[3:5]:
         put(batch)
     assert state() == merged(batches[:5], mode)
-    assert compact(spark, path, "k", mode) == compact(spark, path, "k", mode) == 4
-    expire(spark, path)
-    assert workspace.partition_values(spark, f"{path}/snapshot", "upto") == [4]
-    assert workspace.partition_values(spark, f"{path}/log", "batch_id") == []
+    assert compact(spark, name, "k", mode) == compact(spark, name, "k", mode) == 4
+    expire(spark, name)
+    assert spark.table(f"{name}_log").count() == 0 and spark.sql(f"SHOW PARTITIONS {name}_log").count() == 0
+    assert spark.table(name).count() == len(state())
     assert state() == merged(batches[:5], mode)
     assert put(batches[5]) == 5
     assert state() == merged(batches, mode)
@@ -148,33 +156,30 @@ def test_upsert_against_a_dict(spark, tmp_path, mode):
         put(batches[0], batch_id=3)
 
 
-def test_upsert_merges_nested_fields(spark, tmp_path):
-    path = str(tmp_path / "u")
+def test_upsert_merges_nested_fields(spark, name):
     schema = "event_id string, location struct<lat: double, long: double>"
-    keyed_upsert(spark.createDataFrame([("1", (1.0, 2.0))], schema), path, "event_id")
-    keyed_upsert(spark.createDataFrame([("1", (None, 3.0)), ("2", None)], schema), path, "event_id")
-    assert sorted(tuple(r) for r in current_state(spark, path, "event_id").collect()) == [
+    keyed_upsert(spark.createDataFrame([("1", (1.0, 2.0))], schema), name, "event_id")
+    keyed_upsert(spark.createDataFrame([("1", (None, 3.0)), ("2", None)], schema), name, "event_id")
+    assert sorted(tuple(r) for r in current_state(spark, name, "event_id").collect()) == [
         ("1", 1.0, 3.0), ("2", None, None)]
 
 
-def test_upsert_of_feeds_with_other_columns(spark, tmp_path):
-    path = str(tmp_path / "u")
-    keyed_upsert(spark.createDataFrame([("1", "a")], "event_id string, status string"), path, "event_id")
-    keyed_upsert(spark.createDataFrame([("1", "n")], "event_id string, network_id string"), path, "event_id")
-    state = current_state(spark, path, "event_id", merge_schema=True)
+def test_upsert_of_feeds_with_other_columns(spark, name):
+    keyed_upsert(spark.createDataFrame([("1", "a")], "event_id string, status string"), name, "event_id")
+    keyed_upsert(spark.createDataFrame([("1", "n")], "event_id string, network_id string"), name, "event_id")
+    state = current_state(spark, name, "event_id", merge_schema=True)
     assert state.select("event_id", "status", "network_id").first() == ("1", "a", "n")
 
 
-def test_upsert_needs_a_key(spark, tmp_path):
+def test_upsert_needs_a_key(spark, name):
     df = spark.createDataFrame([(None, 1)], "k string, a int")
     with pytest.raises(Exception, match="without k"):
-        keyed_upsert(df, str(tmp_path / "u"), "k")
+        keyed_upsert(df, name, "k")
 
 
-def test_hot_key_is_combined_before_the_shuffle(spark, tmp_path):
-    path = str(tmp_path / "u")
-    keyed_upsert(spark.range(1000).select(F.lit(1).alias("k"), "id"), path, "k", order_by=["id"])
-    plan = current_state(spark, path, "k")._jdf.queryExecution().executedPlan().toString()
+def test_hot_key_is_combined_before_the_shuffle(spark, name):
+    keyed_upsert(spark.range(1000).select(F.lit(1).alias("k"), "id"), name, "k", order_by=["id"])
+    plan = current_state(spark, name, "k")._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan.split("Exchange")[1]
 
 
@@ -202,50 +207,131 @@ def test_a_batch_lists_no_earlier_ones(spark, tmp_path, monkeypatch):
 KV = "k string, t long, v string"
 
 
-def test_compaction_changes_no_answer(spark, tmp_path):
-    path = str(tmp_path / "u")
+def test_compaction_changes_no_answer(spark, name):
     for row in [("k", 1, "x"), ("k", 2, None)]:
-        keyed_upsert(spark.createDataFrame([row], KV), path, "k", ["t"], mode="replace")
-    before = [tuple(r) for r in current_state(spark, path).select("k", "t", "v").collect()]
-    compact(spark, path)
-    assert [tuple(r) for r in current_state(spark, path).select("k", "t", "v").collect()] == before == [("k", 2, None)]
-    for call in (lambda: current_state(spark, path, "k", "merge"), lambda: compact(spark, path, "k", "merge"),
-                 lambda: current_state(spark, path, "t"), lambda: keyed_upsert(spark.createDataFrame([("k", 3, "y")], KV), path, "t"),
-                 lambda: keyed_upsert(spark.createDataFrame([("k", 3, "y")], KV), path, "k", ["t"], mode="merge"),
-                 lambda: keyed_upsert(spark.createDataFrame([("k", 3, 1)], "k string, t long, v long"), path, "k", ["t"])):
+        keyed_upsert(spark.createDataFrame([row], KV), name, "k", ["t"], mode="replace")
+    before = [tuple(r) for r in current_state(spark, name).select("k", "t", "v").collect()]
+    compact(spark, name)
+    assert [tuple(r) for r in current_state(spark, name).select("k", "t", "v").collect()] == before == [("k", 2, None)]
+    for call in (lambda: current_state(spark, name, "k", "merge"), lambda: compact(spark, name, "k", "merge"),
+                 lambda: current_state(spark, name, "t"), lambda: keyed_upsert(spark.createDataFrame([("k", 3, "y")], KV), name, "t"),
+                 lambda: keyed_upsert(spark.createDataFrame([("k", 3, "y")], KV), name, "k", ["t"], mode="merge"),
+                 lambda: keyed_upsert(spark.createDataFrame([("k", 3, 1)], "k string, t long, v long"), name, "k", ["t"])):
         with pytest.raises(ValueError):
             call()
 
 
-def test_new_columns_reach_the_state(spark, tmp_path):
-    path = str(tmp_path / "u")
-    keyed_upsert(spark.createDataFrame([("a", 1)], "k string, v long"), path, "k")
-    compact(spark, path)
-    keyed_upsert(spark.createDataFrame([("a", "z"), ("b", "y")], "k string, z string"), path, "k")
+def test_new_columns_reach_the_state(spark, name):
+    keyed_upsert(spark.createDataFrame([("a", 1)], "k string, v long"), name, "k")
+    compact(spark, name)
+    keyed_upsert(spark.createDataFrame([("a", "z"), ("b", "y")], "k string, z string"), name, "k")
     expected = [("a", 1, "z"), ("b", None, "y")]
-    assert sorted(tuple(r) for r in current_state(spark, path).select("k", "v", "z").collect()) == expected
-    compact(spark, path)
-    assert sorted(tuple(r) for r in current_state(spark, path).select("k", "v", "z").collect()) == expected
+    assert sorted(tuple(r) for r in current_state(spark, name).select("k", "v", "z").collect()) == expected
+    compact(spark, name)
+    assert sorted(tuple(r) for r in current_state(spark, name).select("k", "v", "z").collect()) == expected
 
 
-def test_upsert_table_of_empty_batches(spark, tmp_path):
-    path = str(tmp_path / "u")
+def test_upsert_table_of_empty_batches(spark, name):
     empty = spark.createDataFrame([], KV)
-    assert [keyed_upsert(empty, path, "k", ["t"]) for _ in range(2)] == [0, 1]
-    assert current_state(spark, path).collect() == []
-    compact(spark, path)
-    assert current_state(spark, path).columns == ["k", "t", "v"] and current_state(spark, path).count() == 0
-
-
-def test_compaction_writes_touched_buckets_only(spark, tmp_path):
-    path = str(tmp_path / "u")
-    keyed_upsert(spark.range(500).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")), path, "k", ["v"])
-    compact(spark, path)
-    keyed_upsert(spark.createDataFrame([("7", 1000)], "k string, v long"), path, "k", ["v"])
-    assert compact(spark, path) == 1
-    assert len(workspace.partition_values(spark, f"{path}/snapshot/upto=0", "bucket")) == 64
-    assert len(workspace.partition_values(spark, f"{path}/snapshot/upto=1", "bucket")) == 1
-    expire(spark, path)
-    assert len(workspace.partition_values(spark, f"{path}/snapshot/upto=0", "bucket")) == 63
-    state = {r.k: r.v for r in current_state(spark, path).collect()}
+    assert [keyed_upsert(empty, name, "k", ["t"]) for _ in range(2)] == [0, 1]
+    assert current_state(spark, name).collect() == []
+    compact(spark, name)
+    assert current_state(spark, name).columns == ["k", "t", "v"] and current_state(spark, name).count() == 0
+
+
+def partition_files(spark, name):
+    rows = spark.table(name).select("_bucket", F.col("_metadata.file_path").alias("file")).distinct().collect()
+    files = {}
+    for row in rows:
+        files.setdefault(row["_bucket"], set()).add(row["file"])
+    return files
+
+
+def test_compaction_writes_touched_buckets_only(spark, name):
+    keyed_upsert(spark.range(500).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")), name, "k", ["v"])
+    compact(spark, name)
+    before = partition_files(spark, name)
+    assert len(before) == 64
+    keyed_upsert(spark.createDataFrame([("7", 1000)], "k string, v long"), name, "k", ["v"])
+    assert compact(spark, name) == 1
+    after = partition_files(spark, name)
+    assert sum(after[b] != before[b] for b in before) == 1 and len(after) == 64
+    state = {r.k: r.v for r in current_state(spark, name).collect()}
     assert len(state) == 500 and state["7"] == 1000 and state["8"] == 8
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, name, settings):
+    settings(sql_adaptive_advisoryPartitionSizeInBytes="32k", sql_shuffle_partitions=16,
+             sql_files_maxPartitionBytes=200_000, sql_files_openCostInBytes=1)
+    rows = spark.range(40_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    keyed_upsert(rows, name, "id", buckets=2)
+    compact(spark, name)
+    files = partition_files(spark, name)
+    assert len(files) == 2 and all(len(f) > 1 for f in files.values())
+    assert current_state(spark, name).count() == 40_000
+
+
+def test_a_compaction_that_dies_is_finished(spark, name, monkeypatch):
+    """Between the copy and its move into the table, and half-way through that move."""
+    from feedworks.sinks import upsert
+
+    for i in range(3):
+        keyed_upsert(spark.createDataFrame([(str(k), i, f"{k}{i}") for k in range(i, 40)], KV), name, "k", ["t"])
+    expected = sorted(tuple(r) for r in current_state(spark, name).select("k", "t", "v").collect())
+
+    def state():
+        return sorted(tuple(r) for r in current_state(spark, name).select("k", "t", "v").collect())
+
+    def dies(df, table):
+        raise RuntimeError("lost")
+
+    def dies_half_way(df, table):
+        overwrite(df.where("_bucket < 20"), table)
+        raise RuntimeError("lost")
+
+    overwrite = upsert.overwrite_partitions
+    for death in (dies, dies_half_way):
+        monkeypatch.setattr(upsert, "overwrite_partitions", death)
+        with pytest.raises(RuntimeError):
+            compact(spark, name)
+        assert state() == expected
+    monkeypatch.setattr(upsert, "overwrite_partitions", overwrite)
+    keyed_upsert(spark.createDataFrame([("0", 9, "new")], KV), name, "k", ["t"])
+    assert compact(spark, name) == 3
+    expire(spark, name)
+    assert state() == sorted([row for row in expected if row[0] != "0"] + [("0", 9, "new")])
+
+
+def test_data_without_its_table_is_refused(spark, name, tmp_path):
+    place = str(tmp_path / "u")
+    keyed_upsert(spark.createDataFrame([("k", 1, "x")], KV), name, "k", path=place)
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP TABLE {name}_log")
+    with pytest.raises(ValueError, match="catalogue"):
+        keyed_upsert(spark.createDataFrame([("k", 2, "y")], KV), name, "k", path=place)
+    with pytest.raises(ValueError):
+        current_state(spark, name)
+
+
+def test_tables_grow(spark, name):
+    first = spark.createDataFrame([(1, "a", 1.5)], "id long, x string, f double")
+    create_or_append(first, name)
+    with pytest.raises(ValueError):
+        create_or_append(first.drop("x"), name)
+    other = spark.createDataFrame([(2, 3, "z", "n")], "id int, f int, x string, new string").select("new", "x", "f", "id")
+    create_or_append(other, name, grow=True)
+    create_or_append(first.select("id"), name, grow=True)
+    assert sorted((tuple(r) for r in spark.table(name).collect()), key=str) == [
+        (1, "a", 1.5, None), (1, None, None, None), (2, "z", 3.0, "n")]
+    columns = spark.table(name).columns
+    for wrong in (first.withColumn("x", F.lit(1)).withColumn("more", F.lit(1)), first.withColumn("id", F.lit("1"))):
+        with pytest.raises(ValueError):
+            create_or_append(wrong, name, grow=True)
+    assert spark.table(name).columns == columns
+
+
+def test_batches_of_a_growing_table(spark, name):
+    replace_batch(spark.createDataFrame([(1,)], "id long"), name, 0, grow=True)
+    for _ in range(2):
+        replace_batch(spark.createDataFrame([("y", 2)], "x string, id long"), name, 1, grow=True)
+    assert sorted(tuple(r) for r in spark.table(name).select("id", "x", "batch_id").collect()) == [(1, None, 0), (2, "y", 1)]

@@ -161,13 +161,13 @@ def broker():
 
 def test_kafka_to_upsert(spark, tmp_path):
     spark.dataSource.register(broker())
-    query = jobs.kafka_to(spark, "h:1", "events", upsert_sink(str(tmp_path / "out"), "event_id"),
+    query = jobs.kafka_to(spark, "h:1", "events", upsert_sink("from_kafka", "event_id"),
                           str(tmp_path / "checkpoint"), interval="1 second", fmt="broker")
     try:
         query.processAllAvailable()
     finally:
         query.stop()
-    state = current_state(spark, str(tmp_path / "out"), "event_id").select("network_id", "event_id")
+    state = current_state(spark, "from_kafka", "event_id").select("network_id", "event_id")
     assert sorted(tuple(r) for r in state.collect()) == [("n1", "e1"), ("n2", "e2")]
 
 

@@ -48,7 +48,7 @@ def test_failed_batch_is_not_doubled(spark, tmp_path, kind):
     for i in range(3):
         feed(tmp_path / "in", f"{i}.xml", 10 * i, 5)
     inner = {"files": files_sink(str(tmp_path / "out")), "table": table_sink(f"failing_{kind}"),
-             "upsert": upsert_sink(str(tmp_path / "out"), "event_id")}[kind]
+             "upsert": upsert_sink("failing_upsert", "event_id")}[kind]
 
     def fails_after_writing(batch, batch_id):
         inner(batch, batch_id)
@@ -62,18 +62,18 @@ def test_failed_batch_is_not_doubled(spark, tmp_path, kind):
         ids = json_ids(spark, tmp_path / "out")
     else:
         df = spark.table("failing_table") if kind == "table" else current_state(
-            spark, str(tmp_path / "out"), "event_id")
+            spark, "failing_upsert", "event_id")
         ids = sorted(int(r.event_id) for r in df.collect())
     assert ids == sorted(10 * i + j for i in range(3) for j in range(5))
 
 
 def test_upsert_keeps_the_latest_batch(spark, tmp_path):
     feed(tmp_path / "in", "0.xml", 0, 4, severity="1")
-    sink = upsert_sink(str(tmp_path / "out"), "event_id")
+    sink = upsert_sink("latest_batch", "event_id")
     work_off(spark, tmp_path, sink)
     feed(tmp_path / "in", "1.xml", 2, 4, severity="9")
     work_off(spark, tmp_path, sink)
-    state = {r.event_id: r.severity for r in current_state(spark, str(tmp_path / "out"), "event_id").collect()}
+    state = {r.event_id: r.severity for r in current_state(spark, "latest_batch", "event_id").collect()}
     assert state == {"0": "1", "1": "1", **{str(i): "9" for i in range(2, 6)}}
 
 
@@ -167,10 +167,10 @@ def test_broken_records_and_events_without_id_are_set_aside(spark, tmp_path):
     feed(tmp_path / "in", "0.xml", 0, 2)
     (tmp_path / "in" / "1.xml").write_text('<eventData><net id="1"><event><severity>5</severity></event>'
                                            '<event id="7"></event></net></eventData>\n<eventData><net id=></eventData>')
-    sink = upsert_sink(str(tmp_path / "u"), "event_id", keyless=files_sink(str(tmp_path / "keyless")))
+    sink = upsert_sink("with_keyless", "event_id", keyless=files_sink(str(tmp_path / "keyless")))
     for _ in range(2):
         jobs.xml_stream_to(spark, str(tmp_path / "in"), sink, str(tmp_path / "c"), interval=None).awaitTermination()
-    assert sorted(r.event_id for r in current_state(spark, str(tmp_path / "u")).collect()) == ["0", "1", "7"]
+    assert sorted(r.event_id for r in current_state(spark, "with_keyless").collect()) == ["0", "1", "7"]
     assert [r.severity for r in spark.read.json(str(tmp_path / "keyless")).collect()] == ["5"]
     aside = [r.value for r in spark.read.text(str(tmp_path / "c_quarantine")).collect()]
     assert len(aside) == 1 and "<net id=>" in aside[0]
@@ -179,7 +179,7 @@ def test_broken_records_and_events_without_id_are_set_aside(spark, tmp_path):
 def test_upsert_sink_compacts(spark, tmp_path):
     for i in range(5):
         feed(tmp_path / "in", f"{i}.xml", i, 2, severity=str(i))
-    work_off(spark, tmp_path, upsert_sink(str(tmp_path / "u"), "event_id", compact_every=2))
-    state = {r.event_id: r.severity for r in current_state(spark, str(tmp_path / "u")).collect()}
-    assert len(state) == 6 and list((tmp_path / "u" / "snapshot").glob("upto=*"))
+    work_off(spark, tmp_path, upsert_sink("compacting", "event_id", compact_every=2))
+    state = {r.event_id: r.severity for r in current_state(spark, "compacting").collect()}
+    assert len(state) == 6 and spark.table("compacting").count() > 0
     assert all(state[str(i)] == str(min(i, 4)) for i in range(1, 6)) or state["5"] == "4"
