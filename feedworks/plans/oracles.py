@@ -199,6 +199,11 @@ ORACLE_SQL = {
     "xml_corrupt_split": _CORRUPT_SPLIT,
     "xml_corrupt_events": _CORRUPT_EVENTS,
     "xml_large_document": _EVENTS_21,
+    "stream_large_document": _EVENTS_21,
+    "stream_segments": _CONVERSATIONS,
+    "table_new_columns": """SELECT event_id, CASE WHEN event_type <> 'click' THEN user_id END AS user_id,
+      CASE WHEN event_type = 'click' THEN CAST(CAST(value AS FLOAT) AS DOUBLE) ELSE value END AS value,
+      CASE WHEN event_type = 'click' THEN event_type END AS event_type FROM events""",
     "raw_archive_roundtrip": _EVENTS_21,
     "json_roundtrip": _EVENTS_21,
     "csv_flat_roundtrip": _EVENTS_21,

@@ -22,9 +22,9 @@ from feedworks.sinks import (
 )
 from feedworks.sinks.files import CSV_OPTIONS, JSON_OPTIONS
 from feedworks.sources import (
-    as_messages, delimited, parse_xml_column, xml_event_rows, xml_records, xml_stream,
+    as_messages, delimited, parse_xml_column, xml_event_rows, xml_event_stream, xml_records, xml_stream,
 )
-from feedworks.streaming import files_sink, input_rows, run, table_sink, upsert_sink
+from feedworks.streaming import event_rows_sink, files_sink, fold_sink, input_rows, run, table_sink, upsert_sink
 
 
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,6 +291,40 @@ def stream_xml_json(spark, sf_dir):
     return nested.flatten_structs(events)
 
 
+def stream_large_document(spark, sf_dir):
+    """The document that goes on over all files, which arrive one by one."""
+    path = workspace.new_path(spark, "stream-json")
+    stream = xml_event_stream(spark, staging.large_document(spark, sf_dir), maxFilesPerTrigger=1)
+    write = files_sink(path)
+    sink = event_rows_sink(lambda rows, batch_id: write(flatten(rows), batch_id), workspace.new_path(spark, "state"))
+    _work_off(spark, stream, sink, None)
+    schema = event_records(_feed(spark, sf_dir)).schema
+    return nested.flatten_structs(spark.read.schema(schema).options(**JSON_OPTIONS).json(path).drop("batch_id"))
+
+
+def stream_segments(spark, sf_dir):
+    """Conversations of which each batch brings some turns."""
+    source, path = staging.turn_files(spark, sf_dir), workspace.new_path(spark, "stream-segments")
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    sink = fold_sink(files_sink(path, "parquet"), workspace.new_path(spark, "state"), partition_by=["conv_id"], order=["turn"],
+                     block=F.expr("turn div 1000"), is_end=F.col("role") == "assistant", keep=F.col("text").isNotNull(),
+                     key=F.col("text"), value=F.col("text"), names=("answer", "before"))
+    _work_off(spark, stream, sink, None)
+    return spark.read.parquet(path).drop("batch_id")
+
+
+def table_new_columns(spark, sf_dir):
+    """A table made of narrow events, which later events widen: by name, with new columns,
+    and with numbers of a narrower type."""
+    name, path = f"feedworks_grown_{uuid.uuid4().hex[:12]}", workspace.new_path(spark, "table")
+    events = table(spark, sf_dir, "events")
+    clicks = F.col("event_type") == "click"
+    create_or_append(events.where(~clicks).select("event_id", "user_id", "value"), name, path=path)
+    late = events.where(clicks).select("event_type", F.col("value").cast("float").alias("value"), "event_id")
+    create_or_append(late, name, grow=True)
+    return _without_table(spark, name, path)
+
+
 def stream_xml_quarantine(spark, sf_dir):
     """The streaming job over broken files: its events, and what it has set aside."""
     path, aside = workspace.new_path(spark, "stream-good"), workspace.new_path(spark, "stream-aside")
@@ -397,7 +431,7 @@ QUERIES = {f.__name__: f for f in [
     segments_conversations, segments_order_ranges, segments_file_order, subject_lines,
     table_create_append, files_by_number, upsert_replace, upsert_merge, upsert_compacted,
     upsert_replace_compacted, upsert_new_column, upsert_from_csv,
-    stream_xml_json, stream_xml_table, stream_xml_upsert, stream_xml_quarantine,
+    stream_large_document, stream_segments, table_new_columns, stream_xml_json, stream_xml_table, stream_xml_upsert, stream_xml_quarantine,
     stream_row_counts, stream_skip_empty, stream_interval,
     stream_messages_ids, messages_decode_26, messages_decode_plain, messages_overflow, preview_top_n,
 ]}

@@ -163,6 +163,15 @@ def large_document(spark: SparkSession, sf_dir: str, path: str) -> None:
                                           F.lit("</net>").alias("value"))))
     (lines.repartitionByRange(n_files(events), "_id", "line", "event_id")
      .sortWithinPartitions("_id", "line", "event_id").select("value").write.text(path))
+    workspace.age_in_order(spark, path)
+
+
+@_once
+def turn_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """``conversations`` in files that arrive in the order of turns."""
+    turns = table(spark, sf_dir, "conversations")
+    turns.repartitionByRange(n_files(turns), "turn", "conv_id").write.parquet(path)
+    workspace.age_in_order(spark, path)
 
 
 @_once

@@ -6,6 +6,7 @@ from feedworks.sources.xml import (
     quarantined,
     well_formed,
     xml_event_rows,
+    xml_event_stream,
     xml_records,
     xml_stream,
 )
@@ -13,5 +14,5 @@ from feedworks.sources.xml import (
 __all__ = [
     "as_messages", "delimited", "jdbc_options", "jdbc_table", "kafka_messages",
     "kafka_options", "parse_xml_column", "quarantined", "well_formed",
-    "xml_event_rows", "xml_records", "xml_stream",
+    "xml_event_rows", "xml_event_stream", "xml_records", "xml_stream",
 ]

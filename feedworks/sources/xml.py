@@ -19,9 +19,7 @@ from pyspark.sql import types as T
 
 from feedworks import workspace
 from feedworks.functions import bound, cut_at_end, start_tag, stray, tag_pieces, xml_fragments
-from feedworks.operators.ordered import (
-    BLOCK, FILE, POSITION, carry_forward, with_file_position,
-)
+from feedworks.operators.ordered import BLOCK, FILE, POSITION, carry_forward
 from feedworks.schema import CORRUPT, EVENT, EVENT_RECORD, NETWORK, ROW_TAG, with_corrupt
 
 # An age no file has reached; the file source would pass over files of a week.
@@ -158,28 +156,49 @@ def xml_event_rows(spark: SparkSession, path: str | list[str],
     as it was read. ``across_files`` treats the files as one document in the order of
     their names.
     """
+    lines = spark.read.options(lineSep=_end_tag("event"), **options).text(path).selectExpr("value", *_PLACE)
+    partition_by, block = ([], [FILE, BLOCK]) if across_files else ([FILE], [BLOCK])
+    table = event_tokens(lines, event)
+    return events_of_tokens(table, carry_forward(table, "_net", [POSITION, "_place"], block, partition_by), event)
+
+
+#: Where a row of a text file stands, and the size of its file.
+_PLACE = [f"_metadata.file_path AS {FILE}", f"_metadata.file_block_start AS {BLOCK}", "_metadata.file_size AS _size"]
+
+
+def xml_event_stream(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Stream of the text of files arriving in ``path``, cut at ``</event>``, for documents too large
+    to be one record; :func:`feedworks.streaming.event_rows_sink` makes events of it.
+    Options as for :func:`xml_stream`."""
+    options = {"maxFileAge": _ANY_AGE, **options}
+    return spark.readStream.options(lineSep=_end_tag("event"), **options).text(path).selectExpr("value", *_PLACE)
+
+
+def event_tokens(lines: DataFrame, event: T.StructType = EVENT) -> DataFrame:
+    """The parsed tokens of text cut at ``</event>``, as they stand in their files; written.
+    ``lines`` comes straight from a file reader."""
     ending = _end_tag("event")
-    lines = with_file_position(spark.read.options(lineSep=ending, **options).text(path),
-                               F.col("_metadata.file_size").alias("_size"))
     # The first token of a row is empty and counts the row's bytes.
     head = F.struct((F.octet_length("value") + len(ending)).alias("_bytes"), "_size", F.lit(False).alias("_closing"),
                     F.lit(None).cast(_token_type(event)).alias("_token"))
     tokens = bound(_event_tokens(F.concat("value", F.lit(ending)), event), lambda every: F.transform(every, lambda token, at: F.struct(
         F.lit(None).cast("int").alias("_bytes"), F.lit(None).cast("long").alias("_size"),
         ((at == F.size(every) - 1) & token["_net"].isNull()).alias("_closing"), token.alias("_token"))))
-    parsed = lines.select(FILE, BLOCK, POSITION, F.posexplode(F.concat(F.array(head), tokens)).alias("_place", "_row")).select(
+    placed = lines.withColumn(POSITION, F.monotonically_increasing_id())
+    parsed = placed.select(FILE, BLOCK, POSITION, F.posexplode(F.concat(F.array(head), tokens)).alias("_place", "_row")).select(
         FILE, BLOCK, POSITION, "_place", "_row._bytes", "_row._size", "_row._closing", "_row._token.*")
-    table = workspace.materialise(parsed, "event-rows")
+    return workspace.materialise(parsed, "event-rows")
+
 
+def events_of_tokens(table: DataFrame, filled: DataFrame, event: T.StructType = EVENT) -> DataFrame:
+    """Event rows of the tokens in ``table``; ``filled`` has them with their network in ``_net``,
+    dealt by file and block."""
     # The bytes of a file's rows and their ends exceed the file by one end where the last
     # row had none; a mark of the byte order is in the file only.
     over = F.sum("_bytes") - F.max("_size")
     cut_off = (table.where("_bytes IS NOT NULL").groupBy(FILE)
                .agg(over.alias("_over"), F.max(F.struct(BLOCK, POSITION)).alias("_last")).where("_over > 0")
                .select(FILE, F.col(f"_last.{BLOCK}").alias(BLOCK), F.col(f"_last.{POSITION}").alias("_cut_position")))
-
-    partition_by, block = ([], [FILE, BLOCK]) if across_files else ([FILE], [BLOCK])
-    filled = carry_forward(table, "_net", [POSITION, "_place"], block, partition_by)
     # Rows are dealt by block already, so this join moves none of them.
     events = filled.where(F.col("_event").isNotNull()).join(cut_off, [FILE, BLOCK], "left")
     at_end = F.coalesce((F.col("_cut_position") == F.col(POSITION)) & F.col("_closing"), F.lit(False))

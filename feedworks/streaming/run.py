@@ -58,10 +58,12 @@ class _InputRows(StreamingQueryListener):
 
 
 _listeners: dict[int, _InputRows] = {}
+_of_run: dict[str, _InputRows] = {}
 
 
 def _listener(spark) -> _InputRows:
-    key = id(spark._jsparkSession)
+    # Python may have several objects for one session.
+    key = spark._jvm.System.identityHashCode(spark._jsparkSession)
     if key not in _listeners:
         _listeners[key] = _InputRows()
         spark.streams.addListener(_listeners[key])
@@ -83,7 +85,7 @@ def run(source: DataFrame, sink: Sink, *, checkpoint: str,
     no row, at the price of a job that looks for the first one.
     """
     stream = transform(source) if transform else source
-    _listener(source.sparkSession)
+    listener = _listener(source.sparkSession)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         if not (skip_empty and batch.isEmpty()):
@@ -92,19 +94,17 @@ def run(source: DataFrame, sink: Sink, *, checkpoint: str,
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    if interval is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
+    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
+    query = writer.trigger(**trigger).start()
+    _of_run[str(query.runId)] = listener
+    return query
 
 
 def input_rows(query: StreamingQuery) -> int:
     """Source rows that this run of the query has read, all batches counted: a listener
     adds them up as they are reported, however many reports Spark keeps."""
-    from pyspark.sql import SparkSession
-
     last = query.lastProgress
-    spark = SparkSession.getActiveSession()
-    return _listener(spark).total(str(query.runId), last["batchId"]) if last else 0
+    return _of_run[str(query.runId)].total(str(query.runId), last["batchId"]) if last else 0
 
 
 def files_sink(path: str, fmt: str = "json", **options) -> Sink:

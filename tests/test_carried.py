@@ -1,0 +1,135 @@
+"""Streams whose batches go on where the one before ended, against the same work in one piece."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedworks import workspace
+from feedworks.operators.segments import fold
+from feedworks.schema import CORRUPT
+from feedworks.sources import xml_event_rows, xml_event_stream
+from feedworks.streaming import event_rows_sink, files_sink, fold_sink, run
+
+
+def dying(sink, at):
+    """A sink that fails after having written batch ``at``, the first time."""
+    deaths = []
+
+    def write(batch, batch_id):
+        sink(batch, batch_id)
+        if batch_id == at and not deaths:
+            deaths.append(batch_id)
+            raise RuntimeError("lost after the write")
+    return write
+
+
+def work_off(stream, sink, checkpoint):
+    run(stream, sink, checkpoint=str(checkpoint), interval=None).awaitTermination()
+
+
+def over_a_restart(stream, sink, checkpoint):
+    with pytest.raises(Exception, match="lost after the write"):
+        work_off(stream, sink, checkpoint)
+    work_off(stream, sink, checkpoint)
+
+
+def document(nets, events, files, seed):
+    """A document in pieces that end anywhere between two events."""
+    rng, text, i = random.Random(seed), ["<eventData>"], 0
+    for n in range(nets):
+        text.append(f'<net id="{n}" name="n{n}">')
+        for _ in range(rng.randint(0, events)):
+            text.append(f'<event id="{i}"><severity>{i}</severity></event>\n')
+            i += 1
+        text.append("</net>" if n % 5 != 3 else '</net><net id="empty"/>')
+    text.append("</eventData>\n")
+    cuts = sorted(rng.choices(range(len(text)), k=files - 1))
+    return ["".join(text[a:b]) for a, b in zip([0, *cuts], [*cuts, len(text)])]
+
+
+def write(spark, folder, pieces, name="part-{:03}"):
+    folder.mkdir()
+    for i, piece in enumerate(pieces):
+        (folder / name.format(i)).write_text(piece)
+    workspace.age_in_order(spark, str(folder))
+    return str(folder)
+
+
+def event_rows(df):
+    return sorted((r.network_id or "", r.network_name or "", r.id or "", r.bad or "") for r in df.select(
+        "network_id", "network_name", F.col("col._id").alias("id"), F.col(CORRUPT).alias("bad")).collect())
+
+
+@pytest.mark.parametrize("seed, per_batch", [(1, 1), (2, 3)])
+def test_large_document(spark, tmp_path, small_splits, seed, per_batch):
+    path = write(spark, tmp_path / "in", document(12, 15, 8, seed))
+    small_splits(400)
+    stream = xml_event_stream(spark, path, maxFilesPerTrigger=per_batch)
+    sink = event_rows_sink(files_sink(str(tmp_path / "out"), "parquet"), str(tmp_path / "state"))
+    over_a_restart(stream, dying(sink, 1), tmp_path / "checkpoint")
+    expected = event_rows(xml_event_rows(spark, path, across_files=True))
+    assert len(expected) > 30 and event_rows(spark.read.parquet(str(tmp_path / "out"))) == expected
+    # State of two batches is kept, for the one that may run again.
+    assert len(workspace.partition_values(spark, str(tmp_path / "state"), "batch_id")) == 2
+
+
+def test_documents_side_by_side(spark, tmp_path):
+    """Two documents whose files arrive in turn, one of them with a broken network and a cut-off end."""
+    first, second = document(6, 8, 4, 5), document(6, 8, 4, 6)
+    second[1] = second[1].replace("<event id", "<net id=<event id", 1)
+    second[3] = second[3].rsplit("</event>", 1)[0]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i in range(4):
+        (folder / f"{i}-a").write_text(first[i])
+        (folder / f"{i}-b").write_text(second[i])
+    workspace.age_in_order(spark, str(folder))
+    stream = xml_event_stream(spark, str(folder), maxFilesPerTrigger=3)
+    sink = event_rows_sink(files_sink(str(tmp_path / "out"), "parquet"), str(tmp_path / "state"),
+                           document=F.substring_index("_file", "-", -1))
+    over_a_restart(stream, dying(sink, 0), tmp_path / "checkpoint")
+    expected = []
+    for end in "ab":
+        alone = write(spark, tmp_path / end, [(folder / f"{i}-{end}").read_text() for i in range(4)])
+        expected += event_rows(xml_event_rows(spark, alone, across_files=True))
+    assert event_rows(spark.read.parquet(str(tmp_path / "out"))) == sorted(expected)
+
+
+def turns(seed, keys, n):
+    """Rows (key, turn, is_end, text), turns rising over all."""
+    rng = random.Random(seed)
+    return [(rng.choice(keys), i, rng.random() < 0.15, rng.choice([None, f"t{i}"])) for i in range(n)]
+
+
+SCHEMA = "k string, turn long, is_end boolean, text string"
+
+
+@pytest.mark.parametrize("partition_by", [["k"], []])
+def test_fold(spark, tmp_path, partition_by):
+    rows = turns(len(partition_by), ["a", "a", "a", "b", "c", None], 300)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i, start in enumerate([0, 20, 25, 140, 141, 142, 250]):
+        part = [r for r in rows if start <= r[1] < ([20, 25, 140, 141, 142, 250, 300][i])]
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(str(folder))
+        newest = [p for p in folder.glob("part-*") if not p.name.startswith("part-9")]
+        newest[0].rename(folder / f"part-9{i}.parquet")
+    for crc in folder.glob(".*.crc"):
+        crc.unlink()
+    workspace.age_in_order(spark, str(folder))
+    how = dict(partition_by=partition_by, order=["turn"], is_end=F.col("is_end"), keep=F.col("text").isNotNull(),
+               key=F.col("turn").cast("string"), value=F.col("text"), names=("key", "texts"))
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    sink = fold_sink(files_sink(str(tmp_path / "out"), "parquet"), str(tmp_path / "state"), block=F.expr("turn div 7"), **how)
+    over_a_restart(stream, dying(sink, 3), tmp_path / "checkpoint")
+    whole = fold(spark.createDataFrame(rows, SCHEMA), **how)
+    found = spark.read.parquet(str(tmp_path / "out")).select(whole.columns)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    # What is open at the end: kept rows that nothing closes.
+    last = {}
+    for key, turn, is_end, _ in rows:
+        if is_end:
+            last[key if partition_by else 0] = turn
+    still = {turn for key, turn, is_end, text in rows if text and not is_end and turn > last.get(key if partition_by else 0, -1)}
+    assert {r.turn for r in spark.read.parquet(str(tmp_path / "state" / "batch_id=6")).collect()} == still
