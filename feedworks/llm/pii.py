@@ -37,8 +37,10 @@ KINDS = ("email", "ip", "card", "phone")
 #: Rounds over the graph, and what a pattern needs.
 ROUNDS, DOUBT, CONFIDENT, LEAST_SEEDS = 4, 1.0, 0.7, 5
 
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: What may stand before the ``@`` of an address, and behind it.
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+_DOTTED, _NUMBER = re.compile(r"[0-9]+(?:\.[0-9]+)*"), re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -54,6 +56,30 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of addresses, from each ``@`` outwards: a search from the left would begin anew at
+    every letter of a long run without one."""
+    done, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        if start < at and (domain := _DOMAIN.match(text, at + 1)):
+            done = domain.end()
+            yield start, done
+        at = text.find("@", max(at + 1, done))
+
+
+def _ips(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of four numbers with dots between them, four after four in a longer row."""
+    for row in _DOTTED.finditer(text):
+        if row.group().count(".") < 3:
+            continue
+        numbers = [m.span() for m in _NUMBER.finditer(text, *row.span())]
+        for i in range(0, len(numbers) - 3, 4):
+            yield numbers[i][0], numbers[i + 3][1]
+
+
 def _is_ip(match: str) -> bool:
     return all(len(part.lstrip("0")) <= 3 and int(part[-4:]) <= 255 for part in match.split("."))
 
@@ -64,9 +90,9 @@ def _digits(match: str) -> str:
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """Spans that the rules find: number of the kind, start, end."""
-    spans = [(0, *m.span()) for m in _EMAIL.finditer(text)] if "@" in text else []
+    spans = [(0, *span) for span in _emails(text)]
     if _DIGIT.search(text):
-        spans += [(1, *m.span()) for m in _IP.finditer(text) if _is_ip(m.group())]
+        spans += [(1, *span) for span in _ips(text) if _is_ip(text[slice(*span)])]
         spans += [(2, *m.span()) for m in _CARD.finditer(text) if 16 <= len(d := _digits(m.group())) <= 19 and luhn(d)]
         if "+" in text:
             spans += [(3, *m.span()) for m in _PHONE.finditer(text) if 8 <= len(_digits(m.group())) <= 15]
