@@ -2,16 +2,19 @@
 
 Rules find e-mail addresses, IP addresses, card and phone numbers. What they find are
 the seeds of a bootstrap. A pattern is the kind of a seed with the words beside it: one or two words
-before it, or the words before and after. Candidates are the other words with a digit or an at sign that stand in
-some seed's pattern. Patterns and candidates form a graph, scored in rounds:
+before it, the words before and after, or the word after. A label glued to a value by a colon
+or an equals sign is the word before it. Candidates are the other words with a digit or an at sign, and
+groups of digits that stand together, up to :data:`GROUPS` words. Patterns and candidates
+form a graph, scored in rounds:
 
 * a pattern's confidence is the mean confidence of what stands in it, counted with
   :data:`DOUBT` unknown occurrences more; a seed counts 1, a candidate its own;
 * a candidate's confidence is that of its best pattern.
 
-A candidate starts at 0. Candidates in patterns that end at :data:`CONFIDENT` or above, with seeds of
-:data:`LEAST_SEEDS` distinct values, are spans of kind ``near_<kind>``, unless they
-overlap a rule's span.
+A candidate starts at 0. Patterns that end at :data:`CONFIDENT` or above, with seeds of
+:data:`LEAST_SEEDS` distinct values, are trusted, and the candidates in them are spans of kind
+``near_<kind>``. Their values are then seeds in turn, of all patterns that they stand in, until
+no further value is found.
 
 Occurrences are counted per pattern and value before the rounds, so a pattern
 or value may hold any share of the rows.
@@ -31,11 +34,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedworks import workspace
-from feedworks.llm.rows import AT, FILE, ROW, in_small_batches, numbered, text_of
+from feedworks.llm.rows import AT, FILE, ROW, in_small_batches, numbered, on_file, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Rounds over the graph, and what a pattern needs.
 ROUNDS, DOUBT, CONFIDENT, LEAST_SEEDS = 4, 1.0, 0.7, 5
+#: Words of one candidate at most: a longer row of numbers is a table, and its words stand alone.
+GROUPS = 4
 
 #: What may stand before the ``@`` of an address, and behind it.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -104,8 +109,10 @@ def _clean(word: str) -> str:
 
 
 def _contexts(before: list[str], after: list[str]) -> list[str]:
-    """Patterns of a place: up to three ways to look at the words beside it."""
+    """Patterns of a place: up to four ways to look at the words beside it."""
     found = []
+    if after and after[0]:
+        found.append(f"_ {after[0]}")
     if before and before[-1]:
         found.append(f"{before[-1]} _")
         if len(before) > 1 and before[-2]:
@@ -115,33 +122,52 @@ def _contexts(before: list[str], after: list[str]) -> list[str]:
     return found
 
 
+def _candidates(text: str, words: list[tuple[int, int]], covered: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Places of words, or of groups of digits, that might be identifiers, beside the covered ones."""
+    places, rows, at = [], [], 0
+    for number, (start, end) in enumerate(words):
+        value = text[start:end]
+        if not _DIGIT.search(value) and "@" not in value:
+            continue
+        bare = value.rstrip(_EDGES)
+        end -= len(value) - len(bare)
+        cut = max(bare.rfind(":"), bare.rfind("=")) + 1
+        glued, start = cut > 0, start + cut
+        start += len(bare) - cut - len(bare[cut:].lstrip(_EDGES))
+        while at < len(covered) and covered[at][1] <= start:
+            at += 1
+        value = text[start:end]
+        if start >= end or any(s < end and start < e for s, e in covered[at:at + 4]) or not (_DIGIT.search(value) or "@" in value):
+            continue
+        row = rows[-1] if rows else None
+        joins = (row and row[-1][0] == number - 1 and not glued and "@" not in value and "@" not in text[slice(*row[-1][1:])]
+                 and not text[row[-1][2]:start].strip("() \t\n\r\v\f"))
+        if joins:
+            row.append((number, start, end))
+        else:
+            rows.append([(number, start, end)])
+    for row in rows:
+        places += [(row[0][1], row[-1][2])] if len(row) <= GROUPS else [place[1:] for place in row]
+    return places
+
+
 def occurrences(text: str) -> list[tuple[int, int, int, str, list[str]]]:
     """Seeds and candidates of a text: kind or -1, start, end, value, patterns."""
     base = base_spans(text)
     if not base and not _DIGIT.search(text) and "@" not in text:
         return []
     words = [(m.start(), m.end()) for m in _WORD.finditer(text)]
-    places = [(kind, start, end) for kind, start, end in base]
     covered = sorted((start, end) for _, start, end in base)
-    at = 0
-    for start, end in words:
-        value = text[start:end]
-        if not _DIGIT.search(value) and "@" not in value:
-            continue
-        start += len(value) - len(value.lstrip(_EDGES))
-        end -= len(value) - len(value.rstrip(_EDGES))
-        while at < len(covered) and covered[at][1] <= start:
-            at += 1
-        if start < end and not any(s < end and start < e for s, e in covered[at:at + 4]):
-            places.append((-1, start, end))
+    places = base + [(-1, *place) for place in _candidates(text, words, covered)]
     starts = [start for start, _ in words]
     out = []
     for kind, start, end in places:
         first = _at_or_before(starts, start)
         last = _at_or_before(starts, end - 1)
         before = [_clean(text[s:e]) for s, e in words[max(0, first - 2):first]]
+        label = _clean(text[words[first][0]:start].rstrip("=" + _EDGES))
         after = [_clean(text[s:e]) for s, e in words[last + 1:last + 2]]
-        out.append((kind, start, end, text[start:end].lower(), _contexts(before, after)))
+        out.append((kind, start, end, text[start:end].lower(), _contexts(before + [label] if label else before, after)))
     return out
 
 
@@ -172,18 +198,40 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def confident_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Patterns that name a kind: pattern, kind, confidence; written."""
-    stands = (found.select("kind", "value", F.explode("patterns").alias("pattern"))
-              .groupBy("pattern", "kind", "value").agg(F.count("*").alias("times")))
-    stands = workspace.materialise(stands, "pii_graph")
-    seeds = (stands.filter("kind >= 0").groupBy("pattern", "kind")
-             .agg(F.count("*").alias("values"), F.sum("times").alias("seeds")).filter(f"values >= {LEAST_SEEDS}"))
+    stands = workspace.materialise(
+        found.select("kind", "value", F.explode("patterns").alias("pattern"))
+        .groupBy("pattern", "kind", "value").agg(F.count("*").alias("times")), "pii_graph")
+    seeds, candidates = stands.filter("kind >= 0"), stands.filter("kind < 0").drop("kind")
+    trusted, count = None, 0
+    while True:
+        if trusted is not None:
+            seeds = stands.filter("kind >= 0").unionByName(candidates.join(trusted, "value"))
+        patterns = _scored(stands, seeds, candidates, rounds)
+        values = (candidates.join(patterns.select("pattern", "kind", "confidence"), "pattern")
+                  .groupBy("value").agg(F.max(F.struct("confidence", (-F.col("kind")).alias("order"))).alias("best"))
+                  .select("value", (-F.col("best.order")).alias("kind")))
+        if trusted is not None:
+            # A value keeps the kind that it was trusted as, so that values only become more.
+            values = trusted.unionByName(values.join(trusted, "value", "left_anti"))
+        trusted = workspace.materialise(values, "pii_trusted")
+        before, count = count, trusted.count()
+        if count == before:
+            return patterns
+
+
+def _scored(stands: DataFrame, seeds: DataFrame, candidates: DataFrame, rounds: int) -> DataFrame:
+    """The patterns that pass with these seeds, each with its likeliest kind; written."""
+    enough = (seeds.groupBy("pattern", "kind").agg(F.count("*").alias("values"), F.sum("times").alias("seeds"))
+              .filter(f"values >= {LEAST_SEEDS}"))
     other = (stands.groupBy("pattern").agg(F.sum("times").alias("times"))
-             .join(seeds, "pattern").select("pattern", "kind", "seeds", "times"))
+             .join(enough, "pattern").select("pattern", "kind", "seeds", "times"))
     patterns = workspace.materialise(
         other.withColumn("confidence", F.col("seeds") / (F.col("times") + DOUBT)), "pii_patterns")
+    # What is a seed counts as such already.
+    seeded = seeds.select("pattern", "value", "kind")
     edges = workspace.materialise(
-        stands.filter("kind < 0").select("pattern", "value", F.col("times").alias("edge_times"))
-        .join(patterns.select("pattern", "kind"), "pattern"), "pii_edges")
+        candidates.withColumnRenamed("times", "edge_times").join(patterns.select("pattern", "kind"), "pattern")
+        .join(seeded, ["pattern", "value", "kind"], "left_anti"), "pii_edges")
     for _ in range(rounds):
         values = (edges.join(patterns.select("pattern", "kind", "confidence"), ["pattern", "kind"])
                   .groupBy("value", "kind").agg(F.max("confidence").alias("trust")))
@@ -202,6 +250,7 @@ def confident_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 def personal_data(docs: DataFrame) -> DataFrame:
     """Per document: row identity, doc_id and ``spans``, an array of (kind, start, end) in that
     order; kinds from ``len(KINDS)`` on were found by context."""
+    docs = on_file(docs)
     found = scan(docs)
     patterns = confident_patterns(found)
     added = (found.filter("kind < 0").select(*ROW, "start", "end", F.explode("patterns").alias("pattern"))

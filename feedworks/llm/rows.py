@@ -37,6 +37,16 @@ def numbered(docs: DataFrame, *columns: Column) -> DataFrame:
         return _numbered(written, [F.col(f"`{name}`") for name in written.columns])
 
 
+def on_file(docs: DataFrame) -> DataFrame:
+    """``docs``, or a written copy where it doesn't come straight from files: for operators that
+    number its rows more than once."""
+    try:
+        _numbered(docs, ())
+    except AnalysisException:
+        return workspace.materialise(docs, "documents")
+    return docs
+
+
 def _numbered(docs: DataFrame, columns) -> DataFrame:
     place = docs.metadataColumn("_metadata")
     return docs.select(F.xxhash64(place["file_path"]).alias(FILE), place["row_index"].alias(AT), *columns)

@@ -78,3 +78,61 @@ def test_query_by_hand(spark, tmp_path):
     assert sorted(got, key=repr) == sorted(expected, key=repr)
     base = [[s for s in r.spans.split(",") if s and not s.startswith("near_")] for r in result]
     assert [len(b) for b in base] == [r.n_email + r.n_ip + r.n_card + r.n_phone for r in result]
+
+
+def added_by(spark, rows):
+    """Per document the texts that contexts add, with their kinds."""
+    texts = {row[0]: row[1] for row in rows}
+    return {row["doc_id"]: [(pii.KINDS[s["kind"] - 4], texts[row["doc_id"]][s["start"]:s["end"]]) for s in row["spans"] if s["kind"] >= 4]
+            for row in pii.personal_data(documents(spark, rows)).collect()}
+
+
+def digits(rng, n):
+    return "".join(rng.choices("0123456789", k=n))
+
+
+def word(rng):
+    return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+
+
+def planted(seed, hidden, shown="{w} call +1 (555) {a}-{b} {v}"):
+    """Thirty texts with a phone number that the rules find, and four with one that they don't."""
+    rng = random.Random(seed)
+    make = lambda text: text.format(w=word(rng), v=word(rng), a=digits(rng, 3), b=digits(rng, 4))
+    rows = [(i, make(shown)) for i in range(30)] + [(100 + i, make(hidden)) for i in range(4)]
+    return rows + [(200 + i, f"{word(rng)} chapter {digits(rng, 2)} {word(rng)} 12 {digits(rng, 3)}") for i in range(30)]
+
+
+@pytest.mark.parametrize("hidden, shown, pick", [
+    ("{w} call ({a}) 555-{b} {v}", "{w} call +1 (555) {a}-{b} {v}", lambda t: t[t.index("(") + 1:].rsplit(" ", 1)[0]),
+    ("{w} call {a} 555 {b} {v}", "{w} call +1 (555) {a}-{b} {v}", lambda t: t.split(" ", 2)[2].rsplit(" ", 1)[0]),
+    ("{w} tel:555{b} {v}", "{w} tel:+1555{a}{b} {v}", lambda t: t.split(":")[1].split()[0]),
+    ("{w} tel={a}.{b}, {v}", "{w} tel: +1555{a}{b} {v}", lambda t: t.split("=")[1].split(",")[0]),
+    ("555.{a}.{b} evenings", "+1 (555) {a}-{b} evenings", lambda t: t.split()[0]),
+])
+def test_contexts(spark, hidden, shown, pick):
+    """Values of several words, labels glued to them, and what only follows them."""
+    rows = planted(len(hidden), hidden, shown)
+    for doc_id, spans in added_by(spark, rows).items():
+        assert spans == ([("phone", pick(dict(rows)[doc_id]))] if 100 <= doc_id < 200 else [])
+
+
+def test_found_values_are_seeds_in_turn(spark):
+    """Values found beside a word that rules know stand beside another word, too, and that word
+    beside further values."""
+    rng = random.Random(8)
+    rows = [(i, f"{word(rng)} call +1 (555) {digits(rng, 3)}-{digits(rng, 4)} {word(rng)}") for i in range(40)]
+    found = [f"555.{digits(rng, 3)}.{digits(rng, 4)}" for _ in range(8)]
+    rows += [(100 + i, f"{word(rng)} call {value} {word(rng)}") for i, value in enumerate(found)]
+    rows += [(200 + i, f"{word(rng)} hotline {value} {word(rng)}") for i, value in enumerate(found * 2)]
+    further = [f"555-{digits(rng, 3)}{digits(rng, 4)}" for _ in range(3)]
+    rows += [(300 + i, f"{word(rng)} hotline {value} {word(rng)}") for i, value in enumerate(further)]
+    spans = added_by(spark, rows)
+    assert [spans[300 + i] for i in range(3)] == [[("phone", value)] for value in further]
+    assert all(spans[i] == [] for i in range(40)) and all(len(spans[100 + i]) == 1 for i in range(8))
+
+
+def test_rows_of_numbers_are_no_identifiers():
+    text = "call " + " ".join(str(i) for i in range(100, 2000))
+    places = [(start, end) for kind, start, end, *_ in pii.occurrences(text) if kind < 0]
+    assert len(places) == 1900 and all(" " not in text[s:e] for s, e in places)
