@@ -38,8 +38,8 @@ MOST_REPEATS = 3
 BLOCK_WORDS = 128
 #: Rows aimed at in a bucket of the shuffle order, and the most buckets of a source.
 _BUCKET_ROWS, _MOST_BUCKETS = 64, 1 << 16
-#: Points turned into slots by one row of work.
-_POINTS = 1 << 16
+#: Points turned into slots by one row of work, and such rows in a task.
+_POINTS, _ROWS_OF_POINTS = 1 << 16, 8
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
@@ -99,7 +99,10 @@ def source_slots(sources: DataFrame) -> DataFrame:
     """All slots: the source's number, the slot, and its rank among that source's slots."""
     parts = sources.filter("end_point > first_point").withColumn(
         "part", F.explode(F.sequence("first_point", F.col("end_point") - 1, F.lit(_POINTS))))
-    wide = parts.select("number", "first_point", "end_point", "bits", "part").repartition("number", "part")
+    # The rows are few and short but not what comes of them, so their bytes don't tell how many tasks they need.
+    count = sources.agg(F.sum(F.ceil((F.col("end_point") - F.col("first_point")) / _POINTS))).first()[0] or 0
+    wide = parts.select("number", "first_point", "end_point", "bits", "part").repartition(
+        max(1, -(-count // _ROWS_OF_POINTS)), "number", "part")
     return wide.mapInPandas(_slots_of_points, "number int, slot long, block_number long")
 
 
