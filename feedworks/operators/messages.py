@@ -13,8 +13,8 @@ _QUOTED = r'''"(?:[^"\\]|\\.|"")*"'''
 
 
 def decode_csv(df: DataFrame, column: str = "value", schema: T.StructType = MESSAGE,
-               sep: str = ",", quoting: bool = True) -> DataFrame:
-    """The fields of the message in ``column``, in the order of ``schema``.
+               sep: str = ",", quoting: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The fields of the message in ``column``, in the order of ``schema``, behind the columns in ``keep``.
 
     Missing fields at the end are null. A message that does not fit, having
     more fields than ``schema`` or a quote that is not closed, is kept as a whole in
@@ -32,11 +32,11 @@ def decode_csv(df: DataFrame, column: str = "value", schema: T.StructType = MESS
     if quoting:
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         unfit = unfit | outside.rlike(rf'(?:^|{literal})\s*"')
-        return df.select(F.from_csv(text, fields, {"sep": sep}).alias("_message"),
-                         F.when(unfit, text).alias(CORRUPT)).select("_message.*", CORRUPT)
+        return df.select(*keep, F.from_csv(text, fields, {"sep": sep}).alias("_message"),
+                         F.when(unfit, text).alias(CORRUPT)).select(*keep, "_message.*", CORRUPT)
     parts = (F.when((bare == "") & (text != ""), F.array().cast("array<string>"))
              .otherwise(F.split(bare, literal, -1)))
-    return df.select(parts.alias("_parts"), F.when(unfit, text).alias(CORRUPT)).select(*[
+    return df.select(*keep, parts.alias("_parts"), F.when(unfit, text).alias(CORRUPT)).select(*keep, *[
         F.get("_parts", F.lit(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(schema)], CORRUPT)
 
 

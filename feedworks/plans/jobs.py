@@ -121,9 +121,10 @@ def xml_stream_to(spark: SparkSession, source: str, sink: Sink, checkpoint: str,
 
 
 def kafka_to(spark: SparkSession, servers: str, topic: str, sink: Sink, checkpoint: str,
-             interval: str | None = "30 seconds", quarantine: str | None = None, **settings) -> StreamingQuery:
+             interval: str | None = "30 seconds", quarantine: str | None = None, keep: tuple[str, ...] = (), **settings) -> StreamingQuery:
     """Network and event ids of comma-separated messages, to any sink. The whole text of a
-    message that does not fit also goes to ``quarantine``, by default beside the checkpoint."""
+    message that does not fit also goes to ``quarantine``, by default beside the checkpoint.
+    ``keep`` hands on columns of the log, as its place for a replay-safe upsert."""
     aside = files_sink(quarantine or f"{checkpoint.rstrip('/')}{_QUARANTINE}")
 
     def both(batch: DataFrame, batch_id: int) -> None:
@@ -131,9 +132,9 @@ def kafka_to(spark: SparkSession, servers: str, topic: str, sink: Sink, checkpoi
         sink(batch.drop(CORRUPT), batch_id)
 
     return run(kafka_messages(spark, servers, topic, **settings), sinks_together(both), checkpoint=checkpoint,
-               transform=lambda log: message_ids(log, CORRUPT), interval=interval)
+               transform=lambda log: message_ids(log, CORRUPT, keep=keep), interval=interval)
 
 
-def message_ids(log: DataFrame, *more: str) -> DataFrame:
-    decoded = messages.decode_csv(log)
-    return decoded.select(F.col("NETWORK_ID").alias("network_id"), F.col("EVENT_ID").alias("event_id"), *more)
+def message_ids(log: DataFrame, *more: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    decoded = messages.decode_csv(log, keep=keep)
+    return decoded.select(*keep, F.col("NETWORK_ID").alias("network_id"), F.col("EVENT_ID").alias("event_id"), *more)

@@ -201,6 +201,8 @@ ORACLE_SQL = {
     "xml_large_document": _EVENTS_21,
     "stream_large_document": _EVENTS_21,
     "stream_segments": _CONVERSATIONS,
+    "upsert_replayed": """SELECT * FROM events
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "table_new_columns": """SELECT event_id, CASE WHEN event_type <> 'click' THEN user_id END AS user_id,
       CASE WHEN event_type = 'click' THEN CAST(CAST(value AS FLOAT) AS DOUBLE) ELSE value END AS value,
       CASE WHEN event_type = 'click' THEN event_type END AS event_type FROM events""",

@@ -250,6 +250,20 @@ def upsert_replace_compacted(spark, sf_dir):
     return _state_of(spark, place)
 
 
+def upsert_replayed(spark, sf_dir):
+    """Events by kind, some of which come again later in a batch of their own, before and after
+    a compaction: of each user the row with the newest time counts, whichever batch brought it."""
+    place = _upsert_table(spark)
+    events = table(spark, sf_dir, "events")
+    how = {"key": "user_id", "order_by": ["ts", "event_id"], "replay_safe": True, **place}
+    for kind in _ARRIVALS[:3]:
+        keyed_upsert(events.where(F.col("event_type") == kind), **how)
+    compact(spark, place["table"])
+    keyed_upsert(events.where(F.col("event_type").isin(_ARRIVALS[:2])), **how)
+    keyed_upsert(events.where(F.col("event_type").isin(_ARRIVALS[2:])), **how)
+    return _state_of(spark, place, "user_id")
+
+
 def upsert_new_column(spark, sf_dir):
     """The second batch brings a column that the first one lacks."""
     place = _upsert_table(spark)
@@ -430,7 +444,7 @@ QUERIES = {f.__name__: f for f in [
     json_roundtrip, csv_flat_roundtrip, csv_strings, json_lines, positional_rename,
     segments_conversations, segments_order_ranges, segments_file_order, subject_lines,
     table_create_append, files_by_number, upsert_replace, upsert_merge, upsert_compacted,
-    upsert_replace_compacted, upsert_new_column, upsert_from_csv,
+    upsert_replace_compacted, upsert_replayed, upsert_new_column, upsert_from_csv,
     stream_large_document, stream_segments, table_new_columns, stream_xml_json, stream_xml_table, stream_xml_upsert, stream_xml_quarantine,
     stream_row_counts, stream_skip_empty, stream_interval,
     stream_messages_ids, messages_decode_26, messages_decode_plain, messages_overflow, preview_top_n,

@@ -36,12 +36,13 @@ MODES = ("merge", "replace")
 #: tasks write: a large bucket is written by several.
 BUCKETS = 64
 
-_KEY, _MODE, _UPTO, _PENDING, _COUNT = ("feedworks." + name for name in ("key", "mode", "upto", "pending", "buckets"))
+_KEY, _MODE, _UPTO, _PENDING, _COUNT, _RANK = (
+    "feedworks." + name for name in ("key", "mode", "upto", "pending", "buckets", "rank"))
 
 
 def keyed_upsert(df: DataFrame, table: str, key: str | list[str], order_by: list[str] = (),
                  batch_id: int | None = None, mode: str | None = None, path: str | None = None,
-                 buckets: int = BUCKETS) -> int:
+                 buckets: int = BUCKETS, replay_safe: bool = False) -> int:
     """Append ``df`` as a batch of inserts and updates; returns the batch id.
 
     Later batches win. Within a batch the row with the highest ``order_by`` wins;
@@ -55,6 +56,11 @@ def keyed_upsert(df: DataFrame, table: str, key: str | list[str], order_by: list
     the newest row as it is. The first call that names a mode when it writes, a batch or at the latest
     the first compaction (``merge`` by default), settles it for the table.
 
+    With ``replay_safe`` ``order_by``, like the place of a message in its log, decides between rows of
+    different batches too. What has been read before may then come again in any
+    batches, also under numbers of another checkpoint, and changes nothing. Such a table takes
+    newest rows whole (``replace``), keeps their order beside them, and numbers its batches itself.
+
     The first batch creates the table, with so many ``buckets``, below ``path`` if given.
     """
     spark, log = df.sparkSession, _log(table)
@@ -62,12 +68,22 @@ def keyed_upsert(df: DataFrame, table: str, key: str | list[str], order_by: list
     keys = [key] if isinstance(key, str) else list(key)
     if mode is not None and mode not in MODES:
         raise ValueError(f"unknown mode {mode}")
+    # Of the batch's own columns: a row has the same tie whatever columns the table has by then.
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in flat.columns]).alias("_tie")
+    order = F.struct(*order_by, tie)
+    if replay_safe:
+        if not order_by or mode == "merge":
+            raise ValueError("a replay-safe table needs an order, and takes newest rows whole")
+        mode, batch_id = "replace", None
     if not spark.catalog.tableExists(table):
         if path and partition_values(spark, f"{path}/log", "batch_id"):
             raise ValueError(f"{path} has batches of a table that the catalogue doesn't know")
-        create_table(spark, table, [*flat.schema, T.StructField(_BUCKET, T.IntegerType())], [_BUCKET],
-                     path and f"{path}/state", {_KEY: json.dumps(keys), _COUNT: str(buckets)})
+        kept = flat.withColumn(_ORDER, order).schema if replay_safe else flat.schema
+        create_table(spark, table, [*kept, T.StructField(_BUCKET, T.IntegerType())], [_BUCKET], path and f"{path}/state",
+                     {_KEY: json.dumps(keys), _COUNT: str(buckets), _RANK: "order" if replay_safe else "batch"})
     held = _held(spark, table, keys, mode)
+    if held["by_order"] != replay_safe:
+        raise ValueError(f"{table} is {'' if held['by_order'] else 'not '}replay-safe")
     rows = fitted(flat, table, but=_BUCKET, grow=True)
     for name in keys:
         missing = F.raise_error(F.lit(f"upsert of a row without {name}"))
@@ -80,8 +96,7 @@ def keyed_upsert(df: DataFrame, table: str, key: str | list[str], order_by: list
     if held["upto"] is not None and batch_id <= held["upto"]:
         # Already folded in, and the same rows: batches repeat as they were.
         return batch_id
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in flat.columns]).alias("_tie")
-    rows = rows.withColumn(_ORDER, F.struct(*order_by, tie))
+    rows = rows.withColumn(_ORDER, order)
     if logged:
         ordered = spark.table(log).schema[_ORDER].dataType
         if ordered.simpleString() != rows.schema[_ORDER].dataType.simpleString():
@@ -119,7 +134,8 @@ def _held(spark: SparkSession, table: str, keys: list[str] | None = None, mode:
         raise ValueError(f"the mode of {table} is {settled}")
     pending = json.loads(found.get(_PENDING) or "null")
     upto = pending["upto"] if pending else int(found[_UPTO]) if found.get(_UPTO) else None
-    return {"key": own, "mode": settled or mode, "buckets": int(found[_COUNT]), "pending": pending, "upto": upto}
+    return {"key": own, "mode": settled or mode, "buckets": int(found[_COUNT]), "pending": pending, "upto": upto,
+            "by_order": found.get(_RANK) == "order"}
 
 
 def _keys(key: str | list[str] | None) -> list[str] | None:
@@ -137,7 +153,7 @@ def current_state(spark: SparkSession, table: str, key: str | list[str] | None =
     for name in (table, _log(table)):
         if spark.catalog.tableExists(name):
             spark.catalog.refreshTable(name)
-    return _state(spark, table, held, None)
+    return _state(spark, table, held, None).drop(_ORDER)
 
 
 def _changes(spark: SparkSession, table: str, held: dict) -> DataFrame | None:
@@ -147,7 +163,8 @@ def _changes(spark: SparkSession, table: str, held: dict) -> DataFrame | None:
     if newest is None or newest <= upto:
         return None
     changes = spark.table(log).where(F.col("batch_id") > upto)
-    return changes.withColumn("_rank", F.struct("batch_id", f"{_ORDER}.*")).drop("batch_id", _ORDER)
+    rank = F.col(_ORDER) if held["by_order"] else F.struct("batch_id", f"{_ORDER}.*")
+    return changes.withColumn("_rank", rank).drop("batch_id", _ORDER)
 
 
 def _folded(spark: SparkSession, table: str, held: dict, buckets: list[int] | None) -> DataFrame:
@@ -164,7 +181,11 @@ def _state(spark: SparkSession, table: str, held: dict, buckets: list[int] | Non
     changes = _changes(spark, table, held)
     if changes is None:
         return folded
-    columns = folded.columns
+    columns = [c for c in folded.columns if c != _ORDER]
+    if held["by_order"]:
+        changes = changes.unionByName(folded.withColumnRenamed(_ORDER, "_rank"))
+        newest = F.max_by(F.struct(*[c for c in columns if c not in keys], F.col("_rank").alias(_ORDER)), "_rank")
+        return changes.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*columns, _ORDER)
     if held["upto"] is not None:
         # Every batch in the log is newer than what has been folded in.
         oldest = F.struct(*[F.lit(-1 if f.name == "batch_id" else None).cast(f.dataType).alias(f.name)
@@ -208,6 +229,7 @@ def compact(spark: SparkSession, table: str, key: str | list[str] | None = None,
         return newest
     copy = f"{table_location(spark, table)}/_pending_{newest}"
     state = _state(spark, table, held, touched).withColumn(_BUCKET, _bucket(held))
+    state = state.where(F.col(_BUCKET).isin(touched)) if held["by_order"] else state
     state.hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).mode("overwrite").parquet(copy)
     pending = {"upto": newest, "buckets": touched, "path": copy}
     set_properties(spark, table, {_PENDING: json.dumps(pending)})

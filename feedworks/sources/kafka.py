@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: The columns that tell a message's place in its topic: for the order of a replay-safe upsert.
+PLACE = ("topic", "partition", "offset")
+
+
 def kafka_options(servers: str, topic: str, *, starting: str = "latest",
                   group: str | None = None, max_offsets: int | None = None,
                   min_partitions: int | None = None) -> dict[str, str]:

@@ -128,14 +128,15 @@ def table_sink(table: str, path: str | None = None, per_batch: bool = True, grow
 
 
 def upsert_sink(table: str, key: str | list[str], order_by: list[str] = (), mode: str | None = None,
-                keyless: Sink | None = None, compact_every: int | None = 100, path: str | None = None) -> Sink:
+                keyless: Sink | None = None, compact_every: int | None = 100, path: str | None = None,
+                replay_safe: bool = False) -> Sink:
     """Keyed upsert table of the catalogue. Rows without a key go to ``keyless``; without such a sink they
     fail the batch. Every so many batches the table is compacted."""
     def write(batch: DataFrame, batch_id: int) -> None:
         if keyless:
             batch, others = with_key(batch, key)
             keyless(others, batch_id)
-        keyed_upsert(batch, table, key, order_by, batch_id, mode, path)
+        keyed_upsert(batch, table, key, order_by, batch_id, mode, path, replay_safe=replay_safe)
         if compact_every and batch_id and batch_id % compact_every == 0:
             compact(batch.sparkSession, table)
     return write

@@ -335,3 +335,26 @@ def test_batches_of_a_growing_table(spark, name):
     for _ in range(2):
         replace_batch(spark.createDataFrame([("y", 2)], "x string, id long"), name, 1, grow=True)
     assert sorted(tuple(r) for r in spark.table(name).select("id", "x", "batch_id").collect()) == [(1, None, 0), (2, "y", 1)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_replays_change_nothing(spark, name, seed):
+    """Messages read again in other batches, with compactions between, against a dict."""
+    rng = random.Random(seed)
+    log = [(rng.choice("abcdef"), i, rng.choice([None, f"v{i}"])) for i in range(120)]
+    reads = [log[0:40], log[10:70], log[0:5], log[60:120], log[30:90], log[0:120:7]]
+    for number, read in enumerate(reads):
+        rng.shuffle(read)
+        frame = spark.createDataFrame(read, "k string, offset long, v string").repartition(2)
+        keyed_upsert(frame, name, "k", ["offset"], batch_id=0, replay_safe=True)
+        if number in (1, 4):
+            compact(spark, name)
+            expire(spark, name)
+        seen = sorted({row for part in reads[:number + 1] for row in part}, key=lambda row: row[1])
+        expected = {k: (offset, v) for k, offset, v in seen}
+        state = current_state(spark, name)
+        assert state.columns == ["k", "offset", "v"]
+        assert {r.k: (r.offset, r.v) for r in state.collect()} == expected
+    for wrong in ({"replay_safe": False}, {"mode": "merge", "replay_safe": True}, {"order_by": [], "replay_safe": True}):
+        with pytest.raises(ValueError):
+            keyed_upsert(frame, **{"table": name, "key": "k", "order_by": ["offset"], **wrong})

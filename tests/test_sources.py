@@ -1,6 +1,7 @@
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource, DataSourceWriter, SimpleDataSourceStreamReader, WriterCommitMessage,
 )
@@ -11,7 +12,7 @@ from feedworks.schema import CORRUPT
 from feedworks.plans import jobs
 from feedworks.schema import MESSAGE_COLUMNS
 from feedworks.sinks import current_state, index_options, write_index
-from feedworks.sources import delimited, jdbc_options, kafka_options
+from feedworks.sources import balanced_predicates, delimited, jdbc_options, kafka_options
 from feedworks.streaming import upsert_sink
 
 
@@ -71,6 +72,23 @@ def test_jdbc_options():
         jdbc_options("jdbc:x", "wine", partition_column="id")
 
 
+@pytest.mark.parametrize("kind", ["skewed", "one value", "few", "doubles", "nulls"])
+def test_balanced_predicates(spark, kind):
+    skewed = F.expr("CAST(pow(id, 3) AS BIGINT)")
+    value = {"skewed": skewed, "one value": F.lit(7).cast("long"), "few": F.col("id") % 3, "doubles": F.exp(F.col("id") / 400),
+             "nulls": F.when(F.col("id") % 10 > 0, skewed)}[kind]
+    df = spark.range(4000).select(value.alias("v"))
+    # Values that the sample lacks count too.
+    predicates = balanced_predicates(df.where("v IS NOT NULL").sample(0.5, seed=1), "v", 8)
+    counts = [df.where(p).count() for p in predicates]
+    assert sum(counts) == 4000 and len(predicates) <= 8
+    met = sum((F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates), F.lit(0))
+    assert df.where(met != 1).count() == 0
+    if kind in ("skewed", "doubles"):
+        assert len(predicates) == 8 and max(counts) < 2 * 4000 / 8
+    assert balanced_predicates(df.where("v IS NOT NULL"), "v", 1) == ["1 = 1"]
+
+
 def test_kafka_options():
     assert kafka_options("h:1", "events", group="test1") == {
         "kafka.bootstrap.servers": "h:1", "subscribe": "events", "startingOffsets": "latest",

@@ -183,3 +183,29 @@ def test_upsert_sink_compacts(spark, tmp_path):
     state = {r.event_id: r.severity for r in current_state(spark, "compacting").collect()}
     assert len(state) == 6 and spark.table("compacting").count() > 0
     assert all(state[str(i)] == str(min(i, 4)) for i in range(1, 6)) or state["5"] == "4"
+
+
+def test_messages_read_again_in_other_batches(spark, tmp_path):
+    """A stream that begins anew, its checkpoint lost, at other batch borders."""
+    from feedworks.plans.jobs import message_ids
+    from feedworks.schema import MESSAGE_COLUMNS
+    from feedworks.sources import as_messages
+    from feedworks.sources.kafka import PLACE
+
+    filled = lambda **fields: ",".join(fields.get(c, "x") for c in MESSAGE_COLUMNS)
+    log = [(filled(NETWORK_ID=f"n{i}", EVENT_ID=f"e{i % 7}"), "t", i % 2, i // 2) for i in range(60)]
+    for part in range(6):
+        rows = [(None, text.encode(), topic, p, offset, None) for text, topic, p, offset in log[10 * part:10 * part + 10]]
+        spark.createDataFrame(rows, "key binary, value binary, topic string, partition int, offset long, timestamp timestamp").coalesce(
+            1).write.mode("append").parquet(str(tmp_path / "log"))
+    schema = spark.read.parquet(str(tmp_path / "log")).schema
+    sink = upsert_sink("replayed", "event_id", ["offset", "partition"], compact_every=2, replay_safe=True)
+    for number, files in enumerate([1, 4]):
+        stream = as_messages(spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(str(tmp_path / "log")))
+        run(stream, sink, transform=lambda rows: message_ids(rows, keep=PLACE), interval=None,
+            checkpoint=str(tmp_path / f"checkpoint{number}")).awaitTermination()
+        newest = {}
+        for text, _, p, offset in sorted(log, key=lambda row: (row[3], row[2])):
+            fields = dict(zip(MESSAGE_COLUMNS, text.split(",")))
+            newest[fields["EVENT_ID"]] = fields["NETWORK_ID"]
+        assert {r.event_id: r.network_id for r in current_state(spark, "replayed").collect()} == newest
