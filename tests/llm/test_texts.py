@@ -357,4 +357,4 @@ def test_placement(spark, tmp_path):
 
 
 def test_registered():
-    assert sorted(int(re.match(r"op(\d+)_", name).group(1)) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name).group(1)) for name in queries.QUERIES) == list(range(1, 14))
