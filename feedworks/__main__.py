@@ -14,9 +14,9 @@ from feedworks.streaming import files_sink, index_sink, table_sink, upsert_sink
 
 def _sink(args):
     if args.json:
-        return files_sink(args.json)
+        return files_sink(args.json, pack_every=args.pack_every)
     if args.table:
-        return table_sink(args.table)
+        return table_sink(args.table, pack_every=args.pack_every)
     if args.upsert:
         keyless = files_sink(f"{_quarantine(args)}_keyless")
         return upsert_sink(args.upsert, args.key, args.order_by, keyless=keyless)
@@ -41,6 +41,7 @@ def _add_sinks(command) -> None:
     command.add_argument("--index-nodes", default="localhost:9200")
     command.add_argument("--key", default="event_id")
     command.add_argument("--order-by", nargs="*", default=[])
+    command.add_argument("--pack-every", type=int, metavar="BATCHES", help="bring small files of earlier batches together")
     command.add_argument("--checkpoint", required=True)
     command.add_argument("--quarantine", metavar="FOLDER", help="broken records; beside the checkpoint by default")
     command.add_argument("--once", action="store_true", help="work off what is there and end")

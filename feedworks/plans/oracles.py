@@ -230,6 +230,8 @@ ORACLE_SQL = {
     "stream_skip_empty": _EVENT_IDS,
     "stream_interval": _EVENT_IDS,
     "stream_xml_table": _EVENTS_20,
+    "stream_files_packed": "SELECT * FROM events",
+    "stream_table_packed": "SELECT * FROM events",
     "stream_xml_upsert": _EVENTS_20,
     "stream_messages_ids": _select(
         {"network_id": _MESSAGE_FIELDS["NETWORK_ID"], "event_id": _MESSAGE_FIELDS["EVENT_ID"]}, "orders"),

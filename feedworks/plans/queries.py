@@ -399,6 +399,27 @@ def stream_xml_table(spark, sf_dir):
     return nested.flatten_structs(_without_table(spark, name, path).drop("batch_id"))
 
 
+def _event_stream(spark, sf_dir) -> DataFrame:
+    """``events`` in about eight batches."""
+    path = staging.event_files(spark, sf_dir)
+    files = -(-staging.n_files(table(spark, sf_dir, "events")) // 8)
+    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def stream_files_packed(spark, sf_dir):
+    """Files of batches that are packed every third one, as lines of JSON."""
+    path, events = workspace.new_path(spark, "stream-packed"), _event_stream(spark, sf_dir)
+    _work_off(spark, events, files_sink(path, pack_every=3), None)
+    return spark.read.schema(events.schema).options(**JSON_OPTIONS).json(path).drop("batch_id")
+
+
+def stream_table_packed(spark, sf_dir):
+    """A table of batches that are packed every third one."""
+    name, path = f"feedworks_packed_{uuid.uuid4().hex[:12]}", workspace.new_path(spark, "stream-table")
+    _work_off(spark, _event_stream(spark, sf_dir), table_sink(name, path, pack_every=3), None)
+    return _without_table(spark, name, path).drop("batch_id")
+
+
 def stream_xml_upsert(spark, sf_dir):
     place = _upsert_table(spark)
     sink = upsert_sink(key="event_id", order_by=["update_timestamp"], **place)
@@ -446,6 +467,7 @@ QUERIES = {f.__name__: f for f in [
     table_create_append, files_by_number, upsert_replace, upsert_merge, upsert_compacted,
     upsert_replace_compacted, upsert_replayed, upsert_new_column, upsert_from_csv,
     stream_large_document, stream_segments, table_new_columns, stream_xml_json, stream_xml_table, stream_xml_upsert, stream_xml_quarantine,
+    stream_files_packed, stream_table_packed,
     stream_row_counts, stream_skip_empty, stream_interval,
     stream_messages_ids, messages_decode_26, messages_decode_plain, messages_overflow, preview_top_n,
 ]}

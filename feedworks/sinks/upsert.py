@@ -30,7 +30,7 @@ from feedworks.sinks.tables import (
 )
 from feedworks.workspace import delete, partition_values
 
-_ORDER, _BUCKET = "_order", "_bucket"
+ORDER, _BUCKET = "_order", "_bucket"
 MODES = ("merge", "replace")
 #: Partitions of a new table. They bound how little a compaction may rewrite, not how many
 #: tasks write: a large bucket is written by several.
@@ -78,7 +78,7 @@ def keyed_upsert(df: DataFrame, table: str, key: str | list[str], order_by: list
     if not spark.catalog.tableExists(table):
         if path and partition_values(spark, f"{path}/log", "batch_id"):
             raise ValueError(f"{path} has batches of a table that the catalogue doesn't know")
-        kept = flat.withColumn(_ORDER, order).schema if replay_safe else flat.schema
+        kept = flat.withColumn(ORDER, order).schema if replay_safe else flat.schema
         create_table(spark, table, [*kept, T.StructField(_BUCKET, T.IntegerType())], [_BUCKET], path and f"{path}/state",
                      {_KEY: json.dumps(keys), _COUNT: str(buckets), _RANK: "order" if replay_safe else "batch"})
     held = _held(spark, table, keys, mode)
@@ -96,10 +96,10 @@ def keyed_upsert(df: DataFrame, table: str, key: str | list[str], order_by: list
     if held["upto"] is not None and batch_id <= held["upto"]:
         # Already folded in, and the same rows: batches repeat as they were.
         return batch_id
-    rows = rows.withColumn(_ORDER, order)
+    rows = rows.withColumn(ORDER, order)
     if logged:
-        ordered = spark.table(log).schema[_ORDER].dataType
-        if ordered.simpleString() != rows.schema[_ORDER].dataType.simpleString():
+        ordered = spark.table(log).schema[ORDER].dataType
+        if ordered.simpleString() != rows.schema[ORDER].dataType.simpleString():
             raise ValueError(f"batches of {table} are ordered by {', '.join(ordered.names[:-1]) or 'nothing'}")
         rows = fitted(rows, log, but="batch_id", grow=True)
     if mode:
@@ -153,7 +153,7 @@ def current_state(spark: SparkSession, table: str, key: str | list[str] | None =
     for name in (table, _log(table)):
         if spark.catalog.tableExists(name):
             spark.catalog.refreshTable(name)
-    return _state(spark, table, held, None).drop(_ORDER)
+    return _state(spark, table, held, None).drop(ORDER)
 
 
 def _changes(spark: SparkSession, table: str, held: dict) -> DataFrame | None:
@@ -163,8 +163,8 @@ def _changes(spark: SparkSession, table: str, held: dict) -> DataFrame | None:
     if newest is None or newest <= upto:
         return None
     changes = spark.table(log).where(F.col("batch_id") > upto)
-    rank = F.col(_ORDER) if held["by_order"] else F.struct("batch_id", f"{_ORDER}.*")
-    return changes.withColumn("_rank", rank).drop("batch_id", _ORDER)
+    rank = F.col(ORDER) if held["by_order"] else F.struct("batch_id", f"{ORDER}.*")
+    return changes.withColumn("_rank", rank).drop("batch_id", ORDER)
 
 
 def _folded(spark: SparkSession, table: str, held: dict, buckets: list[int] | None) -> DataFrame:
@@ -181,11 +181,11 @@ def _state(spark: SparkSession, table: str, held: dict, buckets: list[int] | Non
     changes = _changes(spark, table, held)
     if changes is None:
         return folded
-    columns = [c for c in folded.columns if c != _ORDER]
+    columns = [c for c in folded.columns if c != ORDER]
     if held["by_order"]:
-        changes = changes.unionByName(folded.withColumnRenamed(_ORDER, "_rank"))
-        newest = F.max_by(F.struct(*[c for c in columns if c not in keys], F.col("_rank").alias(_ORDER)), "_rank")
-        return changes.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*columns, _ORDER)
+        changes = changes.unionByName(folded.withColumnRenamed(ORDER, "_rank"))
+        newest = F.max_by(F.struct(*[c for c in columns if c not in keys], F.col("_rank").alias(ORDER)), "_rank")
+        return changes.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*columns, ORDER)
     if held["upto"] is not None:
         # Every batch in the log is newer than what has been folded in.
         oldest = F.struct(*[F.lit(-1 if f.name == "batch_id" else None).cast(f.dataType).alias(f.name)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from feedworks.sinks import compact, create_or_append, keyed_upsert, write_batch, write_index
+from feedworks.sinks.small_files import TARGET_BYTES, check_packable, finish_files, finish_table, pack_files, pack_table
 from feedworks.sinks.tables import replace_batch
 from feedworks.sinks.upsert import with_key
 
@@ -107,20 +108,44 @@ def input_rows(query: StreamingQuery) -> int:
     return _of_run[str(query.runId)].total(str(query.runId), last["batchId"]) if last else 0
 
 
-def files_sink(path: str, fmt: str = "json", **options) -> Sink:
-    """Files in one partition per batch."""
-    return lambda batch, batch_id: write_batch(batch, path, batch_id, fmt, **options)
+def files_sink(path: str, fmt: str = "json", pack_every: int | None = None, target_bytes: int = TARGET_BYTES,
+               **options) -> Sink:
+    """Files in one partition per batch. Every ``pack_every`` batches the earlier ones are packed into
+    files of about ``target_bytes``, see :mod:`feedworks.sinks.small_files`."""
+    if pack_every:
+        check_packable(fmt)
+    kept = {name: value for name, value in options.items() if name == "compression"}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if pack_every:
+            finish_files(batch.sparkSession, path)
+        write_batch(batch, path, batch_id, fmt, **options)
+        if _due(batch_id, pack_every):
+            pack_files(batch.sparkSession, path, fmt, target_bytes, **kept)
+    return write
+
+
+def _due(batch_id: int, every: int | None) -> bool:
+    return bool(every and batch_id and batch_id % every == 0)
 
 
-def table_sink(table: str, path: str | None = None, per_batch: bool = True, grow: bool = False) -> Sink:
+def table_sink(table: str, path: str | None = None, per_batch: bool = True, grow: bool = False,
+               pack_every: int | None = None, target_bytes: int = TARGET_BYTES) -> Sink:
     """Catalogue table, created by the first batch; ``grow`` lets it take on columns.
 
-    With a partition per batch a repeated batch replaces itself. ``per_batch=False``
-    appends without such a column; a batch repeated after a failure is then there
-    twice.
+    With a partition per batch a repeated batch replaces itself, and earlier batches can be packed as
+    :func:`files_sink` does. ``per_batch=False`` appends without such a column; a batch repeated after
+    a failure is then there twice.
     """
     if per_batch:
-        return lambda batch, batch_id: replace_batch(batch, table, batch_id, path, grow)
+        def write(batch: DataFrame, batch_id: int) -> None:
+            spark = batch.sparkSession
+            if pack_every and spark.catalog.tableExists(table):
+                finish_table(spark, table)
+            replace_batch(batch, table, batch_id, path, grow)
+            if _due(batch_id, pack_every):
+                pack_table(spark, table, target_bytes)
+        return write
 
     def append(batch: DataFrame, batch_id: int) -> None:
         create_or_append(batch, table, path=path, grow=grow)
@@ -137,7 +162,7 @@ def upsert_sink(table: str, key: str | list[str], order_by: list[str] = (), mode
             batch, others = with_key(batch, key)
             keyless(others, batch_id)
         keyed_upsert(batch, table, key, order_by, batch_id, mode, path, replay_safe=replay_safe)
-        if compact_every and batch_id and batch_id % compact_every == 0:
+        if _due(batch_id, compact_every):
             compact(batch.sparkSession, table)
     return write
 

@@ -88,6 +88,23 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes and number of the data files in a folder."""
+    fs, folder = _folder(spark, path)
+    files = [status for status in fs.listStatus(folder) if not status.getPath().getName().startswith(("_", "."))]
+    return sum(status.getLen() for status in files), len(files)
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Put the folder ``path``, if there is one, in the place of ``target``."""
+    fs, folder = _folder(spark, path)
+    if fs.exists(folder):
+        _, place = _folder(spark, target)
+        fs.delete(place, True)
+        if not fs.rename(folder, place):
+            raise OSError(f"{path} could not be moved to {target}")
+
+
 def read_note(spark: SparkSession, path: str, name: str) -> dict:
     """The note ``name`` beside the data in ``path``; empty where there is none.
     File readers pass over it."""
