@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedworks.functions import row_json
 from feedworks.operators.nested import flatten_structs
-from feedworks.workspace import partition_values, read_note, write_note
+from feedworks.workspace import delete, partition_values, read_note, write_note
 
 # Spark's default pattern stops at milliseconds, and its CSV writer trims blanks.
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
@@ -51,6 +51,11 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", *
     write_note(spark, path, "batches", {"newest": int(batch_id)})
 
 
+def retract_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Take back what a batch wrote below ``path``. Its number stays the newest."""
+    delete(spark, f"{path}/batch_id={int(batch_id)}")
+
+
 def newest_batch(spark: SparkSession, path: str) -> int | None:
     """The number of the last batch below ``path``. Outputs without a note are listed once."""
     noted = read_note(spark, path, "batches").get("newest")

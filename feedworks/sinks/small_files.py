@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from feedworks.sinks.files import newest_batch
 from feedworks.sinks.tables import (
-    newest_table_batch, overwrite_partitions, properties, set_properties, table_location,
+    drop_batch, newest_table_batch, overwrite_partitions, properties, set_properties, table_location,
 )
 from feedworks.sinks.upsert import ORDER
 from feedworks.workspace import delete, folder_size, move, partition_values, read_note, write_note
@@ -173,13 +173,7 @@ def finish_table(spark: SparkSession, table: str) -> None:
     folder = table_location(spark, table)
     copy = f"{folder}/{_COPY}"
     overwrite_partitions(spark.read.schema(spark.table(table).schema).parquet(copy), table)
-    earlier = [number for run in runs for number in run[:-1]]
-    if earlier:
-        listed = ", ".join(f"PARTITION (batch_id = {number})" for number in earlier)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {listed}")
-        for number in earlier:
-            # Of a table at a path of its own the catalogue drops the entry only.
-            delete(spark, f"{folder}/batch_id={number}")
+    drop_batch(spark, table, *[number for run in runs for number in run[:-1]])
     set_properties(spark, table, {_PACKING: ""})
     delete(spark, copy)
     spark.catalog.refreshTable(table)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedworks.sinks.files import check_batch
+from feedworks.workspace import delete
 
 
 def create_or_append(df: DataFrame, table: str, view: str | None = None,
@@ -84,8 +85,9 @@ def set_properties(spark: SparkSession, table: str, settings: dict[str, str]) ->
 
 
 def table_location(spark: SparkSession, table: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
-    return described.first()["data_type"].rstrip("/")
+    # Collected as it is: a filter on it would be a job.
+    described = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return described["Location"].rstrip("/")
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
@@ -123,6 +125,17 @@ def replace_batch(df: DataFrame, table: str, batch_id: int, path: str | None = N
     set_properties(spark, table, {_NEWEST: str(batch_id)})
 
 
+def drop_batch(spark: SparkSession, table: str, *batch_ids: int) -> None:
+    """Take the partitions of batches out of ``table``. Its newest number stays."""
+    listed = ", ".join(f"PARTITION (batch_id = {int(number)})" for number in batch_ids)
+    if listed:
+        folder = table_location(spark, table)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {listed}")
+        for number in batch_ids:
+            # Of a table at a path of its own the catalogue drops the entry only.
+            delete(spark, f"{folder}/batch_id={int(number)}")
+
+
 def newest_table_batch(spark: SparkSession, table: str) -> int | None:
     """The newest batch by the table's property; tables without it are looked through once."""
     noted = properties(spark, table)

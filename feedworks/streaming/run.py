@@ -12,13 +12,14 @@ import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from feedworks.sinks import compact, create_or_append, keyed_upsert, write_batch, write_index
+from feedworks.sinks.files import retract_batch
 from feedworks.sinks.small_files import TARGET_BYTES, check_packable, finish_files, finish_table, pack_files, pack_table
-from feedworks.sinks.tables import replace_batch
+from feedworks.sinks.tables import drop_batch, replace_batch
 from feedworks.sinks.upsert import with_key
 
 class _InputRows(StreamingQueryListener):
@@ -82,14 +83,22 @@ def run(source: DataFrame, sink: Sink, *, checkpoint: str,
 
     ``interval=None`` works off what is there, in batches bounded by the
     source's options, and ends. Sources fire no batch without
-    new input; ``skip_empty`` also keeps a batch from the sink whose input gives
-    no row, at the price of a job that looks for the first one.
+    new input; ``skip_empty`` also leaves out a batch whose input gives no row. Its rows are
+    counted while file and table sinks write them, and what an empty batch wrote is taken
+    back, so that this needs no job of its own. Other sinks don't see such a batch, at the price of a job
+    that looks for its first row.
     """
     stream = transform(source) if transform else source
     listener = _listener(source.sparkSession)
+    retract = getattr(sink, "retract", None)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        if not (skip_empty and batch.isEmpty()):
+        if skip_empty and retract:
+            seen = Observation()
+            sink(batch.observe(seen, F.count(F.lit(1)).alias("rows")), batch_id)
+            if not seen.get["rows"]:
+                retract(batch.sparkSession, batch_id)
+        elif not (skip_empty and batch.isEmpty()):
             sink(batch, batch_id)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
@@ -122,6 +131,7 @@ def files_sink(path: str, fmt: str = "json", pack_every: int | None = None, targ
         write_batch(batch, path, batch_id, fmt, **options)
         if _due(batch_id, pack_every):
             pack_files(batch.sparkSession, path, fmt, target_bytes, **kept)
+    write.retract = lambda spark, batch_id: retract_batch(spark, path, batch_id)
     return write
 
 
@@ -145,6 +155,7 @@ def table_sink(table: str, path: str | None = None, per_batch: bool = True, grow
             replace_batch(batch, table, batch_id, path, grow)
             if _due(batch_id, pack_every):
                 pack_table(spark, table, target_bytes)
+        write.retract = lambda spark, batch_id: drop_batch(spark, table, batch_id)
         return write
 
     def append(batch: DataFrame, batch_id: int) -> None:

@@ -157,7 +157,7 @@ def test_files_cut_short(spark, tmp_path, monkeypatch, at):
     assert rows_of(spark, path, "parquet") == [*before, (50, "word 1")]
 
 
-@pytest.mark.parametrize("step", ["overwrite_partitions", "delete"])
+@pytest.mark.parametrize("step", ["overwrite_partitions", "drop_batch", "delete"])
 def test_tables_are_packed_also_when_cut_short(spark, table, monkeypatch, step):
     name, path = table
     for i in range(6):
