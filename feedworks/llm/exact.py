@@ -18,6 +18,7 @@ has a null ``keep_id``; no rows give no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,8 +27,10 @@ from pyspark.sql import functions as F
 from feedworks import workspace
 from feedworks.llm.rows import ROW, broadcast_if_small, lower_ascii, numbered, text_of
 
-#: Keys a bucket holds before it splits, and the depth at which splitting ends.
-BUCKET_KEYS, MOST_BITS = 4096, 16
+#: Keys a bucket holds before it splits, and the least number of bits that a directory may tell apart.
+BUCKET_KEYS, LEAST_BITS = 4096, 16
+#: Bits beyond those that as many buckets as the keys fill need, for buckets that are fuller than others.
+_MORE_BITS = 4
 
 Hash = Callable[[Column], Column]
 
@@ -37,26 +40,32 @@ def _normal_texts(docs: DataFrame, key: Hash) -> DataFrame:
     return rows.withColumn("key", key(F.col("normal")))
 
 
-def directory(keys: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
-    """The bucket of each key prefix of :data:`MOST_BITS` bits that occurs in ``keys``.
+def directory_bits(n_keys: int, bucket_keys: int = BUCKET_KEYS) -> int:
+    """The depth at which splitting ends, which grows with the number of keys."""
+    return min(63, max(LEAST_BITS, math.ceil(math.log2(max(1, n_keys) / bucket_keys)) + _MORE_BITS))
+
+
+def directory(keys: DataFrame, bits: int, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+    """The bucket of each key prefix of so many bits that occurs in ``keys``.
 
     A prefix's depth is the number of doublings after which its bucket holds no
-    more than ``bucket_keys`` keys. At most ``2 ** MOST_BITS`` rows.
+    more than ``bucket_keys`` keys.
     """
-    counts = keys.groupBy(_prefix().alias("prefix")).agg(F.count("*").alias("keys"))
-    levels = counts.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(MOST_BITS))))
-    levels = levels.withColumn("bucket", F.expr(f"shiftright(prefix, {MOST_BITS} - depth)"))
+    counts = keys.groupBy(_prefix(bits).alias("prefix")).agg(F.count("*").alias("keys"))
+    levels = counts.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(bits))))
+    levels = levels.withColumn("bucket", F.expr(f"shiftright(prefix, {bits} - depth)"))
     held = levels.groupBy("depth", "bucket").agg(F.sum("keys").alias("held"))
-    fits = (F.col("held") <= bucket_keys) | (F.col("depth") == MOST_BITS)
-    # At most 2 ** (MOST_BITS + 1) nodes, so they can be sent to every task.
-    depths = (levels.join(F.broadcast(held), ["depth", "bucket"]).filter(fits)
+    fits = (F.col("held") <= bucket_keys) | (F.col("depth") == bits)
+    # A directory of the least size has at most 2 ** (LEAST_BITS + 1) nodes, which can be sent to every task.
+    nodes = F.broadcast(held) if bits <= LEAST_BITS else held
+    depths = (levels.join(nodes, ["depth", "bucket"]).filter(fits)
               .groupBy("prefix").agg(F.min("depth").alias("depth")))
-    start = F.expr(f"shiftleft(shiftright(prefix, {MOST_BITS} - depth), {MOST_BITS} - depth)")
+    start = F.expr(f"shiftleft(shiftright(prefix, {bits} - depth), {bits} - depth)")
     return depths.select("prefix", "depth", start.alias("bucket"))
 
 
-def _prefix() -> Column:
-    return F.shiftrightunsigned("key", 64 - MOST_BITS).cast("int")
+def _prefix(bits: int) -> Column:
+    return F.shiftrightunsigned("key", 64 - bits)
 
 
 def build_index(docs: DataFrame, rows: DataFrame, key: Hash, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
@@ -68,7 +77,8 @@ def build_index(docs: DataFrame, rows: DataFrame, key: Hash, bucket_keys: int =
     compared = _compare(_with_key_in(_normal_texts(docs, key), per_key.filter("group_size > 1").select("key")))
     compared = compared.join(alone, "key", "left_anti").select(alone.columns)
     entries = alone.unionByName(compared)
-    owned = (entries.withColumn("prefix", _prefix()).join(directory(per_key, bucket_keys), "prefix")
+    bits = directory_bits(per_key.count(), bucket_keys)
+    owned = (entries.withColumn("prefix", _prefix(bits)).join(directory(per_key, bits, bucket_keys), "prefix")
              .repartition("bucket").sortWithinPartitions("bucket", "key"))
     chain = Window.partitionBy("bucket", "key")
     return workspace.materialise(owned.select(

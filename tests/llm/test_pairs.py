@@ -51,20 +51,36 @@ def test_exact_of_many_keys_compares_without_a_broadcast(spark, tmp_path, monkey
     assert plain(exact.exact_groups(documents(spark, rows, tmp_path / "docs")), *EXACT) == exact_by_hand(rows)
 
 
-def test_directory_splits_overfull_buckets_only(spark):
+@pytest.mark.parametrize("least", [16, 3])
+def test_directory_splits_overfull_buckets_only(spark, monkeypatch, least):
+    monkeypatch.setattr(exact, "LEAST_BITS", least)
+    bits = exact.directory_bits(4000, 100)
+    assert bits == max(least, 10)
     # Half of the keys share their first bits, so their buckets need more doublings.
     keys = spark.createDataFrame([((i << 40) if i % 2 else (i * 0x9E3779B97F4A7C15) % (1 << 63),) for i in range(4000)], "key long")
-    rows = exact.directory(keys, 100).collect()
+    rows = exact.directory(keys, bits, 100).collect()
     held = Counter()
     bucket = {row["prefix"]: row for row in rows}
     for (key,) in keys.collect():
-        held[bucket[key >> 48]["bucket"]] += 1
+        held[bucket[key >> (64 - bits)]["bucket"]] += 1
     for row in rows:
-        assert held[row["bucket"]] <= 100 or row["depth"] == exact.MOST_BITS
-        assert row["bucket"] == row["prefix"] >> (16 - row["depth"]) << (16 - row["depth"])
+        assert held[row["bucket"]] <= 100 or row["depth"] == bits
+        assert row["bucket"] == row["prefix"] >> (bits - row["depth"]) << (bits - row["depth"])
     assert len({row["depth"] for row in rows}) > 1
 
 
+def test_depth_follows_the_number_of_keys():
+    assert exact.directory_bits(0) == exact.directory_bits(1 << 24) == 16
+    assert [exact.directory_bits(1 << n) for n in (25, 30, 37, 80)] == [17, 22, 29, 63]
+
+
+def test_exact_in_a_deep_directory(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exact, "LEAST_BITS", 1)
+    rows = awkward(120, 3)
+    found = exact.exact_groups(documents(spark, rows, tmp_path / "docs"), bucket_keys=2)
+    assert plain(found, *EXACT) == exact_by_hand(rows)
+
+
 def test_exact_empty(spark):
     assert exact.exact_groups(documents(spark, [])).collect() == []
 
