@@ -17,6 +17,7 @@ from feedworks.schema import ACCESSION_TAG, MESSAGE_COLUMNS, ROW_TAG
 from feedworks.sinks.files import CSV_OPTIONS
 
 EVENTS_PER_RECORD = 64
+_RECORDS_PER_WHOLE_FILE = 256
 _ROWS_PER_FILE = 250_000
 _LEAST_FILES = 4
 
@@ -43,47 +44,66 @@ def n_files(df: DataFrame) -> int:
     return max(_LEAST_FILES, -(-df.count() // _ROWS_PER_FILE))
 
 
-def feed_events(events: DataFrame) -> DataFrame:
-    """Events in the shape of the feed, every leaf as text."""
-    k = F.get_json_object("props", "$.k")
-    text = lambda c: c.cast("string")
-    unless = lambda kind, c: F.when(F.col("event_type") != kind, c)
-    event = F.struct(
-        text(F.col("event_id")).alias("_id"),
-        text(F.col("ts")).alias("updateTimestamp"),
-        text(F.floor("value")).alias("severity"),
-        F.col("event_type").alias("updateType"),
-        F.struct(k.alias("locationId"), text(F.col("value")).alias("lat"),
-                 text(0 - F.col("value") / 2).alias("lon")).alias("primaryLoc"),
-        F.when(F.col("event_type") == "error", "closed").otherwise("open").alias("status"),
-        F.concat(F.lit("net-"), text(F.col("user_id"))).alias("source"),
-        unless("view", F.concat(F.lit("ops & <"), text(F.col("user_id")), F.lit(">"))).alias("contact"),
+#: What a feed takes from ``events``. Rows move as these; their XML, ten times as large, is made where it is written.
+_EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _text(column: Column) -> Column:
+    return column.cast("string")
+
+
+def _network_name(user: Column) -> Column:
+    return F.concat(F.lit("user-"), _text(user))
+
+
+def _feed_event(of: Callable[[str], Column]) -> Column:
+    """An event in the shape of the feed; ``of`` gives the columns of its row."""
+    kind, value, k = of("event_type"), of("value"), F.get_json_object(of("props"), "$.k")
+    unless = lambda other, c: F.when(kind != other, c)
+    return F.struct(
+        _text(of("event_id")).alias("_id"),
+        _text(of("ts")).alias("updateTimestamp"),
+        _text(F.floor(value)).alias("severity"),
+        kind.alias("updateType"),
+        F.struct(k.alias("locationId"), _text(value).alias("lat"),
+                 _text(0 - value / 2).alias("lon")).alias("primaryLoc"),
+        F.when(kind == "error", "closed").otherwise("open").alias("status"),
+        F.concat(F.lit("net-"), _text(of("user_id"))).alias("source"),
+        unless("view", F.concat(F.lit("ops & <"), _text(of("user_id")), F.lit(">"))).alias("contact"),
         unless("signup", F.struct(F.concat(F.lit("M"), k).alias("code1"))).alias("messageCodes"),
-        F.struct(text(F.col("user_id") % 4).alias("_lane1"),
-                 F.concat(F.lit("lane "), F.col("event_type")).alias("_VALUE")).alias("affectedLanes"),
-        F.struct(F.col("event_type").alias("_VALUE")).alias("type"),
-        F.concat(F.lit("Événement "), F.col("event_type")).alias("typeDesc"),
-        F.struct(F.when(F.col("value") < 10, "dry").otherwise("wet").alias("_VALUE")).alias("roadCond"),
-        F.struct(F.when(F.col("value") < 5, "clear").otherwise("rain").alias("_VALUE")).alias("weatherCond"),
-        text(F.expr("ts - INTERVAL '1' HOUR")).alias("startTimestamp"),
-        unless("purchase", F.struct(k.alias("severity"), text(F.col("ts")).alias("timestamp")))
+        F.struct(_text(of("user_id") % 4).alias("_lane1"),
+                 F.concat(F.lit("lane "), kind).alias("_VALUE")).alias("affectedLanes"),
+        F.struct(kind.alias("_VALUE")).alias("type"),
+        F.concat(F.lit("Événement "), kind).alias("typeDesc"),
+        F.struct(F.when(value < 10, "dry").otherwise("wet").alias("_VALUE")).alias("roadCond"),
+        F.struct(F.when(value < 5, "clear").otherwise("rain").alias("_VALUE")).alias("weatherCond"),
+        _text(of("ts") - F.expr("INTERVAL '1' HOUR")).alias("startTimestamp"),
+        unless("purchase", F.struct(k.alias("severity"), _text(of("ts")).alias("timestamp")))
         .alias("atisSeverity"))
-    return events.select("event_id", "event_type", text(F.col("user_id")).alias("_id"),
-                         F.concat(F.lit("user-"), text(F.col("user_id"))).alias("_name"), event.alias("event"))
+
+
+#: A line per element; deep indents would be half of a feed.
+_XML_OPTIONS = {"indent": " "}
 
 
 def _xml(net: Column) -> Column:
-    return F.to_xml(F.struct(net.alias("net")), {"rowTag": ROW_TAG})
+    return F.to_xml(F.struct(net.alias("net")), {"rowTag": ROW_TAG, **_XML_OPTIONS})
 
 
 def _records(events: DataFrame) -> DataFrame:
     """Records of at most EVENTS_PER_RECORD events, ids being unique; within a
     record the events stand below their networks. One shuffle."""
-    return (feed_events(events)
-            .withColumn("record", F.floor(F.col("event_id") / EVENTS_PER_RECORD))
+    def network(net: Column) -> Column:
+        event = lambda row: _feed_event(lambda name: net["user_id"] if name == "user_id" else row[name])
+        return F.struct(_text(net["user_id"]).alias("_id"), _network_name(net["user_id"]).alias("_name"),
+                        F.transform(net["rows"], event).alias("event"))
+
+    row = F.struct(*[c for c in _EVENT_COLUMNS if c != "user_id"])
+    return (events.select(*_EVENT_COLUMNS, F.floor(F.col("event_id") / EVENTS_PER_RECORD).alias("record"))
             .repartition(n_files(events), "record")
-            .groupBy("record", "_id", "_name").agg(F.collect_list("event").alias("event"))
-            .groupBy("record").agg(F.collect_list(F.struct("_id", "_name", "event")).alias("net")))
+            .groupBy("record", "user_id").agg(F.collect_list(row).alias("rows"))
+            .groupBy("record").agg(F.collect_list(F.struct("user_id", "rows")).alias("nets"))
+            .select("record", F.transform("nets", network).alias("net")))
 
 
 @_once
@@ -95,9 +115,11 @@ def events_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 @_once
 def wrapped_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """``events`` as complete XML files, the records inside a root element."""
+    """``events`` as complete XML files, the records inside a root element; of a size at which
+    a file can be read in one piece."""
     records = _records(table(spark, sf_dir, "events"))
-    records.select("net").write.format("xml").options(rowTag=ROW_TAG, rootTag="feed").save(path)
+    (records.select("net").write.format("xml")
+     .options(rowTag=ROW_TAG, rootTag="feed", maxRecordsPerFile=_RECORDS_PER_WHOLE_FILE, **_XML_OPTIONS).save(path))
 
 
 @_once
@@ -115,8 +137,9 @@ def broken_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
     damaged start tag, and those of clicks, last in their files, are cut off: within
     the event, or for odd ids after the network."""
     events = table(spark, sf_dir, "events")
-    xml = F.trim(_xml(F.array(F.struct("_id", "_name", F.array("event").alias("event")))))
-    kind, cut = F.col("event_type"), F.col("event_type") == "click"
+    kind, cut, user = F.col("event_type"), F.col("event_type") == "click", F.col("user_id")
+    xml = F.trim(_xml(F.array(F.struct(_text(user).alias("_id"), _network_name(user).alias("_name"),
+                                       F.array(_feed_event(F.col)).alias("event")))))
     after_child = F.concat(F.substring_index(xml, "</severity>", 1), F.lit("</severity>"))
     after_net = F.concat(F.substring_index(xml, "</net>", 1), F.lit("</net>"))
     broken = (F.when(kind == "error", F.regexp_replace(xml, "</status>", ""))
@@ -126,18 +149,17 @@ def broken_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
               .otherwise(xml))
     # A damaged start tag behind a cut-off record would be part of that record.
     rank = F.when(cut, 2).when(kind == "purchase", 1).otherwise(0)
-    (feed_events(events).withColumn("rank", rank).repartition(n_files(events), "event_id")
+    (events.select(*_EVENT_COLUMNS, rank.alias("rank")).repartition(n_files(events), "event_id")
      .sortWithinPartitions("rank", "event_id").select(broken.alias("value")).write.text(path))
 
 
 @_once
 def half_empty_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
     """The feed, and as many files again of networks without events."""
-    feed = spark.read.text(events_xml(spark, sf_dir), wholetext=True).withColumn("file", F.monotonically_increasing_id())
+    events = table(spark, sf_dir, "events")
+    feed, n = _records(events).select(_xml(F.col("net")).alias("value")), n_files(events)
     networks = F.lit(f'<{ROW_TAG}><net id="1"></net></{ROW_TAG}>')
-    (feed.select("value", "file", F.lit(0).alias("kind"))
-     .unionByName(feed.select(networks.alias("value"), "file", F.lit(1).alias("kind")))
-     .repartition("file", "kind").select("value").write.option("maxRecordsPerFile", 1).text(path))
+    feed.union(spark.range(0, n, 1, n).select(networks.alias("value"))).write.text(path)
 
 
 @_once
@@ -150,19 +172,19 @@ def event_files(spark: SparkSession, sf_dir: str, path: str) -> None:
 @_once
 def large_document(spark: SparkSession, sf_dir: str, path: str) -> None:
     """``events`` as a single document over all files, a network per user."""
-    events = feed_events(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
+    user, networks = F.col("user_id"), events.select("user_id").distinct()
+    name = F.to_xml(F.struct(_text(user).alias("_id"), _network_name(user).alias("_name")), {"rowTag": "net"})
     # Lines of a network: 0 its start, 1 its events, 2 its end.
-    networks = events.select("_id", "_name").distinct()
-    name = F.to_xml(F.struct("_id", "_name"), {"rowTag": "net"})
-    lines = (networks.select("_id", F.lit(0).alias("line"), F.lit(-1).cast("long").alias("event_id"),
-                             F.regexp_replace(name, r"\s*/>\s*$|>\s*</net>\s*$", ">").alias("value"))
-             .unionByName(events.select("_id", F.lit(1).alias("line"), "event_id",
-                                        F.to_xml("event", {"rowTag": "event"}).alias("value")))
-             .unionByName(networks.select("_id", F.lit(2).alias("line"),
-                                          F.lit(-1).cast("long").alias("event_id"),
-                                          F.lit("</net>").alias("value"))))
-    (lines.repartitionByRange(n_files(events), "_id", "line", "event_id")
-     .sortWithinPartitions("_id", "line", "event_id").select("value").write.text(path))
+    kinds = [networks.select("user_id", F.lit(number).alias("line"), F.lit(-1).cast("long").alias("event_id")) for number in (0, 2)]
+    lines = events.select(*_EVENT_COLUMNS, F.lit(1).alias("line"))
+    for ends in kinds:
+        lines = lines.unionByName(ends, allowMissingColumns=True)
+    value = (F.when(F.col("line") == 0, F.regexp_replace(name, r"\s*/>\s*$|>\s*</net>\s*$", ">"))
+             .when(F.col("line") == 1, F.to_xml(_feed_event(F.col), {"rowTag": "event", **_XML_OPTIONS}))
+             .otherwise("</net>"))
+    (lines.withColumn("_id", _text(user)).repartitionByRange(n_files(events), "_id", "line", "event_id")
+     .sortWithinPartitions("_id", "line", "event_id").select(value.alias("value")).write.text(path))
     workspace.age_in_order(spark, path)
 
 
