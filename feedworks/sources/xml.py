@@ -35,12 +35,15 @@ def _parse_fragments(df: DataFrame, text, schema: T.StructType, row_tag: str,
     # Parsing inside the generator: a filter on the parsed columns, also one that
     # Catalyst infers for a later explode, would otherwise be pushed below the
     # projection and parse every record once more.
-    schema = with_corrupt(schema)
-    records = F.transform(xml_fragments(text, row_tag), lambda x: F.when(
-        x.startswith(f"<{row_tag}"), F.from_xml(x, schema, _PARSE)).otherwise(_set_aside(x, schema)))
+    records = F.transform(xml_fragments(text, row_tag), lambda x: _parsed(x, schema, row_tag))
     return df.select(*keep, F.inline(records))
 
 
+def _parsed(fragment, schema: T.StructType, row_tag: str):
+    schema = with_corrupt(schema)
+    return F.when(fragment.startswith(f"<{row_tag}"), F.from_xml(fragment, schema, _PARSE)).otherwise(_set_aside(fragment, schema))
+
+
 def _set_aside(text, schema: T.StructType):
     """A record of ``schema`` that holds nothing but corrupt text."""
     return F.struct(*[(text if f.name == CORRUPT else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
@@ -69,7 +72,10 @@ def xml_records(spark: SparkSession, path: str | list[str],
     """
     if whole_files:
         files = spark.read.options(**options).text(path, wholetext=True)
-        return _parse_fragments(files, F.regexp_replace("value", r"(?s)<!--.*?-->", ""), schema, row_tag)
+        text = F.regexp_replace("value", r"(?s)<!--.*?-->", "")
+        # A generator holds all it makes of a row: of a whole file these are texts, and parsed is one at a time.
+        fragments = files.select(F.explode(xml_fragments(text, row_tag)).alias("_fragment"))
+        return fragments.select(F.inline(F.array(_parsed(F.col("_fragment"), schema, row_tag))))
     lines = spark.read.options(lineSep=_line_end(row_tag), **options).text(path)
     return _parse_fragments(lines, _closed(row_tag), schema, row_tag)
 
