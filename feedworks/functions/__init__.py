@@ -56,11 +56,8 @@ def tag_pieces(text: Column, *tags: str) -> Column:
         opening = f"<{tags[0]}"
         pieces = F.split(text, rf"{opening}(?=[\s/>])", -1)
         return F.transform(pieces, lambda p, i: F.when(i > 0, F.concat(F.lit(opening), p)).otherwise(p))
-    # A cut at the very start gives no empty piece.
-    pieces = F.split(text, rf"(?=<(?:{'|'.join(tags)})[\s/>])", -1)
-    at_once = rf"^<(?:{'|'.join(tags)})[\s/>]"
-    return bound(pieces, lambda p: F.when(
-        F.get(p, F.lit(0)).rlike(at_once), F.concat(F.array(F.lit("")), p)).otherwise(p))
+    pieces = F.split(text, rf"<(?=(?:{'|'.join(tags)})[\s/>])", -1)
+    return F.transform(pieces, lambda p, i: F.when(i > 0, F.concat(F.lit("<"), p)).otherwise(p))
 
 
 def cut_at_end(piece: Column, tag: str) -> Column:
