@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from feedworks.sinks.files import newest_batch
 from feedworks.sinks.tables import (
     drop_batch, newest_table_batch, overwrite_partitions, properties, set_properties, table_location,
+    unsorted_partitions,
 )
 from feedworks.sinks.upsert import ORDER
 from feedworks.workspace import delete, folder_size, move, partition_values, read_note, write_note
@@ -93,7 +94,8 @@ def _write_runs(rows: DataFrame, runs: list[list[Sized]], target: int, copy: str
     dealt = (rows.withColumn("batch_id", F.col("batch_id").cast("long")).join(F.broadcast(placed), "batch_id")
              .withColumn("_task", task).repartitionById(first, "_task")
              .withColumn("batch_id", F.col("_last")).drop("_last", "_first", "_parts", "_task"))
-    dealt.write.partitionBy("batch_id").mode("overwrite").format(fmt).options(**options).save(copy)
+    with unsorted_partitions(rows.sparkSession):
+        dealt.write.partitionBy("batch_id").mode("overwrite").format(fmt).options(**options).save(copy)
 
 
 def check_packable(fmt: str) -> None:
@@ -172,7 +174,8 @@ def finish_table(spark: SparkSession, table: str) -> None:
         return
     folder = table_location(spark, table)
     copy = f"{folder}/{_COPY}"
-    overwrite_partitions(spark.read.schema(spark.table(table).schema).parquet(copy), table)
+    with unsorted_partitions(spark):
+        overwrite_partitions(spark.read.schema(spark.table(table).schema).parquet(copy), table)
     drop_batch(spark, table, *[number for run in runs for number in run[:-1]])
     set_properties(spark, table, {_PACKING: ""})
     delete(spark, copy)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,14 +95,25 @@ def table_location(spark: SparkSession, table: str) -> str:
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace the partitions of ``table`` that ``df`` has rows for; the others stay."""
-    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
     # The setting, since a writer's own option does not reach insertInto.
-    spark.conf.set(mode, "dynamic")
-    try:
+    with _setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         df.write.mode("overwrite").insertInto(table)
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
     finally:
-        spark.conf.set(mode, before)
+        spark.conf.set(name, before)
+
+
+def unsorted_partitions(spark: SparkSession):
+    """Within this, a task that writes partitions keeps their files open side by side. Otherwise it
+    sorts all its rows by partition first, also where it has rows of one only."""
+    return _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "16")
 
 
 #: Table property that holds the number of the newest batch.
